@@ -5,7 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.config import MIN_HISTORY
+from meterloom.config import (
+    DEEPEST_LAG,
+    MIN_HISTORY,
+    Roles,
+    feature_columns,
+    profile_flag,
+    short_flag,
+)
+from meterloom.operators.features import (
+    complete_cases,
+    downcast,
+    feature_frame,
+    latest_origin,
+    origin_features,
+)
+from meterloom.operators.model import Forecaster, score_long
+from meterloom.sources.requests import forecast_nest
+
+# Longer than any history, so that a request is never cut.
+_ONE_BUCKET = 10**8
 
 
 def history_sufficiency(hourly: DataFrame, minimum: int = MIN_HISTORY) -> DataFrame:
@@ -24,3 +43,49 @@ def history_sufficiency(hourly: DataFrame, minimum: int = MIN_HISTORY) -> DataFr
             F.when(short, reason).alias("error"),
         )
     )
+
+
+def hourly_history(readings: DataFrame, roles: Roles) -> DataFrame:
+    """Request readings as an hourly table: one row per reading, nothing imputed."""
+    flags = [f(c) for c in roles.all_cols for f in (short_flag, profile_flag)]
+    return readings.select(
+        "meter_id", F.col("ts").alias("hour"), *roles.all_cols, *[F.lit(0).alias(f) for f in flags]
+    )
+
+
+def latest_features(history: DataFrame, roles: Roles, bounds: DataFrame | None) -> DataFrame:
+    """The newest complete feature row of each meter. No later hour is needed.
+
+    A request is one record, so its history is small: a single bucket keeps the offsets by row,
+    also where hours are missing.
+    """
+    frame = feature_frame(history, roles, bounds, with_targets=False, bucket_hours=_ONE_BUCKET)
+    return downcast(latest_origin(complete_cases(frame, feature_columns(roles))))
+
+
+def batch_score_meters(
+    model: Forecaster, readings: DataFrame, bounds: DataFrame | None = None
+) -> DataFrame:
+    """(meter_id, forecast_origin_timestamp, predictions, status, error), one row per meter."""
+    history = hourly_history(readings, model.roles)
+    checked = history_sufficiency(history)
+    scored = forecast_nest(score_long(model, latest_features(history, model.roles, bounds)))
+    short = F.col("status") == "failed"
+    missing = ~short & F.col("predictions").isNull()
+    hidden = ["forecast_origin_timestamp", "predictions"]
+    return checked.join(scored, "meter_id", "left").select(
+        "meter_id",
+        *[F.when(~short, F.col(c)).alias(c) for c in hidden],
+        F.when(missing, "failed").otherwise(F.col("status")).alias("status"),
+        F.when(missing, f"no complete feature row; {DEEPEST_LAG + 1} gap-free hours are needed")
+        .otherwise(F.col("error"))
+        .alias("error"),
+    )
+
+
+def score_one_meter(
+    model: Forecaster, hourly: DataFrame, meter_id: str, origin: str, bounds: DataFrame | None = None
+) -> DataFrame:
+    """The 24 forecast rows of one meter at one origin; both filters reach the scan."""
+    own = hourly.filter(F.col("meter_id") == meter_id)
+    return score_long(model, origin_features(own, model.roles, origin, bounds))

@@ -5,6 +5,7 @@ from meterloom.plans import (  # noqa: F401
     queries_features,
     queries_ingest,
     queries_metrics,
+    queries_models,
 )
 from meterloom.plans.registry import ORACLES, QUERIES
 

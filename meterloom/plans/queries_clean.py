@@ -139,13 +139,13 @@ holidays AS (
 
 @query(
     "holiday_flag",
-    f"""WITH {SQL_EASTER} SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+    f"""WITH {SQL_EASTER} SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day,
 CAST(CAST(o_orderdate AS DATE) IN (SELECT holiday FROM holidays) AS INT) AS is_holiday FROM orders""",
 )
 def holiday_flag(spark, sf_dir):
     at = F.col("o_orderdate")
     return _orders(spark, sf_dir).select(
-        "o_orderkey", F.to_date(at).alias("day"), cal.is_holiday(at).alias("is_holiday")
+        "o_orderkey", F.date_format(at, "yyyy-MM-dd").alias("day"), cal.is_holiday(at).alias("is_holiday")
     )
 
 

@@ -44,7 +44,7 @@ def request_nest(
     """
     recent = hourly.filter((F.col("hour") > add_hours(origin, -hours)) & (F.col("hour") <= origin))
     entry = F.struct(
-        iso_time(F.col("hour")).alias("timestamp"), *[F.col(c).cast("double") for c in roles.all_cols]
+        iso_time(F.col("hour")).alias("timestamp"), *[F.col(c).cast("double").alias(c) for c in roles.all_cols],
     )
     return (
         recent.groupBy("meter_id")

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from meterloom.config import HORIZON, LONG_WINDOW
 from meterloom.functions.calendar import add_hours
 from meterloom.operators.chunks import core_rows, halo_buckets
-from meterloom.operators.features import BUCKET_HOURS, lag_of, lead_of, mean_through_now
+from meterloom.operators.features import (
+    BUCKET_HOURS,
+    Rolling,
+    lag_of,
+    lead_of,
+    rolling,
+    with_rolling,
+)
 
 BASELINES = ("daily_naive", "weekly_naive", "rolling_avg_7d")
 
@@ -24,30 +31,29 @@ def baselines_long(
     hourly: DataFrame,
     target: str,
     origins_from: str | None = None,
-    extra: dict[str, Column] | None = None,
+    spread: bool = False,
     bucket_hours: int = BUCKET_HOURS,
 ) -> DataFrame:
     """(meter_id, origin, h, target_time, actual, three baselines) for complete origins.
 
     Forecasts are read off the origin's own row by window offsets in one pass and then
-    unfolded; nothing is joined. ``extra`` adds per-origin window expressions.
+    unfolded; nothing is joined. ``spread`` adds the standard deviation of the same 168 hours.
     """
-    extra = extra or {}
     steps = range(1, HORIZON + 1)
     series = hourly.select("meter_id", "hour", target)
     if origins_from is not None:
         start = F.lit(origins_from).cast("timestamp_ntz")
         series = series.filter(F.col("hour") >= add_hours(start, -LONG_WINDOW))
     bucketed = halo_buckets(series, bucket_hours, LONG_WINDOW, HORIZON)
-    full = bucketed.withColumns(
+    statistics = [Rolling("rolling_avg_7d", "mean", target, LONG_WINDOW)]
+    if spread:
+        statistics.append(Rolling("spread", "std", target, LONG_WINDOW))
+    extra = [s.name for s in statistics]
+    full = with_rolling(bucketed, statistics, through_now=True).withColumns(
         {
             "_actual": F.array(*[_shifted(target, h) for h in steps]),
             "_daily": F.array(*[_shifted(target, h - 24) for h in steps]),
             "_weekly": F.array(*[_shifted(target, h - 168) for h in steps]),
-            "rolling_avg_7d": F.when(
-                lag_of(target, LONG_WINDOW - 1).isNotNull(), mean_through_now(target, LONG_WINDOW)
-            ),
-            **extra,
         }
     )
     rows = core_rows(full)
@@ -58,7 +64,7 @@ def baselines_long(
     )
     steps_of = F.posexplode(F.arrays_zip("_actual", "_daily", "_weekly")).alias("_p", "_v")
     return complete.select(
-        "meter_id", F.col("hour").alias("origin"), "rolling_avg_7d", *extra, steps_of
+        "meter_id", F.col("hour").alias("origin"), *extra, steps_of
     ).select(
         "meter_id",
         "origin",
@@ -67,7 +73,6 @@ def baselines_long(
         F.col("_v._actual").alias("actual"),
         F.col("_v._daily").alias("daily_naive"),
         F.col("_v._weekly").alias("weekly_naive"),
-        "rolling_avg_7d",
         *extra,
     )
 
@@ -80,8 +85,5 @@ def naive_at(hourly: DataFrame, target: str, hours_back: int, name: str) -> Data
 
 def rolling_average(hourly: DataFrame, target: str) -> DataFrame:
     """Mean of the last 168 hours including the origin; null until they exist."""
-    bucketed = halo_buckets(hourly.select("meter_id", "hour", target), BUCKET_HOURS, LONG_WINDOW)
-    full = F.when(
-        lag_of(target, LONG_WINDOW - 1).isNotNull(), mean_through_now(target, LONG_WINDOW)
-    )
-    return core_rows(bucketed.withColumn("rolling_avg_7d", full))
+    statistic = Rolling("rolling_avg_7d", "mean", target, LONG_WINDOW)
+    return rolling(hourly.select("meter_id", "hour", target), [statistic], through_now=True)

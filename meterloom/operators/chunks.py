@@ -24,7 +24,7 @@ BUCKET = "_bucket"
 
 
 def time_chunks(
-    readings: DataFrame, seconds: int = 86_400, max_rows: int | None = 2_000_000
+    readings: DataFrame, seconds: int = 7 * 86_400, max_rows: int | None = 2_000_000
 ) -> DataFrame:
     """Add ``_chunk`` (interval number) and ``_sub`` (piece of a crowded interval).
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -79,31 +82,101 @@ def lead_of(c: str, k: int) -> Column:
     return F.lead(c, k).over(series_window())
 
 
-def _trailing(aggregate: Column, c: str, rows: int) -> Column:
-    """``aggregate`` over the ``rows`` rows before the current one; null until all are there."""
-    frame = series_window().rowsBetween(-rows, -1)
-    return F.when(F.count(c).over(frame) == rows, aggregate.over(frame))
+# -- rolling statistics --------------------------------------------------------
+# A frame of 168 rows costs 168 updates a row. Instead, frames of 6 rows are aggregated once,
+# 4 of them at lags 0, 6, 12, 18 make 24 rows, and 7 of those make 168. Sums, minima, maxima
+# and squared deviations all combine without subtracting, so nothing cancels. A part's sum is null
+# unless the part is complete; nulls carry through and void the other statistics.
+_LEVELS = (6, 4, 7)
 
 
-def rolling_mean(c: str, rows: int) -> Column:
-    return _trailing(F.avg(c), c, rows)
+@dataclass(frozen=True)
+class Rolling:
+    """``fn`` (mean, std, min or max) of ``column`` over ``rows`` rows."""
 
+    name: str
+    fn: str
+    column: str
+    rows: int
 
-def rolling_std(c: str, rows: int) -> Column:
-    return _trailing(F.stddev_samp(c), c, rows)
 
+def _part(kind: str, c: str, rows: int) -> str:
+    return f"_{kind}{rows}_{c}"
 
-def rolling_min(c: str, rows: int) -> Column:
-    return _trailing(F.min(c), c, rows)
 
+def _first_level(columns: dict[str, set[str]], rows: int, through_now: bool) -> dict[str, Column]:
+    window = series_window()
+    frame = window.rowsBetween(1 - rows, 0) if through_now else window.rowsBetween(-rows, -1)
+    primitive = {
+        "sum": lambda c: F.when(F.count(c).over(frame) == rows, F.sum(c).over(frame)),
+        "dev": lambda c: F.var_pop(c).over(frame) * rows,
+        "min": lambda c: F.min(c).over(frame),
+        "max": lambda c: F.max(c).over(frame),
+    }
+    return {
+        _part(kind, c, rows): primitive[kind](c)
+        for c, kinds in columns.items()
+        for kind in sorted(kinds)
+    }
 
-def rolling_max(c: str, rows: int) -> Column:
-    return _trailing(F.max(c), c, rows)
 
+def _combine(columns: dict[str, set[str]], rows: int, pieces: int) -> dict[str, Column]:
+    window = series_window()
+
+    def parts(kind: str, c: str) -> list[Column]:
+        name = _part(kind, c, rows)
+        return [F.col(name), *[F.lag(name, j * rows).over(window) for j in range(1, pieces)]]
+
+    combined = {}
+    for c, kinds in columns.items():
+        sums = parts("sum", c)
+        total = reduce(add, sums)
+        for kind in sorted(kinds):
+            if kind == "sum":
+                value = total
+            elif kind == "dev":
+                mean = total / (rows * pieces)
+                apart = [(p / rows - mean) * (p / rows - mean) for p in sums]
+                value = reduce(add, parts("dev", c)) + reduce(add, apart) * rows
+            else:
+                value = (F.least if kind == "min" else F.greatest)(*parts(kind, c))
+            combined[_part(kind, c, rows * pieces)] = value
+    return combined
+
+
+def with_rolling(
+    series: DataFrame, wanted: Sequence[Rolling], through_now: bool = False
+) -> DataFrame:
+    """Add rolling statistics of the rows before the current one (or through it).
 
-def mean_through_now(c: str, rows: int) -> Column:
-    """Mean of the current row and the ``rows - 1`` before it."""
-    return F.avg(c).over(series_window().rowsBetween(-(rows - 1), 0))
+    ``series`` carries halo buckets. Window lengths are those of ``_LEVELS``: 6, 24 or 168.
+    """
+    needs = {"mean": set(), "std": {"dev"}, "min": {"min"}, "max": {"max"}}
+    rows, frames = 1, series
+    for level, pieces in enumerate(_LEVELS):
+        columns: dict[str, set[str]] = {}
+        for w in wanted:
+            if w.rows >= rows * pieces:
+                columns.setdefault(w.column, {"sum"}).update(needs[w.fn])
+        if not columns:
+            break
+        step = (
+            _first_level(columns, pieces, through_now)
+            if level == 0
+            else _combine(columns, rows, pieces)
+        )
+        frames, rows = frames.withColumns(step), rows * pieces
+
+    def result(w: Rolling) -> Column:
+        total = F.col(_part("sum", w.column, w.rows))
+        if w.fn == "mean":
+            return total / w.rows
+        if w.fn == "std":
+            deviations = F.col(_part("dev", w.column, w.rows))
+            return F.when(total.isNotNull(), F.sqrt(deviations / (w.rows - 1)))
+        return F.when(total.isNotNull(), F.col(_part(w.fn, w.column, w.rows)))
+
+    return frames.select(*series.columns, *[result(w).alias(w.name) for w in wanted])
 
 
 # -- EWMA --------------------------------------------------------------------
@@ -200,25 +273,38 @@ def ewma(
     return core_rows(with_ewma(bucketed, column, spans, [f"ewm_mean_{s}" for s in spans]))
 
 
-def history_columns(roles: Roles) -> dict[str, Column]:
-    """Lags and rolling statistics; all reach back only."""
-    load = "load_cleaned"
-    columns = {f"load_lag_{k}": lag_of(load, k) for k in TARGET_LAGS}
+def rolling(
+    hourly: DataFrame,
+    wanted: Sequence[Rolling],
+    through_now: bool = False,
+    bucket_hours: int = BUCKET_HOURS,
+) -> DataFrame:
+    bucketed = halo_buckets(hourly, bucket_hours, max(w.rows for w in wanted))
+    return core_rows(with_rolling(bucketed, wanted, through_now))
+
+
+def lag_columns(roles: Roles) -> dict[str, Column]:
+    columns = {f"load_lag_{k}": lag_of("load_cleaned", k) for k in TARGET_LAGS}
     for c in roles.exog:
         columns |= {f"{c}_lag_{k}": lag_of(f"{c}_cleaned", k) for k in EXOG_LAGS}
-    columns |= {
-        f"rolling_mean_{SHORT_WINDOW}": rolling_mean(load, SHORT_WINDOW),
-        f"rolling_std_{SHORT_WINDOW}": rolling_std(load, SHORT_WINDOW),
-        f"rolling_min_{SHORT_WINDOW}": rolling_min(load, SHORT_WINDOW),
-        f"rolling_max_{SHORT_WINDOW}": rolling_max(load, SHORT_WINDOW),
-        f"rolling_mean_{LONG_WINDOW}": rolling_mean(load, LONG_WINDOW),
-        f"rolling_std_{LONG_WINDOW}": rolling_std(load, LONG_WINDOW),
-    }
-    for c in roles.exog:
-        columns[f"{c}_rolling_mean_{SHORT_WINDOW}"] = rolling_mean(f"{c}_cleaned", SHORT_WINDOW)
     return columns
 
 
+def rolling_features(roles: Roles) -> list[Rolling]:
+    load = "load_cleaned"
+    return [
+        *[
+            Rolling(f"rolling_{fn}_{SHORT_WINDOW}", fn, load, SHORT_WINDOW)
+            for fn in ("mean", "std", "min", "max")
+        ],
+        *[Rolling(f"rolling_{fn}_{LONG_WINDOW}", fn, load, LONG_WINDOW) for fn in ("mean", "std")],
+        *[
+            Rolling(f"{c}_rolling_mean_{SHORT_WINDOW}", "mean", f"{c}_cleaned", SHORT_WINDOW)
+            for c in roles.exog
+        ],
+    ]
+
+
 def lead_target_columns(target: str, horizon: int = HORIZON) -> dict[str, Column]:
     return {f"target_h{h}": lead_of(target, h) for h in range(1, horizon + 1)}
 
@@ -246,7 +332,8 @@ def feature_frame(
     # EWMA first: it sorts twice more, and the rows are still narrow.
     weighted = with_ewma(bucketed, "load_cleaned", EWMA_SPANS, [f"ewm_mean_{s}" for s in EWMA_SPANS])
     targets = lead_target_columns(roles.target) if with_targets else {}
-    full = weighted.withColumns({**history_columns(roles), **targets})
+    rolled = with_rolling(weighted, rolling_features(roles))
+    full = rolled.withColumns({**lag_columns(roles), **targets})
     keep = ["meter_id", "hour", *feature_columns(roles), *targets, *passthrough]
     return core_rows(full, keep)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.config import Roles, short_flag
-from meterloom.functions.calendar import add_hours, truncate_hour
+from meterloom.functions.calendar import truncate_hour
 
 
 def meter_bounds(readings: DataFrame) -> DataFrame:
@@ -27,20 +27,26 @@ def meter_bounds(readings: DataFrame) -> DataFrame:
 def hourly_spine(bounds: DataFrame) -> DataFrame:
     """Every hour between a meter's first and last reading.
 
-    Unfolds days, then hours, so that a stray far-off timestamp never makes one huge array.
+    The bounds are a small table that unfolds into the largest one, so it is unfolded to months
+    first and spread over all shuffle partitions (an explicit number, which adaptive execution
+    does not merge). Going through months also keeps the arrays short when a stray timestamp
+    lies far off.
     """
-    day = F.explode(F.sequence(F.to_date("first_hour"), F.to_date("last_hour")))
-    days = bounds.select("meter_id", "first_hour", "last_hour", day.alias("day"))
-    hours = days.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("offset")
-    ).select(
-        "meter_id",
-        "first_hour",
-        "last_hour",
-        add_hours(F.col("day").cast("timestamp_ntz"), F.col("offset")).alias("hour"),
+    tasks = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first, last = F.col("first_hour"), F.col("last_hour")
+    month = F.explode(
+        F.sequence(
+            F.trunc(first, "month"), F.trunc(last, "month"), F.make_ym_interval(months=F.lit(1))
+        )
+    )
+    months = bounds.select("meter_id", "first_hour", "last_hour", month.alias("month"))
+    start = F.greatest(first, F.col("month").cast("timestamp_ntz"))
+    end = F.least(
+        last, (F.add_months("month", 1).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(1)))
     )
-    return hours.filter(F.col("hour").between(F.col("first_hour"), F.col("last_hour"))).select(
-        "meter_id", "hour"
+    hours = F.sequence(start, end, F.make_dt_interval(hours=F.lit(1)))
+    return months.repartition(tasks, "meter_id", "month").select(
+        "meter_id", F.explode(hours).alias("hour")
     )
 
 

@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.config import LONG_WINDOW
 from meterloom.operators import baselines
-from meterloom.operators.chunks import BUCKET
 from meterloom.plans import standin
 
 
 def forecasts(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
     """Test origins x 24: point = mean of both naive forecasts, band from the last week's spread."""
-    target = standin.ROLES.target
-    week = (
-        Window.partitionBy("meter_id", BUCKET)
-        .orderBy("hour")
-        .rowsBetween(-(LONG_WINDOW - 1), Window.currentRow)
-    )
     rows = baselines.baselines_long(
         standin.hourly(spark, sf_dir, meter),
-        target,
+        standin.ROLES.target,
         standin.SPLITS.test_start,
-        extra={"spread": F.stddev_samp(target).over(week)},
+        spread=True,
     )
     point = (F.col("daily_naive") + F.col("weekly_naive")) / 2
     return rows.withColumns(

@@ -47,9 +47,9 @@ SELECT meter_id, hour, {inner} FROM cleaned {_W})
 SELECT meter_id, hour, {sql_round(list(columns), digits)} FROM v"""
 
 
-def _windowed(spark, sf_dir, columns, before, after=0, digits=6):
+def _windowed(spark, sf_dir, columns, before, after=0):
     rows = feat.windowed(_cleaned(spark, sf_dir), columns, before, after, BUCKET_HOURS)
-    return rounded(rows.select(*KEYS, *columns), digits)
+    return rounded(rows.select(*KEYS, *columns))
 
 
 @query(
@@ -92,25 +92,27 @@ def lag_exog(spark, sf_dir):
     return _windowed(spark, sf_dir, columns, max(EXOG_LAGS))
 
 
+def _rolling(spark, sf_dir, wanted, digits=6):
+    rows = feat.rolling(_cleaned(spark, sf_dir), wanted, bucket_hours=BUCKET_HOURS)
+    return rounded(rows.select(*KEYS, *[w.name for w in wanted]), digits)
+
+
 @query("rolling_mean", _sql_window(_SQL_MEANS, MEAN_DIGITS))
 def rolling_mean(spark, sf_dir):
-    columns = {f"rolling_mean_{w}": feat.rolling_mean("load_cleaned", w) for w in (24, 168)}
-    return _windowed(spark, sf_dir, columns, 168, digits=MEAN_DIGITS)
+    wanted = [feat.Rolling(f"rolling_mean_{w}", "mean", "load_cleaned", w) for w in (24, 168)]
+    return _rolling(spark, sf_dir, wanted, MEAN_DIGITS)
 
 
 @query("rolling_std", _sql_window(_SQL_STDS))
 def rolling_std(spark, sf_dir):
-    columns = {f"rolling_std_{w}": feat.rolling_std("load_cleaned", w) for w in (24, 168)}
-    return _windowed(spark, sf_dir, columns, 168)
+    wanted = [feat.Rolling(f"rolling_std_{w}", "std", "load_cleaned", w) for w in (24, 168)]
+    return _rolling(spark, sf_dir, wanted)
 
 
 @query("rolling_min_max", _sql_window(_SQL_MIN_MAX))
 def rolling_min_max(spark, sf_dir):
-    columns = {
-        "rolling_min_24": feat.rolling_min("load_cleaned", 24),
-        "rolling_max_24": feat.rolling_max("load_cleaned", 24),
-    }
-    return _windowed(spark, sf_dir, columns, 24)
+    wanted = [feat.Rolling(f"rolling_{fn}_24", fn, "load_cleaned", 24) for fn in ("min", "max")]
+    return _rolling(spark, sf_dir, wanted)
 
 
 @query("ewma", _sql_window(_SQL_EWMA))
@@ -121,8 +123,10 @@ def ewma(spark, sf_dir):
 
 @query("rolling_mean_exog", _sql_window(_SQL_EXOG_MEANS, MEAN_DIGITS))
 def rolling_mean_exog(spark, sf_dir):
-    columns = {f"{c}_rolling_mean_24": feat.rolling_mean(f"{c}_cleaned", 24) for c in ROLES.exog}
-    return _windowed(spark, sf_dir, columns, 24, digits=MEAN_DIGITS)
+    wanted = [
+        feat.Rolling(f"{c}_rolling_mean_24", "mean", f"{c}_cleaned", 24) for c in ROLES.exog
+    ]
+    return _rolling(spark, sf_dir, wanted, MEAN_DIGITS)
 
 
 @query("lead_targets", _sql_window(_SQL_TARGETS))

@@ -24,7 +24,7 @@ ORIGIN = "2024-01-28 12:00:00"
 # Every event as a text record: '?' where the value is missing, an empty or 'nan' level, and
 # an impossible date where k is 13.
 @lru_cache
-def _text_path(spark: SparkSession, sf_dir: str) -> str:
+def text_path(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(use_utc(spark), "readings-text")
     k = F.get_json_object("props", "$.k").try_cast("int")
     (
@@ -50,7 +50,7 @@ def _text_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings.scan_delimited(spark, _text_path(spark, sf_dir), TEXT_COLUMNS)
+    return readings.scan_delimited(spark, text_path(spark, sf_dir), TEXT_COLUMNS)
 
 
 _SQL_TEXT = """WITH e AS (SELECT *, CAST(props->>'$.k' AS INT) AS k FROM events),

@@ -36,15 +36,11 @@ def _cleaned(spark, sf_dir):
     return feat.clip_columns(hourly, ROLES, feat.clip_bounds(hourly, COLS, SPLITS.val_start))
 
 
-# A mean over 24 or 168 hours of cent values can end in a tie at the sixth decimal.
-MEAN_DIGITS = 7
-
-
-def _sql_window(columns: dict[str, str], digits: int = 6) -> str:
+def _sql_window(columns: dict[str, str]) -> str:
     inner = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
     return f"""{standin.sql_cleaned()}, v AS (
 SELECT meter_id, hour, {inner} FROM cleaned {_W})
-SELECT meter_id, hour, {sql_round(list(columns), digits)} FROM v"""
+SELECT meter_id, hour, {sql_round(list(columns))} FROM v"""
 
 
 def _windowed(spark, sf_dir, columns, before, after=0):
@@ -92,15 +88,15 @@ def lag_exog(spark, sf_dir):
     return _windowed(spark, sf_dir, columns, max(EXOG_LAGS))
 
 
-def _rolling(spark, sf_dir, wanted, digits=6):
+def _rolling(spark, sf_dir, wanted):
     rows = feat.rolling(_cleaned(spark, sf_dir), wanted, bucket_hours=BUCKET_HOURS)
-    return rounded(rows.select(*KEYS, *[w.name for w in wanted]), digits)
+    return rounded(rows.select(*KEYS, *[w.name for w in wanted]))
 
 
-@query("rolling_mean", _sql_window(_SQL_MEANS, MEAN_DIGITS))
+@query("rolling_mean", _sql_window(_SQL_MEANS))
 def rolling_mean(spark, sf_dir):
     wanted = [feat.Rolling(f"rolling_mean_{w}", "mean", "load_cleaned", w) for w in (24, 168)]
-    return _rolling(spark, sf_dir, wanted, MEAN_DIGITS)
+    return _rolling(spark, sf_dir, wanted)
 
 
 @query("rolling_std", _sql_window(_SQL_STDS))
@@ -121,12 +117,12 @@ def ewma(spark, sf_dir):
     return rounded(rows.select(*KEYS, *_SQL_EWMA))
 
 
-@query("rolling_mean_exog", _sql_window(_SQL_EXOG_MEANS, MEAN_DIGITS))
+@query("rolling_mean_exog", _sql_window(_SQL_EXOG_MEANS))
 def rolling_mean_exog(spark, sf_dir):
     wanted = [
         feat.Rolling(f"{c}_rolling_mean_24", "mean", f"{c}_cleaned", 24) for c in ROLES.exog
     ]
-    return _rolling(spark, sf_dir, wanted, MEAN_DIGITS)
+    return _rolling(spark, sf_dir, wanted)
 
 
 @query("lead_targets", _sql_window(_SQL_TARGETS))
@@ -150,14 +146,14 @@ def _sql_floats(columns) -> str:
 
 @query(
     "complete_cases",
-    f"""{_SQL_FEATURES} SELECT meter_id, hour, {sql_round(VALUES + TARGETS, MEAN_DIGITS)}, {", ".join(FLAGS)}
+    f"""{_SQL_FEATURES} SELECT meter_id, hour, {sql_round(VALUES + TARGETS)}, {", ".join(FLAGS)}
 FROM feats WHERE {_SQL_COMPLETE}""",
 )
 def complete_cases(spark, sf_dir):
     hourly = standin.hourly(spark, sf_dir)
     bounds = feat.clip_bounds(hourly, COLS, SPLITS.val_start)
     frame = feat.feature_frame(hourly, ROLES, bounds, bucket_hours=BUCKET_HOURS)
-    return rounded(feat.complete_cases(frame, FEATURES + TARGETS), MEAN_DIGITS)
+    return rounded(feat.complete_cases(frame, FEATURES + TARGETS))
 
 
 @query(

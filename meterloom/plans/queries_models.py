@@ -68,7 +68,7 @@ def fit_quantile(spark, sf_dir):
 def early_stopping(spark, sf_dir):
     """Cap and trees kept once validation stays flat for the patience."""
     rows = model.training_rows(stored_matrix(spark, sf_dir), ROLES, SPLITS)
-    kept = len(model.fit_point(rows, ROLES, PARAMS).stages[-1].trees)
+    kept = fitted(spark, sf_dir).trees
     per_split = rows.groupBy("is_val").agg(F.count("*").alias("rows"))
     return per_split.select(
         "is_val", "rows", F.lit(PARAMS.max_iter).alias("cap"), F.lit(kept).alias("trees")

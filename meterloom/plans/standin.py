@@ -1,8 +1,7 @@
 """The driver's ``events`` table read as meter readings, in Spark and as oracle SQL.
 
 Events carry a ``value`` and a number ``k`` in ``props``. They stand for the seven
-measurements of a meter; ``k`` and ``value`` also decide which measurement is missing. The
-means are over sevenths and thirds, whose decimals never end in a rounding tie.
+measurements of a meter; ``k`` and ``value`` also decide which measurement is missing.
 """
 
 from __future__ import annotations
@@ -28,14 +27,16 @@ COLS = ROLES.all_cols
 SHORT = [short_flag(c) for c in COLS]
 PROFILE = [profile_flag(c) for c in COLS]
 
+# ``value`` has two decimals; the factors keep means off exact halves, where the two engines
+# may round differently.
 _MEASUREMENTS = {
-    "load": "CASE WHEN k >= 25 THEN value END",
-    "reactive": "CASE WHEN value >= 5 THEN value / 7 END",
-    "voltage": "CASE WHEN value >= 5 THEN 220 + k / 7 END",
-    "intensity": "CASE WHEN k < 90 THEN value / 3 END",
-    "sub_1": "CASE WHEN k >= 25 THEN CASE WHEN k < 50 THEN value ELSE 0 END END",
-    "sub_2": "CASE WHEN k >= 50 THEN CASE WHEN k < 75 THEN value ELSE 0 END END",
-    "sub_3": "CASE WHEN k >= 75 THEN value END",
+    "load": "CASE WHEN k >= 25 THEN value * 0.7310585786e0 END",
+    "reactive": "CASE WHEN value >= 5 THEN value * 0.1192029221e0 END",
+    "voltage": "CASE WHEN value >= 5 THEN 220 + k * 0.1428571429e0 END",
+    "intensity": "CASE WHEN k < 90 THEN value * 0.2689414214e0 END",
+    "sub_1": "CASE WHEN k >= 25 THEN CASE WHEN k < 50 THEN value * 0.7310585786e0 ELSE 0 END END",
+    "sub_2": "CASE WHEN k >= 50 THEN CASE WHEN k < 75 THEN value * 0.7310585786e0 ELSE 0 END END",
+    "sub_3": "CASE WHEN k >= 75 THEN value * 0.7310585786e0 END",
 }
 
 

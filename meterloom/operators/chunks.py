@@ -2,9 +2,8 @@
 
 Two cuts, both pure functions of the row, so a lost executor can redo its part:
 
-* ``time_chunks``: contiguous pieces of the *readings*. A piece that still holds too many
-  rows is cut again at its own scale; operators pass what crosses a border on through a
-  small per-piece summary.
+* ``time_chunks``: contiguous pieces of the *readings*. Crowded pieces are cut further;
+  operators pass what crosses a border on through a small per-piece summary.
 * ``halo_buckets``: overlapping pieces of the *hourly* series. Each bucket gets copies of
   the hours just before and after it, so row-offset windows inside it are exact.
 """
@@ -19,41 +18,74 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.calendar import epoch_hour
 
-CHUNK = ("_chunk", "_sub")
+CHUNK = ("_chunk", "_sub", "_piece")
 BUCKET = "_bucket"
+_CUTS = 256
 
 
 def time_chunks(
     readings: DataFrame, seconds: int = 7 * 86_400, max_rows: int | None = 2_000_000
 ) -> DataFrame:
-    """Add ``_chunk`` (interval number) and ``_sub`` (piece of a crowded interval).
+    """Add ``_chunk``, ``_sub``, ``_piece``: consecutive pieces of a meter in (ts, row_id) order.
 
-    Crowded intervals are found by one aggregate over (meter_id, ts). There are at most
-    rows / max_rows of them, which is the bound on the broadcast.
+    ``_chunk`` is the time interval. One aggregate, run at once, finds intervals with more than
+    ``max_rows`` rows; usually there are none and the plan stays plain. Crowded intervals are
+    cut at time quantiles (``_sub``), where a time that many rows share becomes a piece of its
+    own, and what is still too large once more (``_piece``), by row_id if it is one such time.
     """
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    chunked = readings.withColumn("_chunk", F.floor(micros / F.lit(seconds * 1_000_000)))
-    # Stated here so that every branch built on the chunks plans the same exchange, once.
-    chunked = chunked.filter(F.col("meter_id").isNotNull() & F.col("_chunk").isNotNull())
+    # The filter is stated so that every branch built on the chunks plans one same exchange.
+    chunked = readings.withColumn(
+        "_chunk", F.floor(micros / F.lit(seconds * 1_000_000))
+    ).filter(F.col("meter_id").isNotNull() & F.col("_chunk").isNotNull())
+    whole = F.lit(0).cast("long")
+    plain = chunked.withColumns({"_sub": whole, "_piece": whole})
     if max_rows is None:
-        return chunked.withColumn("_sub", F.lit(0).cast("long"))
-    crowded = (
-        chunked.groupBy("meter_id", "_chunk")
-        .agg(F.count("*").alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
+        return plain
+    interval = ["meter_id", "_chunk"]
+    crowded = chunked.groupBy(*interval).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
+    if crowded.isEmpty():
+        return plain
+
+    by_time = _cut_at_quantiles(chunked, interval, crowded, micros, max_rows, "_sub")
+    piece = [*interval, "_sub"]
+    still = (
+        by_time.join(F.broadcast(crowded.select(*interval)), interval)
+        .groupBy(*piece)
+        .agg(F.count("*").alias("_n"), (F.min(micros) == F.max(micros)).alias("_one_time"))
         .filter(F.col("_n") > max_rows)
+    )
+    value = F.when(F.col("_one_time"), F.col("row_id")).otherwise(micros)
+    return _cut_at_quantiles(by_time, piece, still, value, max_rows, "_piece")
+
+
+def _cut_at_quantiles(
+    rows: DataFrame, keys: list[str], crowded: DataFrame, value: Column, max_rows: int, out: str
+) -> DataFrame:
+    """Number the stretches of ``value`` between quantiles, within the ``crowded`` groups.
+
+    A value that is itself a quantile gets a stretch of its own. Quantiles come from a mergeable
+    sketch. Both broadcasts hold one row per crowded group, at most rows / max_rows of them.
+    """
+    columns = rows.columns
+    marked = rows.join(F.broadcast(crowded), keys, "left")
+    extra = [c for c in crowded.columns if c not in keys]
+    levels = [i / _CUTS for i in range(1, _CUTS)]
+    stride = F.greatest(F.floor(F.lit(_CUTS * max_rows) / F.col("_n")), F.lit(1))
+    cuts = (
+        marked.filter(F.col("_n").isNotNull())
+        .groupBy(*keys, *extra)
+        .agg(F.percentile_approx(value, levels, 10_000).alias("_q"))
         .select(
-            "meter_id",
-            "_chunk",
-            "_lo",
-            F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / max_rows)).alias("_w"),
+            *keys,
+            *extra,
+            F.array_distinct(F.filter("_q", lambda _, i: i % stride == 0)).alias("_at"),
         )
     )
-    cut = F.floor((micros - F.col("_lo")) / F.col("_w"))
-    return (
-        chunked.join(F.broadcast(crowded), ["meter_id", "_chunk"], "left")
-        .withColumn("_sub", F.coalesce(cut, F.lit(0)).cast("long"))
-        .drop("_lo", "_w")
-    )
+    placed = rows.join(F.broadcast(cuts), keys, "left")
+    number = F.size(F.filter("_at", lambda q: q < value)) * 2 + F.array_contains("_at", value).cast("int")
+    numbered = F.when(F.col("_at").isNotNull(), number).otherwise(0).cast("long")
+    return placed.select(*columns, numbered.alias(out))
 
 
 def halo_buckets(

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.functions.calendar import truncate_hour
-from meterloom.config import feature_columns
-from meterloom.operators import metrics, scoring
+from meterloom.config import MIN_HISTORY, feature_columns
+from meterloom.operators import gaps, metrics, scoring
 from meterloom.plans import forecasts, standin
 from meterloom.plans.registry import query, rounded, sql_round
 from meterloom.plans.standin import COLS, PROFILE, ROLES, SHORT
@@ -107,13 +107,14 @@ def hourly_table_cache(spark, sf_dir):
 
 # -- requests ----------------------------------------------------------------
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON request per user: all of the user's readings (tens, by construction)."""
-    rows = standin.readings(spark, sf_dir, "user_id")
+    """All readings as JSON requests of at most 168 consecutive readings of one user."""
+    rows = gaps.in_time_order(standin.readings(spark, sf_dir, "user_id"))
+    part = F.floor((F.col("position") - 1) / MIN_HISTORY)
     entry = F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         *[F.col(c) for c in COLS],
     )
-    nested = rows.groupBy("meter_id").agg(F.collect_list(entry).alias("history"))
+    nested = rows.groupBy("meter_id", part.alias("part")).agg(F.collect_list(entry).alias("history"))
     return nested.select(F.to_json(F.struct("meter_id", "history")).alias("request"))
 
 

@@ -38,13 +38,13 @@ def read_readings(
 ) -> DataFrame:
     """Typed readings (meter_id, ts, row_id, measurements) of delimited files.
 
-    A file without a meter column holds one meter, named by ``meter_id``. ``row_id`` only
-    makes the order of readings with equal times definite, so it is a hash of the record
-    rather than a counter, which would change when a task is run again.
+    A file without a meter column holds one meter, named by ``meter_id``. ``row_id`` makes the
+    order of readings with equal times definite and tells copies apart; it is numbered right on
+    the scan, where a task that is run again reads the same split.
     """
     columns = [*key_columns, "Date", "Time", *roles.all_cols]
     raw = scan_delimited(spark, path, columns)
-    raw = raw.withColumn("row_id", F.xxhash64(*columns))
+    raw = raw.withColumn("row_id", F.monotonically_increasing_id())
     typed = coerce_numeric(parse_event_time(raw), roles.all_cols)
     if meter_id is not None:
         typed = typed.withColumn("meter_id", F.lit(meter_id))

@@ -77,15 +77,38 @@ def test_equal_times_are_ordered_by_row_id(spark):
     assert fill(df, max_gap=2)[0] == [1.0, 2.0, 3.0]
 
 
-def test_crowded_interval_is_cut(spark):
-    """A third of the rows in one meter and interval: no piece keeps more than its share."""
-    crowd = readings(spark, [1.0] * 900, "hot", step=1)
-    rest = [readings(spark, [1.0] * 18, f"m{i}", step=60) for i in range(20)]
-    df = crowd
-    for r in rest:
-        df = df.unionByName(r)
-    sizes = time_chunks(df, max_rows=100).groupBy("meter_id", "_chunk", "_sub").count()
+def hot_meter(spark):
+    """One meter and week with most rows: half of them spread, half of them at one time."""
+    df = readings(spark, [1.0] * 600, "hot", step=1)
+    same = readings(spark, [2.0] * 600, "hot", step=0, start="2024-01-01 00:03:20")
+    df = df.unionByName(same.withColumn("row_id", F.col("row_id") + 1000))
+    for i in range(5):
+        df = df.unionByName(readings(spark, [3.0] * 18, f"m{i}"))
+    return df
+
+
+def test_crowded_interval_and_shared_time_are_cut(spark):
+    cut = time_chunks(hot_meter(spark), max_rows=100)
+    sizes = cut.groupBy("meter_id", "_chunk", "_sub", "_piece").count()
     assert sizes.agg(F.max("count")).first()[0] <= 100
+    assert cut.count() == 1200 + 90
+
+
+def test_pieces_follow_the_order_of_readings(spark):
+    cut = time_chunks(hot_meter(spark), max_rows=50).filter("meter_id = 'hot'")
+    rows = cut.orderBy("ts", "row_id").select("_chunk", "_sub", "_piece").collect()
+    assert [tuple(r) for r in rows] == sorted(tuple(r) for r in rows)
+
+
+def test_crowded_fill_equals_uncut_fill(spark):
+    rng = np.random.default_rng(11)
+    keep = rng.random(1290) < 0.6
+    hot = hot_meter(spark).toPandas().sort_values(["meter_id", "ts", "row_id"])
+    hot["x"] = np.where(keep, rng.normal(size=1290), np.nan)
+    df = spark.createDataFrame(hot).withColumns(
+        {"ts": F.col("ts").cast("timestamp_ntz"), "x": F.nanvl("x", F.lit(None))}
+    )
+    assert fill(df, max_gap=3, max_rows=50) == fill(df, max_gap=3, max_rows=None)
 
 
 # -- resampling and profile ------------------------------------------------------

@@ -120,28 +120,31 @@ def _first_level(columns: dict[str, set[str]], rows: int, through_now: bool) ->
     }
 
 
-def _combine(columns: dict[str, set[str]], rows: int, pieces: int) -> dict[str, Column]:
+def _combine(frames: DataFrame, columns: dict[str, set[str]], rows: int, pieces: int) -> DataFrame:
     window = series_window()
 
     def parts(kind: str, c: str) -> list[Column]:
         name = _part(kind, c, rows)
         return [F.col(name), *[F.lag(name, j * rows).over(window) for j in range(1, pieces)]]
 
-    combined = {}
+    # Deviations about the pieces' own means, then of those means about the common one. The
+    # common mean is a column of its own so that it is computed once a row.
+    combined = {
+        _part(kind, c, rows * pieces): {"min": F.least, "max": F.greatest}[kind](*parts(kind, c))
+        if kind in ("min", "max")
+        else reduce(add, parts(kind, c))
+        for c, kinds in columns.items()
+        for kind in sorted(kinds)
+    }
+    frames = frames.withColumns(combined)
+    apart = {}
     for c, kinds in columns.items():
-        sums = parts("sum", c)
-        total = reduce(add, sums)
-        for kind in sorted(kinds):
-            if kind == "sum":
-                value = total
-            elif kind == "dev":
-                mean = total / (rows * pieces)
-                apart = [(p / rows - mean) * (p / rows - mean) for p in sums]
-                value = reduce(add, parts("dev", c)) + reduce(add, apart) * rows
-            else:
-                value = (F.least if kind == "min" else F.greatest)(*parts(kind, c))
-            combined[_part(kind, c, rows * pieces)] = value
-    return combined
+        if "dev" in kinds:
+            mean = F.col(_part("sum", c, rows * pieces)) / (rows * pieces)
+            offsets = [(p / rows - mean) for p in parts("sum", c)]
+            name = _part("dev", c, rows * pieces)
+            apart[name] = F.col(name) + reduce(add, [o * o for o in offsets]) * rows
+    return frames.withColumns(apart) if apart else frames
 
 
 def with_rolling(
@@ -160,12 +163,11 @@ def with_rolling(
                 columns.setdefault(w.column, {"sum"}).update(needs[w.fn])
         if not columns:
             break
-        step = (
-            _first_level(columns, pieces, through_now)
-            if level == 0
-            else _combine(columns, rows, pieces)
-        )
-        frames, rows = frames.withColumns(step), rows * pieces
+        if level == 0:
+            frames = frames.withColumns(_first_level(columns, pieces, through_now))
+        else:
+            frames = _combine(frames, columns, rows, pieces)
+        rows *= pieces
 
     def result(w: Rolling) -> Column:
         total = F.col(_part("sum", w.column, w.rows))
@@ -215,9 +217,16 @@ def with_ewma(series: DataFrame, c: str, spans: Sequence[int], names: Sequence[s
     )
 
     log_decay, gained = {}, {}
+    rows = rows.withColumns(
+        {
+            f"_a{s}": F.greatest(
+                F.pow(F.lit(1 - 2.0 / (s + 1)), F.col("_i") - F.col("_seen")), F.lit(1e-200)
+            )
+            for s in spans
+        }
+    )
     for s in spans:
-        a = 2.0 / (s + 1)
-        aged = F.greatest(F.pow(F.lit(1 - a), F.col("_i") - F.col("_seen")), F.lit(1e-200))
+        a, aged = 2.0 / (s + 1), F.col(f"_a{s}")
         first = F.col("_seen").isNull()
         log_decay[f"_d{s}"] = F.when(valid & ~first, F.ln(aged / (aged + a))).otherwise(0.0)
         gain = F.when(first, 1.0).otherwise(F.lit(a) / (aged + a))
@@ -246,7 +255,7 @@ def with_ewma(series: DataFrame, c: str, spans: Sequence[int], names: Sequence[s
         name: F.when(F.col("_seen").isNotNull(), F.lag(f"_y{s}", 1).over(series_window()))
         for s, name in zip(spans, names, strict=True)
     }
-    return rows.withColumns(shown).select(*series.columns, *names)
+    return rows.select(*series.columns, *[e.alias(n) for n, e in shown.items()])
 
 
 # -- the matrix --------------------------------------------------------------

@@ -21,6 +21,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Projections of feature rows this wide run faster split up than as one generated method.
+        .config("spark.sql.codegen.maxFields", "40")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,16 +37,18 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder stands in only for a local master.
+    Only where the setting is missing and everything runs in one local process does a temporary
+    folder stand in; it becomes the session's checkpoint folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="meterloom-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="meterloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

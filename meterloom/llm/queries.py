@@ -6,20 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterloom.llm import chat, pii, sharding, warc
+from meterloom.llm import chat, langid, packing, pii, quality, sharding, warc
 from meterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def word_tokenizer() -> str:
+    """The lower-casing word tokenizer of 49k ids; it is read in place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op1(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op2(table(spark, sf_dir, "conversations"))
 
 
+def op3_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op3(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op4(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op5(table(spark, sf_dir, "documents"))
+
+
 def op7_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op7(table(spark, sf_dir, "documents"))
 
@@ -30,7 +49,9 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_chat_format, op4_pii, op7_lpt_shards, op8_arc_to_warc)
+    for f in (
+        op1_packing, op2_chat_format, op3_quality_mcd, op4_pii, op5_language_id, op7_lpt_shards, op8_arc_to_warc,
+    )
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": chat.ORACLE_OP2,

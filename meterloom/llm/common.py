@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import meterloom
 from meterloom.session import scratch_path
 
 #: Python calls every character of ``[\x20\x09-\x0D]`` white space in bytes, and no other.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package where their Python cannot import it as the driver's does."""
+    package = Path(meterloom.__file__).parent
+    root = str(package.parent)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root:
+        return
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), package.name), "zip", root, package.name)
+        context.addPyFile(made)  # Spark copies it to every executor
+        _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterloom.llm import chat, langid, packing, pii, quality, sharding, warc
+from meterloom.llm import chat, langid, neardup, packing, pii, quality, sharding, warc
 from meterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op5(table(spark, sf_dir, "documents"))
 
 
+def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op6(table(spark, sf_dir, "documents"))
+
+
 def op7_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op7(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,8 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_packing, op2_chat_format, op3_quality_mcd, op4_pii, op5_language_id, op7_lpt_shards, op8_arc_to_warc,
+        op1_packing, op2_chat_format, op3_quality_mcd, op4_pii, op5_language_id, op6_setsketch, op7_lpt_shards,
+        op8_arc_to_warc,
     )
 }
 ORACLES: dict[str, str] = {

@@ -171,7 +171,8 @@ def estimate(vectors: DataFrame, *, steps: int = 3, core: float = 0.75, prior: f
     found = stored(_cholesky(found), "mcd-start")
     for step in range(steps):
         rows = _distance(vectors.join(found, "group")).select("group", "lang_key", "d2", *[f"x_{i}" for i in xs])
-        limits = rows.groupBy("group").agg(F.percentile_approx("d2", core, accuracy).alias("limit"))
+        # Stored, so that Spark knows how small it is and deals no rows by group.
+        limits = stored(rows.groupBy("group").agg(F.percentile_approx("d2", core, accuracy).alias("limit")), f"mcd-limits-{step}")
         near = rows.join(limits, "group").where("d2 <= limit")
         moments = near.groupBy("group", "lang_key").agg(
             F.count("*").alias("n"),

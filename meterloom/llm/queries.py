@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterloom.llm import chat, decontam, langid, neardup, packing, pii, quality, sharding, warc
+from meterloom.llm import chat, decontam, langid, lmscore, neardup, packing, pii, quality, sharding, warc
 from meterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,10 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op8(table(spark, sf_dir, "pages"))
 
 
+def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.op9(table(spark, sf_dir, "documents"))
+
+
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,7 +63,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing, op2_chat_format, op3_quality_mcd, op4_pii, op5_language_id, op6_setsketch, op7_lpt_shards,
-        op8_arc_to_warc, op10_spaced_seeds,
+        op8_arc_to_warc, op9_bloom_lm, op10_spaced_seeds,
     )
 }
 ORACLES: dict[str, str] = {

@@ -245,7 +245,8 @@ def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> Dat
     first = named.groupBy("label").agg(F.min("first_id").alias("component"))
     component = named.join(first, "label").select("node", "component")
     component = classes.select("node", "first_id").join(component, "node", "left")
-    component = component.select("node", F.coalesce("component", "first_id").alias("component"))
+    # Stored, so that the copies of a hot class meet it in a join that Spark can split.
+    component = stored(component.select("node", F.coalesce("component", "first_id").alias("component")), "class-components")
     joined = rows.drop("registers").join(component, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", "node", own.alias("component_id"))

@@ -27,7 +27,14 @@ CALENDAR_COLUMNS = (
 
 
 def truncate_hour(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """The hour of a zone-free time, by its own fields: no session zone takes part."""
+    at = ts.cast("timestamp_ntz")
+    part = F.make_dt_interval(mins=F.minute(at), secs=F.extract(F.lit("SECOND"), at))
+    return (at - part).cast("timestamp_ntz")
+
+
+def truncate_day(ts: Column) -> Column:
+    return ts.cast("date").cast("timestamp_ntz")
 
 
 def add_hours(ts: Column, hours: Column | int) -> Column:
@@ -37,7 +44,15 @@ def add_hours(ts: Column, hours: Column | int) -> Column:
 
 def epoch_hour(ts: Column) -> Column:
     """Hours since 1970; consecutive integers on a gap-free series."""
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / 3600).cast("long")
+    at = ts.cast("timestamp_ntz")
+    return (F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour(at)).cast("long")
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a zone-free time."""
+    at = ts.cast("timestamp_ntz")
+    second = F.extract(F.lit("SECOND"), at) * 1_000_000
+    return epoch_hour(at) * 3_600_000_000 + F.minute(at).cast("long") * 60_000_000 + second.cast("long")
 
 
 def calendar_part(part: str, ts: Column) -> Column:

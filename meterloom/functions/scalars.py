@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from meterloom.config import ZERO_DENOMINATOR
 
+# --- Fixed values -----------------------------------------------------------
 LOW_LOAD = "Low-Load (<=Median)"
 HIGH_LOAD = "High-Load (>Median)"
+# ----------------------------------------------------------------------------
+#: Of a meter without training rows, or an hour without a value.
+UNKNOWN_LOAD = "Unknown-Load"
 
 
 def to_number(text: Column, type_: str = "float") -> Column:
@@ -35,7 +39,7 @@ def safe_denominator(value: Column) -> Column:
 
 
 def load_level(value: Column, median: Column) -> Column:
-    return F.when(value <= median, LOW_LOAD).otherwise(HIGH_LOAD)
+    return F.when(value <= median, LOW_LOAD).when(value > median, HIGH_LOAD).otherwise(UNKNOWN_LOAD)
 
 
 def horizon_label(h: Column) -> Column:
@@ -43,11 +47,12 @@ def horizon_label(h: Column) -> Column:
 
 
 def iso_time(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    """Zone-free: the text of a TIMESTAMP_NTZ is its own fields."""
+    return F.replace(F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 19), F.lit(" "), F.lit("T"))
 
 
 def minute_time(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm")
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 16)
 
 
 def residual(actual: Column, forecast: Column) -> Column:

@@ -376,6 +376,10 @@ def select_features(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 # -- one origin --------------------------------------------------------------
+#: Hours before an origin that its features can reach.
+HISTORY_REACH = max(DEEPEST_LAG, *[ewma_halo(s) for s in EWMA_SPANS])
+
+
 def origin_features(
     hourly: DataFrame, roles: Roles, origin: str, bounds: DataFrame | None
 ) -> DataFrame:
@@ -383,9 +387,8 @@ def origin_features(
 
     Only the hours a feature can reach are read; the range is pushed to the scan.
     """
-    reach = max(DEEPEST_LAG, *[ewma_halo(s) for s in EWMA_SPANS])
     at = F.lit(origin).cast("timestamp_ntz")
-    recent = hourly.filter(F.col("hour").between(add_hours(at, -reach), at))
+    recent = hourly.filter(F.col("hour").between(add_hours(at, -HISTORY_REACH), at))
     frame = feature_frame(recent, roles, bounds, with_targets=False)
     return downcast(complete_cases(frame.filter(F.col("hour") == at), feature_columns(roles)))
 

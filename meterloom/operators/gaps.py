@@ -28,10 +28,11 @@ def _anchored(readings: DataFrame, columns: Sequence[str], **chunking) -> DataFr
     """
     chunked = time_chunks(readings, **chunking)
     chunk = Window.partitionBy(*_SEAM)
-    forward = chunk.orderBy(*ORDER)
+    # Values break ties, so that rows which still tie are alike and both branches number the same.
+    forward = chunk.orderBy(*ORDER, *columns)
     upto = forward.rowsBetween(Window.unboundedPreceding, -1)
     through = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = chunk.orderBy(*[F.desc(c) for c in ORDER])
+    backward = chunk.orderBy(F.desc("_rn"))
     onward = backward.rowsBetween(Window.unboundedPreceding, -1)
 
     numbered = chunked.withColumn("_rn", F.row_number().over(forward).cast("long"))
@@ -137,14 +138,20 @@ def _is_short(c: str, max_gap: int) -> Column:
 
 def gap_islands(readings: DataFrame, column: str, **chunking) -> DataFrame:
     """``island`` = valid readings up to and including the row; ``gap`` = nulls of that island."""
-    rows = _anchored(readings, [column], **chunking)
-    start = F.when(F.col(column).isNotNull(), F.col("_pos")).otherwise(
-        F.coalesce(F.col(f"_p_{column}"), F.lit(0))
-    )
-    end = F.coalesce(F.col(f"_n_{column}"), F.col("_total") + 1)
-    return rows.select(
-        *readings.columns, F.col(f"_c_{column}").alias("island"), (end - start - 1).alias("gap")
-    )
+    found = gap_islands_of(readings, [column], **chunking)
+    return found.withColumnsRenamed({f"island_{column}": "island", f"gap_{column}": "gap"})
+
+
+def gap_islands_of(readings: DataFrame, columns: Sequence[str], **chunking) -> DataFrame:
+    """``island_<c>`` and ``gap_<c>`` of several columns from the same two windows."""
+    rows = _anchored(readings, columns, **chunking)
+
+    def gap(c: str) -> Column:
+        start = F.when(F.col(c).isNotNull(), F.col("_pos")).otherwise(F.coalesce(F.col(f"_p_{c}"), F.lit(0)))
+        return F.coalesce(F.col(f"_n_{c}"), F.col("_total") + 1) - start - 1
+
+    found = [e for c in columns for e in (F.col(f"_c_{c}").alias(f"island_{c}"), gap(c).alias(f"gap_{c}"))]
+    return rows.select(*readings.columns, *found)
 
 
 def interpolate_short_gaps(

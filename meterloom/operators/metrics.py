@@ -101,10 +101,6 @@ def improvement_vs_baseline(
     )
 
 
-def metrics_tidy(comparison: DataFrame) -> DataFrame:
-    return comparison.unpivot("method", list(POINT_METRICS), "metric", "value")
-
-
 # -- slices ------------------------------------------------------------------
 def train_median(hourly: DataFrame, target: str, val_start: str) -> DataFrame:
     """Median training load per meter (one value per hour of the training period)."""
@@ -124,7 +120,8 @@ def with_slices(long: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     if medians is None:
         return sliced
     level = load_level(F.col("actual"), F.col("train_median"))
-    return sliced.join(medians, "meter_id").withColumn("load_level", level)
+    # A meter without training rows stays: its load level is unknown.
+    return sliced.join(medians, "meter_id", "left").withColumn("load_level", level)
 
 
 def _slice_metrics(y: Column, f: Column) -> list[Column]:

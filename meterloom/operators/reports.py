@@ -142,6 +142,6 @@ def sample_origin(hourly: DataFrame, test_start: str, seed: str, spare_hours: in
     """
     test = hourly.filter(F.col("hour") >= F.lit(test_start).cast("timestamp_ntz"))
     end = test.agg(F.max("hour")).scalar()
-    draw = F.md5(F.concat(F.lit(seed), F.date_format("hour", "yyyyMMddHH")))
+    draw = F.md5(F.concat(F.lit(seed), F.replace(F.replace(F.substring(F.col("hour").cast("string"), 1, 13), F.lit("-"), F.lit("")), F.lit(" "), F.lit(""))))
     candidates = test.select("hour").filter(F.col("hour") <= add_hours(end, -spare_hours))
     return candidates.orderBy(draw, "hour").limit(1)

@@ -11,17 +11,17 @@ from meterloom.functions import scalars
 from meterloom.operators import gaps, metrics, profile, reports, resample
 from meterloom.plans import forecasts, standin
 from meterloom.plans.registry import query, rounded, sql_round
-from meterloom.plans.standin import COLS, MAX_GAP, PROFILE, SHORT, SPLITS
+from meterloom.plans.standin import COLS, MAX_GAP, PROFILE, ROLES, SHORT, SPLITS
 
 _TS = "timestamp_ntz"
 
 
 def _events(spark, sf_dir):
-    return standin.use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _orders(spark, sf_dir):
-    return standin.use_utc(spark).read.parquet(f"{sf_dir}/orders.parquet")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet")
 
 
 # -- predicates and scalar functions ------------------------------------------
@@ -145,7 +145,7 @@ CAST(CAST(o_orderdate AS DATE) IN (SELECT holiday FROM holidays) AS INT) AS is_h
 def holiday_flag(spark, sf_dir):
     at = F.col("o_orderdate")
     return _orders(spark, sf_dir).select(
-        "o_orderkey", F.date_format(at, "yyyy-MM-dd").alias("day"), cal.is_holiday(at).alias("is_holiday")
+        "o_orderkey", at.cast("date").cast("string").alias("day"), cal.is_holiday(at).alias("is_holiday")
     )
 
 
@@ -169,15 +169,16 @@ WHERE hour < TIMESTAMP '{SPLITS.val_start}' GROUP BY meter_id)"""
 @query(
     "load_level_label",
     f"""{standin.sql_hourly()}, {_SQL_MEDIAN} SELECT meter_id, hour, {sql_round(["load"])},
-CASE WHEN load <= train_median THEN 'Low-Load (<=Median)' ELSE 'High-Load (>Median)' END
-AS load_level FROM hourly JOIN train USING (meter_id)""",
+CASE WHEN load <= train_median THEN 'Low-Load (<=Median)'
+WHEN load > train_median THEN 'High-Load (>Median)' ELSE 'Unknown-Load' END
+AS load_level FROM hourly LEFT JOIN train USING (meter_id)""",
 )
 def load_level_label(spark, sf_dir):
     hourly = standin.hourly(spark, sf_dir).select("meter_id", "hour", "load")
     medians = metrics.train_median(hourly, "load", SPLITS.val_start)
     level = scalars.load_level(F.col("load"), F.col("train_median"))
     return rounded(
-        hourly.join(medians, "meter_id").select("meter_id", "hour", "load", level.alias("load_level"))
+        hourly.join(medians, "meter_id", "left").select("meter_id", "hour", "load", level.alias("load_level"))
     )
 
 
@@ -230,19 +231,21 @@ def residual(spark, sf_dir):
 
 
 # -- gaps and resampling -------------------------------------------------------
+_SQL_ISLANDS = ", ".join(
+    f"""CAST(island_{c} AS BIGINT) AS island_{c}, CAST(count(*) OVER (PARTITION BY meter_id, island_{c})
+  - count({c}) OVER (PARTITION BY meter_id, island_{c}) AS BIGINT) AS gap_{c}"""
+    for c in COLS
+)
+
+
 @query(
     "gap_islands",
-    f"""{standin.sql_readings()}, i AS (
-SELECT meter_id, ts, row_id, load, count(load)
-  OVER (PARTITION BY meter_id ORDER BY ts, row_id ROWS UNBOUNDED PRECEDING) AS island FROM readings)
-SELECT meter_id, row_id, {sql_round(["load"])}, CAST(island AS BIGINT) AS island,
-CAST(count(*) OVER (PARTITION BY meter_id, island)
-  - count(load) OVER (PARTITION BY meter_id, island) AS BIGINT) AS gap FROM i""",
+    f"""{standin.sql_readings()}, i AS (SELECT *, {", ".join(f"""count({c})
+  OVER (PARTITION BY meter_id ORDER BY ts, row_id ROWS UNBOUNDED PRECEDING) AS island_{c}""" for c in COLS)}
+FROM readings) SELECT meter_id, row_id, {sql_round(COLS)}, {_SQL_ISLANDS} FROM i""",
 )
 def gap_islands(spark, sf_dir):
-    rows = standin.readings(spark, sf_dir).select("meter_id", "ts", "row_id", "load")
-    islands = gaps.gap_islands(rows, "load")
-    return rounded(islands.select("meter_id", "row_id", "load", "island", "gap"))
+    return rounded(gaps.gap_islands_of(standin.readings(spark, sf_dir), COLS).drop("ts"))
 
 
 @query(
@@ -263,28 +266,26 @@ def short_gap_flag(spark, sf_dir):
     return flagged.select("meter_id", "row_id", *SHORT)
 
 
-@query(
-    "resample_sum_hourly",
-    f"""{standin.sql_raw_hourly("user_id")}, a AS (SELECT meter_id, date_trunc('hour', ts) AS hour,
-sum(load) AS load, sum(sub_1) AS sub_1 FROM readings GROUP BY 1, 2), z AS (
-SELECT meter_id, hour, coalesce(a.load, 0) AS load, coalesce(a.sub_1, 0) AS sub_1
-FROM spine LEFT JOIN a USING (meter_id, hour))
-SELECT meter_id, hour, {sql_round(["load", "sub_1"])} FROM z""",
-)
+_SUMS, _MEANS = list(ROLES.sum_cols), list(ROLES.mean_cols)
+
+
+def _sql_hour_agg(fn: str, columns: list[str], empty: str) -> str:
+    aggregates = ", ".join(f"{fn}({c}) AS {c}" for c in columns)
+    values = ", ".join(empty.format(c=c) for c in columns)
+    return f"""{standin.sql_raw_hourly("user_id")}, a AS (SELECT meter_id, date_trunc('hour', ts) AS hour,
+{aggregates} FROM readings GROUP BY 1, 2), z AS (
+SELECT meter_id, hour, {values} FROM spine LEFT JOIN a USING (meter_id, hour))
+SELECT meter_id, hour, {sql_round(columns)} FROM z"""
+
+
+@query("resample_sum_hourly", _sql_hour_agg("sum", _SUMS, "coalesce(a.{c}, 0) AS {c}"))
 def resample_sum_hourly(spark, sf_dir):
-    return rounded(resample.resample_sum(standin.readings(spark, sf_dir, "user_id"), ["load", "sub_1"]))
+    return rounded(resample.resample_sum(standin.readings(spark, sf_dir, "user_id"), _SUMS))
 
 
-@query(
-    "resample_mean_hourly",
-    f"""{standin.sql_raw_hourly("user_id")}, a AS (SELECT meter_id, date_trunc('hour', ts) AS hour,
-avg(reactive) AS reactive, avg(voltage) AS voltage FROM readings GROUP BY 1, 2), z AS (
-SELECT meter_id, hour, a.reactive, a.voltage FROM spine LEFT JOIN a USING (meter_id, hour))
-SELECT meter_id, hour, {sql_round(["reactive", "voltage"])} FROM z""",
-)
+@query("resample_mean_hourly", _sql_hour_agg("avg", _MEANS, "a.{c} AS {c}"))
 def resample_mean_hourly(spark, sf_dir):
-    rows = standin.readings(spark, sf_dir, "user_id")
-    return rounded(resample.resample_mean(rows, ["reactive", "voltage"]))
+    return rounded(resample.resample_mean(standin.readings(spark, sf_dir, "user_id"), _MEANS))
 
 
 @query(
@@ -331,21 +332,14 @@ def profile_impute(spark, sf_dir):
 @query(
     "join_left_profile",
     f"""{standin.sql_hourly("user_id")} SELECT meter_id, CAST(count(*) AS BIGINT) AS hours,
-CAST(count(voltage_profile) AS BIGINT) AS with_profile,
-round(sum(voltage_profile), 4) AS profile_sum
+{", ".join(f"CAST(count({p}) AS BIGINT) AS {p}_n, round(sum({p}), 4) AS {p}_sum" for p in _PROFILES)}
 FROM slotted LEFT JOIN profile USING (meter_id, dayofweek, hour_of_day) GROUP BY meter_id""",
 )
 def join_left_profile(spark, sf_dir):
     table = standin.raw_hourly(spark, sf_dir, "user_id")
-    joined = profile.join_profile(table, profile.seasonal_profile(table, ["voltage"], SPLITS.val_start))
-    return rounded(
-        joined.groupBy("meter_id").agg(
-            F.count("*").alias("hours"),
-            F.count("voltage_profile").alias("with_profile"),
-            F.sum("voltage_profile").alias("profile_sum"),
-        ),
-        4,
-    )
+    joined = profile.join_profile(table, profile.seasonal_profile(table, COLS, SPLITS.val_start))
+    sums = [e for p in _PROFILES for e in (F.count(p).alias(f"{p}_n"), F.sum(p).alias(f"{p}_sum"))]
+    return rounded(joined.groupBy("meter_id").agg(F.count("*").alias("hours"), *sums), 4)
 
 
 @query(

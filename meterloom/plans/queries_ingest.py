@@ -7,13 +7,13 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.functions.calendar import truncate_hour
+from meterloom.functions.calendar import truncate_day
 from meterloom.config import MIN_HISTORY, feature_columns
 from meterloom.operators import gaps, metrics, scoring
 from meterloom.plans import forecasts, standin
 from meterloom.plans.registry import query, rounded, sql_round
 from meterloom.plans.standin import COLS, PROFILE, ROLES, SHORT
-from meterloom.session import scratch_path, use_utc
+from meterloom.session import scratch_path
 from meterloom.sources import hourly_table, readings, requests, runs
 
 TEXT_COLUMNS = ("row_id", "meter_id", "Date", "Time", "load", "level")
@@ -25,7 +25,7 @@ ORIGIN = "2024-01-28 12:00:00"
 # an impossible date where k is 13.
 @lru_cache
 def text_path(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(use_utc(spark), "readings-text")
+    path = scratch_path(spark, "readings-text")
     k = F.get_json_object("props", "$.k").try_cast("int")
     (
         spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -111,20 +111,29 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gaps.in_time_order(standin.readings(spark, sf_dir, "user_id"))
     part = F.floor((F.col("position") - 1) / MIN_HISTORY)
     entry = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")).alias("timestamp"),
         *[F.col(c) for c in COLS],
     )
     nested = rows.groupBy("meter_id", part.alias("part")).agg(F.collect_list(entry).alias("history"))
-    return nested.select(F.to_json(F.struct("meter_id", "history")).alias("request"))
+    good = nested.select(F.to_json(F.struct("meter_id", "history")).alias("request"))
+    # Each user also sends a request without readings and one with a time that does not parse.
+    users = standin.readings(spark, sf_dir, "user_id").select("meter_id").distinct()
+    start = F.concat(F.lit('{"meter_id":"'), F.col("meter_id"))
+    empty = users.select(F.concat(start, F.lit('"}')).alias("request"))
+    bad = users.select(F.concat(start, F.lit('","history":[{"timestamp":"soon","load":1.5}]}')).alias("request"))
+    return good.unionAll(empty).unionAll(bad)
 
 
 @query(
     "request_explode",
     f"""{standin.sql_readings("user_id")}
-SELECT meter_id, ts, {sql_round(COLS)} FROM readings""",
+SELECT meter_id, ts, {sql_round(COLS)} FROM readings
+UNION ALL SELECT DISTINCT meter_id, CAST(NULL AS TIMESTAMP), {", ".join("CAST(NULL AS DOUBLE)" for _ in COLS)} FROM readings
+UNION ALL SELECT DISTINCT meter_id, CAST(NULL AS TIMESTAMP), CAST(1.5 AS DOUBLE),
+{", ".join("CAST(NULL AS DOUBLE)" for _ in COLS[1:])} FROM readings""",
 )
 def request_explode(spark, sf_dir):
-    return rounded(requests.request_explode(_requests(spark, sf_dir), ROLES))
+    return rounded(requests.request_explode(_requests(spark, sf_dir), ROLES).drop("request_id"))
 
 
 @query(
@@ -145,7 +154,7 @@ def request_nest(spark, sf_dir):
     return rounded(
         rows.select(
             "meter_id",
-            F.to_timestamp("e.timestamp").cast("timestamp_ntz").alias("ts"),
+            F.col("e.timestamp").cast("timestamp_ntz").alias("ts"),
             *[F.col(f"e.{c}").alias(c) for c in COLS],
             (F.col("p") + 1).cast("int").alias("position"),
         )
@@ -181,16 +190,17 @@ def forecast_nest(spark, sf_dir):
 
 @query(
     "history_sufficiency",
-    f"""{standin.sql_readings("user_id")}, n AS (
+    f"""{standin.sql_readings("user_id")}, every AS (SELECT meter_id, ts FROM readings
+UNION ALL SELECT event_type, ts FROM events), n AS (
 SELECT meter_id, CAST(count(DISTINCT date_trunc('hour', ts)) AS BIGINT) AS hours
-FROM readings GROUP BY meter_id)
+FROM every GROUP BY meter_id)
 SELECT meter_id, hours, CASE WHEN hours < 168 THEN 'failed' ELSE 'ok' END AS status,
   CASE WHEN hours < 168 THEN 'history has ' || hours || ' of 168 hours' END AS error FROM n""",
 )
 def history_sufficiency(spark, sf_dir):
-    rows = standin.readings(spark, sf_dir, "user_id")
-    hours = rows.select("meter_id", truncate_hour(F.col("ts")).alias("hour")).distinct()
-    return scoring.history_sufficiency(hours)
+    """Users have too few hours, event types have enough (from sf0.01 on)."""
+    both = [standin.readings(spark, sf_dir, m).select("meter_id", F.col("ts").alias("hour")) for m in ("user_id", "event_type")]
+    return scoring.history_sufficiency(both[0].unionAll(both[1]))
 
 
 # -- runs --------------------------------------------------------------------
@@ -206,9 +216,9 @@ UNION ALL SELECT strftime(day, '%Y%m%d'), 'daily_naive', 'RMSE', round(rmse, 6)
 )
 def run_log_append(spark, sf_dir):
     """One record per day of test origins, appended in two writes; then the latest, tidy."""
-    path = scratch_path(use_utc(spark), "runs")
+    path = scratch_path(spark, "runs")
     long = forecasts.forecasts(spark, sf_dir, "user_id").withColumn(
-        "day", F.date_trunc("day", "origin").cast("timestamp_ntz")
+        "day", truncate_day(F.col("origin"))
     )
     y, f = F.col("actual"), F.col("daily_naive")
     daily = long.groupBy("day").agg(
@@ -218,7 +228,7 @@ def run_log_append(spark, sf_dir):
         ).alias("scores")
     )
     records = daily.select(
-        F.date_format("day", "yyyyMMdd").alias("run_id"),
+        F.replace(F.col("day").cast("date").cast("string"), F.lit("-"), F.lit("")).alias("run_id"),
         F.col("day").alias("timestamp"),
         F.create_map(F.lit("learning_rate"), F.lit(0.05)).alias("hyperparameters"),
         F.lit(len(feature_columns(ROLES))).alias("num_features"),

@@ -14,7 +14,8 @@ from meterloom.plans.standin import SPLITS
 
 METHODS = ("point", *baselines.BASELINES)
 ORIGIN = "2024-01-28 12:00:00"
-WEEK = ("2024-01-26 00:00:00", "2024-01-28 23:00:00")
+# Origins in the test period: what there is of the week of seven days from its start.
+WEEK = ("2024-01-26 00:00:00", "2024-02-01 23:00:00")
 USERS = "user_id"
 
 _F = standin.sql_forecasts()
@@ -151,9 +152,9 @@ sliced AS (SELECT *, CAST(hour(target_time) AS INT) AS hour_of_day,
   CASE WHEN month(target_time) IN (12, 1, 2) THEN 'Winter'
     WHEN month(target_time) IN (3, 4, 5) THEN 'Spring'
     WHEN month(target_time) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season,
-  CASE WHEN actual <= train_median THEN 'Low-Load (<=Median)' ELSE 'High-Load (>Median)' END
-    AS load_level
-  FROM forecasts JOIN train USING (meter_id))"""
+  CASE WHEN actual <= train_median THEN 'Low-Load (<=Median)'
+    WHEN actual > train_median THEN 'High-Load (>Median)' ELSE 'Unknown-Load' END AS load_level
+  FROM forecasts LEFT JOIN train USING (meter_id))"""
 _SQL_SLICE_METRICS = f"""round(avg(abs{_ERR}), 6) AS MAE, round(sqrt(avg({_ERR} * {_ERR})), 6) AS RMSE,
 round(avg({_PCT.format(f="point")}), 2) AS MAPE"""
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from meterloom.config import Roles, Splits, profile_flag, short_flag
 from meterloom.operators import gaps, profile, resample
-from meterloom.session import use_utc
 
 ROLES = Roles(
     target="load",
@@ -42,7 +41,7 @@ _MEASUREMENTS = {
 
 # -- Spark -------------------------------------------------------------------
 def readings(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
-    events = use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     with_k = events.withColumn("k", F.get_json_object("props", "$.k").try_cast("double"))
     return with_k.select(
         F.col(meter).cast("string").alias("meter_id"),

@@ -54,9 +54,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-
-
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Zone-free timestamps only keep their wall time under a fixed zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark

@@ -15,7 +15,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def write_hourly(hourly: DataFrame, path: str) -> None:
     """One directory per month; rows are clustered first so that each month has few files."""
-    dated = hourly.withColumn("month", F.date_format("hour", "yyyy-MM"))
+    dated = hourly.withColumn("month", F.substring(F.col("hour").cast("string"), 1, 7))
     # Rebalancing lets adaptive execution split a month that outgrows one task.
     dated.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
 

@@ -24,15 +24,24 @@ def request_schema(roles: Roles) -> T.StructType:
     )
 
 
-def request_explode(requests: DataFrame, roles: Roles, json: str = "request") -> DataFrame:
-    """One row per reading of each JSON request, time parsed."""
-    parsed = requests.select(F.from_json(json, request_schema(roles)).alias("r"))
-    rows = parsed.select("r.meter_id", F.explode("r.history").alias("reading"))
+def request_explode(
+    requests: DataFrame, roles: Roles, json: str = "request", request_id: str | None = None
+) -> DataFrame:
+    """One row per reading of each JSON request, time parsed; no request is lost.
+
+    ``request_id`` names the column that tells requests apart; without it the request's text does,
+    so that two requests of one meter stay two. A request without readings (malformed, no or an
+    empty history) and a reading whose time does not parse keep a row with a null ``ts``.
+    """
+    key = F.col(request_id).cast("string") if request_id else F.sha2(F.col(json).cast("binary"), 256)
+    parsed = requests.select(key.alias("request_id"), F.from_json(json, request_schema(roles)).alias("r"))
+    rows = parsed.select("request_id", "r.meter_id", F.explode_outer("r.history").alias("reading"))
     return rows.select(
+        "request_id",
         "meter_id",
-        F.expr("try_to_timestamp(reading.timestamp)").cast("timestamp_ntz").alias("ts"),
+        F.col("reading.timestamp").try_cast("timestamp_ntz").alias("ts"),
         *[F.col(f"reading.{c}").alias(c) for c in roles.all_cols],
-    ).filter(F.col("ts").isNotNull())
+    )
 
 
 def request_nest(
@@ -55,6 +64,7 @@ def request_nest(
 
 def forecast_nest(scored: DataFrame) -> DataFrame:
     """One nested result row per (meter, origin); each group holds one row per horizon."""
+    # --- Fixed values: the keys of a result.
     entry = F.struct(
         F.col("h").alias("horizon_h"),
         F.col("point").alias("point_pred_kw"),

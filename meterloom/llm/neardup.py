@@ -98,11 +98,12 @@ def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, node, registers = [], [], []
-            for s in _sets(batch.column(1).to_pylist(), width):
-                n.append(len(s))
-                with np.errstate(over="ignore"):
-                    node.append(digest(s) if len(s) else None)
-                    registers.append(sketch(s).tobytes() if len(s) else None)
+            for i in range(0, batch.num_rows, _TEXTS):
+                for s in _sets(batch.column(1).slice(i, _TEXTS).to_pylist(), width):
+                    n.append(len(s))
+                    with np.errstate(over="ignore"):
+                        node.append(digest(s) if len(s) else None)
+                        registers.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(registers, pa.binary())],
                 ["doc_id", "n_shingles", "node", "registers"],
@@ -117,10 +118,11 @@ def full_sets(docs: DataFrame, width: int = 5) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in _sets(batch.column(0).to_pylist(), width) if len(s)]
-            with np.errstate(over="ignore"):
-                columns = [[digest(s) for s in sets], [sketch(s).tobytes() for s in sets], [s.tobytes() for s in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["node", "registers", "shingles"])
+            for i in range(0, batch.num_rows, _TEXTS):
+                sets = [s for s in _sets(batch.column(0).slice(i, _TEXTS).to_pylist(), width) if len(s)]
+                with np.errstate(over="ignore"):
+                    columns = [[digest(s) for s in sets], [sketch(s).tobytes() for s in sets], [s.tobytes() for s in sets]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["node", "registers", "shingles"])
 
     return docs.select("text").mapInArrow(made, "node binary, registers binary, shingles binary")
 
@@ -147,9 +149,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int, differences: bool)
     floor = percent / 100 - 6 * np.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, _TEXTS) for b in batches for i in range(0, b.num_rows, _TEXTS)):
             ra, rb = (np.stack([np.frombuffer(x, "<u2") for x in batch.column(c).to_pylist()]) for c in (2, 4))
             sa, sb = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in (3, 5))
             na, nb = np.array([len(x) for x in sa]), np.array([len(x) for x in sb])

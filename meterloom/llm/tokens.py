@@ -15,8 +15,8 @@ from itertools import islice
 
 import numpy as np
 
-#: Entries that a worker keeps: about 200 MB.
-TABLE = 1_000_000
+#: Entries that a worker keeps: about 100 MB.
+TABLE = 500_000
 
 # Common characters: ASCII, Latin, general punctuation and the euro sign; no controls, no marks.
 _UNUSUAL = re.compile("[^\t\n\r -~¡-ɏ‐-‧‰-⁞€]|<\\|")
@@ -80,9 +80,9 @@ class Encoder:
         return self._direct(text)
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encodes new pieces; a full table goes back to its earliest quarter, which are the commonest."""
+        """Encodes new pieces; a full table goes back to its earliest half, which are the commonest."""
         if len(self.table) + len(pieces) > TABLE:
-            self.table = dict(islice(self.table.items(), TABLE // 4))
+            self.table = dict(islice(self.table.items(), TABLE // 2))
         tokenize, table = self.tokenizer.model.tokenize, self.table
         for p in pieces:
             spelt = p if p.isascii() else p.encode().decode("latin-1").translate(_SPELLING)

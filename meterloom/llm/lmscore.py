@@ -233,7 +233,12 @@ class Filter:
         for r, segment in segments.items():
             self.data[r] = np.frombuffer(segment, np.uint8)
 
-    def level(self, hashes: np.ndarray) -> np.ndarray:
+    def level(self, hashes: np.ndarray, slice_: int = 1 << 17) -> np.ndarray:
+        """Of any number of bigrams, so many at a time."""
+        parts = [self._level(hashes[i : i + slice_]) for i in range(0, len(hashes), slice_)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+    def _level(self, hashes: np.ndarray) -> np.ndarray:
         ranges, low = (hashes >> np.uint64(64 - self.bits)).astype(np.int64), hashes & _LOW
         out, left, level = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 1
         while len(left) and level < 256:

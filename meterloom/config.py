@@ -22,6 +22,14 @@ TOP_FEATURES = 20
 CV_FOLDS = 3
 TUNING_HORIZON = 12
 TUNING_TRIALS = 10
+TUNING_TREES = 300
+TUNING_PATIENCE = 30
+SEARCH = {
+    "learning_rate": (0.02, 0.1),
+    "max_depth": (4, 8),
+    "feature_fraction": (0.6, 0.9),
+    "row_fraction": (0.6, 0.9),
+}
 DATE_TIME_PATTERN = "d/M/yyyy H:mm:ss"
 # ----------------------------------------------------------------------------
 

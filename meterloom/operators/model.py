@@ -27,7 +27,10 @@ from meterloom.config import (
     CV_FOLDS,
     HORIZON,
     QUANTILES,
+    SEARCH,
     TUNING_HORIZON,
+    TUNING_PATIENCE,
+    TUNING_TREES,
     TUNING_TRIALS,
     Roles,
     Splits,
@@ -38,9 +41,6 @@ from meterloom.functions.scalars import repaired_lower, repaired_upper
 from meterloom.operators.features import horizon_long, with_calendar
 
 KEYS = ("meter_id", "hour")
-# Leaves with fewer calibration rows than this use the interval of all rows.
-MIN_LEAF_ROWS = 50
-
 
 @dataclass(frozen=True)
 class Params:
@@ -57,9 +57,15 @@ class Params:
     feature_fraction: float = 0.8
     row_fraction: float = 0.8
     interval_depth: int = 5
+    # Leaves with fewer calibration rows than this use the interval of all rows.
+    min_leaf_rows: int = 50
     seed: int = 42
 
 
+#: What a trial of the search may spend.
+TUNING = Params(max_iter=TUNING_TREES, patience=TUNING_PATIENCE)
+
+
 @dataclass(frozen=True)
 class Forecaster:
     point: PipelineModel
@@ -129,8 +135,8 @@ def fit_point(rows: DataFrame, roles: Roles, params: Params, horizons: int = HOR
 
     The built-in validation stops at the first flat round, so patience is applied to the
     validation loss of every prefix of a fitted model. The number of trees tried doubles until
-    the best prefix is followed by ``patience`` flat rounds or the cap is reached; the same seed
-    then gives the chosen prefix.
+    the best prefix is followed by ``patience`` flat rounds or the cap is reached; the model that is
+    kept consists of the first trees of that fit.
     """
     assembler = VectorAssembler(inputCols=model_inputs(roles), outputCol="features")
     vectors = assembler.transform(rows).select("features", F.col("y").cast("double"), "is_val")
@@ -156,7 +162,20 @@ def fit_point(rows: DataFrame, roles: Roles, params: Params, horizons: int = HOR
         if settled or tried == params.max_iter:
             break
         tried = min(params.max_iter, 2 * tried)
-    return PipelineModel([assembler, booster if kept == tried else boost(kept)])
+    return PipelineModel([assembler, booster if kept == tried else first_trees(booster, kept)])
+
+
+def first_trees(booster: GBTRegressionModel, kept: int) -> GBTRegressionModel:
+    """The model of the first ``kept`` trees, which equals a fit of so many with the same seed."""
+    gateway = SparkSession.active().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, kept), gateway.new_array(gateway.jvm.double, kept)
+    for i, (tree, weight) in enumerate(zip(booster._java_obj.trees()[:kept], booster.treeWeights[:kept], strict=True)):
+        trees[i], weights[i] = tree, weight
+    made = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+        f"{booster.uid}_{kept}", trees, weights, booster.numFeatures
+    )
+    return GBTRegressionModel(made).setFeaturesCol("features").setPredictionCol(booster.getPredictionCol())
 
 
 def fit_interval(
@@ -188,7 +207,7 @@ def fit_interval(
     bands = {
         int(r.leaf): (float(r.q[0]), float(r.q[1]))
         for r in per_leaf
-        if r.leaf is not None and r.n >= MIN_LEAF_ROWS
+        if r.leaf is not None and r.n >= params.min_leaf_rows
     }
     return tree, bands, overall
 
@@ -256,10 +275,10 @@ def draw_trials(trials: int, base: Params) -> list[Params]:
     return [
         replace(
             base,
-            learning_rate=round(draw.uniform(0.02, 0.1), 4),
-            max_depth=draw.randint(4, 8),
-            feature_fraction=round(draw.uniform(0.6, 0.9), 3),
-            row_fraction=round(draw.uniform(0.6, 0.9), 3),
+            learning_rate=round(draw.uniform(*SEARCH["learning_rate"]), 4),
+            max_depth=draw.randint(*SEARCH["max_depth"]),
+            feature_fraction=round(draw.uniform(*SEARCH["feature_fraction"]), 3),
+            row_fraction=round(draw.uniform(*SEARCH["row_fraction"]), 3),
         )
         for _ in range(trials)
     ]
@@ -280,7 +299,7 @@ def tune(
     distributed job; ``parallelism`` fits are in flight at a time.
     """
     spark = matrix.sparkSession
-    base = base or Params()
+    base = base or TUNING
     candidates = draw_trials(trials, base)
     before = matrix.filter(F.col("hour") < _at(splits.test_start))
     at_h = before.select(
@@ -328,18 +347,13 @@ def best_trial(table: DataFrame) -> DataFrame:
 
 # -- importance, persistence -----------------------------------------------------
 def importance_tables(model: Forecaster) -> list[DataFrame]:
-    """(feature, importance) of the point and of the interval model, one row per input."""
-    spark = SparkSession.active()
-    return [
-        spark.createDataFrame(
-            [(name, float(v)) for name, v in zip(model.inputs, vector.toArray(), strict=True)],
-            "feature string, importance double",
-        )
-        for vector in (
-            model.point.stages[-1].featureImportances,
-            model.interval.featureImportances,
-        )
-    ]
+    """(feature, importance) of the point models, one row per input.
+
+    The interval tree is left out: it predicts the size of errors, not the load.
+    """
+    rows = zip(model.inputs, model.point.stages[-1].featureImportances.toArray(), strict=True)
+    named = [(name, float(v)) for name, v in rows]
+    return [SparkSession.active().createDataFrame(named, "feature string, importance double")]
 
 
 _STATE = (

@@ -225,13 +225,13 @@ def latest_origin_per_meter(spark, sf_dir):
     "append_future_rows",
     f"""{standin.sql_hourly("user_id")}, last AS (
 SELECT meter_id, max(hour) AS hour FROM hourly GROUP BY meter_id)
-SELECT meter_id, hour, {sql_round(["load", "voltage"])} FROM hourly
-UNION ALL SELECT meter_id, hour + to_hours(h), 0.0, 0.0 FROM last,
+SELECT meter_id, hour, {sql_round(COLS)} FROM hourly
+UNION ALL SELECT meter_id, hour + to_hours(h), {", ".join("0.0" for _ in COLS)} FROM last,
   (SELECT CAST(unnest(range(1, 25)) AS INT) AS h)""",
 )
 def append_future_rows(spark, sf_dir):
     hourly = standin.hourly(spark, sf_dir, "user_id")
-    return rounded(feat.append_future_rows(hourly, ["load", "voltage"]))
+    return rounded(feat.append_future_rows(hourly, COLS))
 
 
 @query(

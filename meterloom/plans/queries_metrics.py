@@ -316,7 +316,10 @@ def history_context(spark, sf_dir):
 
 
 # Importance stand-in: how strongly a feature moves with the load h hours later.
-_LAGS = {1: (1, 2, 3, 24), 24: (1, 24, 25, 48, 168)}
+_LAGS = {
+    1: (1, 2, 3, 4, 5, 6, 12, 23, 24, 25, 36, 48, 72),
+    24: (1, 12, 24, 25, 26, 47, 48, 49, 60, 72, 84, 96, 120, 144, 168),
+}
 
 
 def _sql_importance(h: int) -> str:

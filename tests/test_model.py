@@ -1,12 +1,16 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from meterloom.config import Roles, Splits
 from meterloom.operators import features, metrics, model, profile, scoring
 from meterloom.plans import pipeline
 from meterloom.session import scratch_path
+from meterloom.sources import runs
+from meterloom.sources.requests import request_explode
 
 ROLES = Roles("load", ("volt",), ("load",), ("volt",))
 SPLITS = Splits("2024-01-29 00:00:00", "2024-02-05 00:00:00")
@@ -103,3 +107,55 @@ def test_tuning_picks_the_lowest_mean(trained):
     assert len(pdf) == 6
     winner = pdf.groupby("trial")["mae"].mean().idxmin()
     assert best == model.draw_trials(2, base)[winner]
+
+
+def test_a_run_is_recorded(spark, trained):
+    root, _, result = trained
+    log = runs.read_runs(spark, f"{root}/runs").collect()
+    assert len(log) == 1
+    run = log[0]
+    assert run.hyperparameters["max_iter"] == 12 and run.hyperparameters["trees"] == result.forecaster.trees
+    assert run.num_features == len(result.forecaster.inputs) and run.training_time_seconds > 0
+    by = {r.method: r.MAE for r in result.comparison.collect()}
+    assert {m: run.metrics[m]["MAE"] for m in by} == by
+    assert run.metrics["times"]["prediction_time_s"] > 0 and "coverage_rate_90pct" in run.metrics["interval"]
+
+
+def test_importance_is_the_point_models(trained):
+    table, = model.importance_tables(trained[2].forecaster)
+    rows = {r.feature: r.importance for r in table.collect()}
+    assert set(rows) == set(trained[2].forecaster.inputs) and abs(sum(rows.values()) - 1) < 1e-6
+
+
+def test_the_first_trees_equal_a_smaller_fit(spark):
+    rows = spark.range(400).select(F.rand(1).alias("a"), F.rand(2).alias("b")).withColumn("y", F.col("a") * 2 + F.col("b"))
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).cache()
+
+    def fit(trees):
+        kind = GBTRegressor(labelCol="y", predictionCol="point", maxIter=trees, seed=3, subsamplingRate=0.8, maxDepth=3)
+        return kind.fit(vectors)
+
+    first, small = model.first_trees(fit(6), 3), fit(3)
+    assert [r.point for r in first.transform(vectors).collect()] == [r.point for r in small.transform(vectors).collect()]
+    assert len(first.trees) == 3 and first.featureImportances == small.featureImportances
+
+
+def test_every_request_has_a_result(spark, trained):
+    """Good, short, empty, unreadable and untimed requests, and two requests of one meter."""
+    root, readings, _ = trained
+    rows = readings.filter("meter_id = 'a'").select("ts", "load", "volt").orderBy("ts").limit(400).collect()
+    entries = [f'{{"timestamp":"{r.ts.isoformat()}","load":{r.load},"volt":{r.volt}}}' for r in rows]
+    history = lambda part: '{"meter_id":"a","history":[%s]}' % ",".join(part)
+    texts = {
+        "good": history(entries), "again": history(entries[:300]), "short": history(entries[:100]), "empty": history([]),
+        "none": '{"meter_id":"a"}', "garbage": "garbage", "untimed": '{"meter_id":"a","history":[{"timestamp":"soon","load":1.0}]}',
+    }
+    asked = spark.createDataFrame(list(texts.items()), "id string, request string")
+    exploded = request_explode(asked, ROLES, request_id="id")
+    found = {r.request_id: r for r in pipeline.batch_score(spark, root, exploded).collect()}
+    assert set(found) == set(texts)
+    assert {k for k, r in found.items() if r.status == "ok"} == {"good", "again"}
+    assert found["good"].forecast_origin_timestamp != found["again"].forecast_origin_timestamp
+    assert len(found["good"].predictions) == 24
+    assert all(r.error for k, r in found.items() if k not in ("good", "again"))
+    assert found["short"].error == "history has 100 of 168 hours"

@@ -114,3 +114,17 @@ def test_hourly_stream_equals_batch(spark, tmp_path):
         ("a", "02"): (4.0, None),
         ("b", "00"): (0.0, 228.0),
     }
+
+
+def test_a_range_of_hours_opens_its_months_only(spark):
+    hours = pd.date_range("2024-01-30", "2024-04-02", freq="6h")
+    rows = [(m, h.to_pydatetime(), float(i)) for m in "ab" for i, h in enumerate(hours)]
+    path = scratch_path(spark, "months")
+    hourly_table.write_hourly(spark.createDataFrame(rows, "meter_id string, hour timestamp_ntz, load double"), path)
+    first, last = "2024-02-28 06:00:00", "2024-03-31 12:00:00"
+    found = hourly_table.hourly_between(spark, path, first, last)
+    wanted = [r for r in rows if pd.Timestamp(first) <= r[1] <= pd.Timestamp(last)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "month" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert hourly_table.hourly_between(spark, path).count() == len(rows)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.config import feature_columns
-from meterloom.operators import baselines, metrics, model
+from meterloom.operators import baselines, metrics, model, scoring
 from meterloom.operators import features as feat
 from meterloom.plans import queries_models, standin
 from meterloom.plans.queries_ingest import TEXT_COLUMNS, text_path
@@ -75,7 +75,9 @@ def one_pass(spark: SparkSession, text: str, small_matrix: DataFrame, root: str)
 
     def score_latest() -> DataFrame:
         bounds = feat.clip_bounds(hourly, COLS, SPLITS.val_start)
-        frame = feat.feature_frame(hourly, ROLES, bounds, with_targets=False)
+        # The hourly table has no holes: the newest features need what they reach, no more.
+        recent = scoring.tail_of(hourly, feat.HISTORY_REACH + 1)
+        frame = feat.feature_frame(recent, ROLES, bounds, with_targets=False)
         latest = feat.latest_origin(feat.complete_cases(frame, feature_columns(ROLES)))
         return model.score_long(forecaster, feat.downcast(latest))
 

@@ -155,7 +155,7 @@ def fit_point(rows: DataFrame, roles: Roles, params: Params, horizons: int = HOR
             seed=params.seed,
         ).fit(train)
 
-    tried = min(params.max_iter, 2 * params.patience)
+    tried = min(params.max_iter, params.patience + max(1, params.patience // 4))
     while True:
         booster = boost(tried)
         kept, settled = best_iteration(booster.evaluateEachIteration(val, "squared"), params.patience)

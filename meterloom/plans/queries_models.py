@@ -57,10 +57,10 @@ def _test_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- the rows that models see, in SQL --------------------------------------------
 # A feature row needs 169 hours before it, a training row 24 after it as well.
-_SQL_ROWS = f"""{standin.sql_hourly()}, numbered AS (
+_SQL_ROWS = f"""{standin.sql_hourly()}, placed AS (
 SELECT meter_id, hour, load, row_number() OVER (PARTITION BY meter_id ORDER BY hour) - 1 AS rn,
   count(*) OVER (PARTITION BY meter_id) AS n FROM hourly),
-matrix AS (SELECT * FROM numbered WHERE rn >= 169 AND rn < n - 24),
+matrix AS (SELECT * FROM placed WHERE rn >= 169 AND rn < n - 24),
 steps AS (SELECT CAST(unnest(range(1, 25)) AS INT) AS h),
 test AS (SELECT meter_id, hour AS origin, h, hour + to_hours(h) AS target_time
   FROM matrix, steps WHERE hour >= TIMESTAMP '{SPLITS.test_start}')"""
@@ -174,7 +174,7 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE hour <= TIMESTAMP '{ORIGIN}' AND date_diff('hour', hour, TIMESTAMP '{ORIGIN}') <
   CASE meter_id WHEN 'click' THEN 100 WHEN 'view' THEN 168 ELSE 10000 END GROUP BY meter_id)
 SELECT meter_id, CASE WHEN hours >= 170 THEN '{ORIGIN.replace(" ", "T")}' END AS forecast_origin_timestamp,
-CAST(CASE WHEN hours >= 170 THEN 24 END AS INT) AS steps,
+CAST(CASE WHEN hours >= 170 THEN 24 END AS DOUBLE) AS steps,
 CASE WHEN hours >= 170 THEN 'ok' ELSE 'failed' END AS status,
 CASE WHEN hours < 168 THEN 'history has ' || hours || ' of 168 hours'
   WHEN hours < 170 THEN 'no complete feature row; 170 gap-free hours are needed' END AS error FROM r""",
@@ -183,7 +183,7 @@ def batch_score_meters(spark, sf_dir):
     scored = scoring.batch_score_meters(
         fitted(spark, sf_dir), _requests(spark, sf_dir), _bounds(spark, sf_dir)
     )
-    steps = F.when(F.col("predictions").isNotNull(), F.size("predictions"))
+    steps = F.when(F.col("predictions").isNotNull(), F.size("predictions").cast("double"))
     return scored.select("meter_id", "forecast_origin_timestamp", steps.alias("steps"), "status", "error")
 
 

@@ -7,6 +7,7 @@ matrix and the scored test set. They also bound what a lost executor has to redo
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 
@@ -27,12 +28,19 @@ def clean_hourly(
     splits: Splits,
     max_gap: int = MAX_GAP,
     empty_sum: str = "zero",
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Readings to the gap-free hourly table: meter_id, hour, values and imputation flags."""
+    """Readings to the gap-free hourly table: meter_id, hour, values and imputation flags.
+
+    ``store`` writes the hours before imputation and reads them back, so that the profile and what
+    it fills don't each run the gap fill.
+    """
     filled = gaps.interpolate_short_gaps(readings, roles.all_cols, max_gap)
     hourly = resample.resample_hourly(
         filled, roles, empty_sum, bounds=resample.meter_bounds(readings)
     )
+    if store is not None:
+        hourly = store(hourly)
     return profile.profile_impute(hourly, roles.all_cols, splits.val_start)
 
 
@@ -62,8 +70,12 @@ def train_and_evaluate(
 ) -> Result:
     """Clean, build features, tune (if asked), fit, save, score the test set and report."""
     spark = readings.sparkSession
+
+    def raw(table: DataFrame) -> DataFrame:
+        return _store(spark, table, f"{root}/raw_hourly")
+
     hourly = hourly_table(
-        spark, f"{root}/hourly", lambda: clean_hourly(readings, roles, splits, max_gap)
+        spark, f"{root}/hourly", lambda: clean_hourly(readings, roles, splits, max_gap, store=raw)
     )
     bounds = _store(
         spark, features.clip_bounds(hourly, roles.all_cols, splits.val_start), f"{root}/clip_bounds"

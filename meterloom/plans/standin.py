@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from meterloom.config import Roles, Splits, profile_flag, short_flag
 from meterloom.operators import gaps, profile, resample
+from meterloom.session import scratch_path
 
 ROLES = Roles(
     target="load",
@@ -61,7 +62,10 @@ def raw_hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> D
 
 
 def hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
-    return profile.profile_impute(raw_hourly(spark, sf_dir, meter), COLS, SPLITS.val_start)
+    """Written before the profile is taken from it and joined to it: the gap fill runs once."""
+    path = scratch_path(spark, "raw-hourly")
+    raw_hourly(spark, sf_dir, meter).write.parquet(path)
+    return profile.profile_impute(spark.read.parquet(path), COLS, SPLITS.val_start)
 
 
 # -- the same in SQL ---------------------------------------------------------

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import remainder
+from meterloom.llm.common import remainder, stored
 
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -48,8 +48,9 @@ def fit(
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
     key = F.xxhash64("text")
     rows = rows.select("lang", "text", key.alias("key"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    # A row a language; the thresholds leave about 3 * sample rows of each.
+    # A row a language, stored, so that Spark sees its size and deals no text by language; the
+    # thresholds leave about 3 * sample rows of each.
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
     chance = (F.col("key").cast("double") / 2.0**64 + 0.5) * F.col("n") <= 3 * sample
     room = F.greatest(F.length("text") - slice_chars, F.lit(0)) + 1
     cut = F.substring("text", (F.pmod(F.hash("key"), room) + 1).cast("int"), F.lit(slice_chars))

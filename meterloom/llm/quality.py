@@ -156,6 +156,11 @@ def _pooled(groups: DataFrame, prior: float) -> DataFrame:
     )
 
 
+def _per_group(rows: DataFrame, name: str) -> DataFrame:
+    """A row a group in one file, so that Spark sees how small it is and deals no texts by group."""
+    return stored(rows.repartition(1), name)
+
+
 def estimate(vectors: DataFrame, *, steps: int = 3, core: float = 0.75, prior: float = 50.0, accuracy: int = 1000) -> DataFrame:
     """Centre and Cholesky factor of each group, from rows of group, lang_key and x_0, x_1, ..."""
     xs = range(_SIZE)
@@ -168,18 +173,19 @@ def estimate(vectors: DataFrame, *, steps: int = 3, core: float = 0.75, prior: f
         *[F.col(f"t_{i}")[1].alias(f"m_{i}") for i in xs],
         *[(((F.col(f"t_{i}")[2] - F.col(f"t_{i}")[0]) / 1.349) ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS],
     )
-    found = stored(_cholesky(found), "mcd-start")
+    found = _per_group(_cholesky(found), "mcd-start")
     for step in range(steps):
         rows = _distance(vectors.join(found, "group")).select("group", "lang_key", "d2", *[f"x_{i}" for i in xs])
-        # Stored, so that Spark knows how small it is and deals no rows by group.
-        limits = stored(rows.groupBy("group").agg(F.percentile_approx("d2", core, accuracy).alias("limit")), f"mcd-limits-{step}")
+        limits = rows.groupBy("group").agg(F.percentile_approx("d2", core, accuracy).alias("limit"))
+        limits = _per_group(limits, f"mcd-limits-{step}")
         near = rows.join(limits, "group").where("d2 <= limit")
         moments = near.groupBy("group", "lang_key").agg(
             F.count("*").alias("n"),
             *[F.avg(f"x_{i}").alias(f"m_{i}") for i in xs],
             *[F.covar_pop(f"x_{i}", f"x_{j}").alias(f"c_{i}_{j}") for i, j in _PAIRS],
         )
-        found = stored(_cholesky(_pooled(moments, prior)).drop("lang_key", *[f"c_{i}_{j}" for i, j in _PAIRS]), f"mcd-{step}")
+        moments = _per_group(moments, f"mcd-moments-{step}")
+        found = _per_group(_cholesky(_pooled(moments, prior)).drop("lang_key", *[f"c_{i}_{j}" for i, j in _PAIRS]), f"mcd-{step}")
     return found
 
 

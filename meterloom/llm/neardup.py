@@ -257,6 +257,34 @@ def op6(docs: DataFrame, percent: int = 85) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+#: DuckDB SQL for the query: all pairs that share a shingle, then reachability.
+ORACLE_OP6 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) >= 5 THEN list_distinct(list_transform(range(1, len(words) - 3),
+      lambda i: array_to_string(words[i:i + 4], ' ')))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles FROM w
+), sized AS (
+  SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n, shingles FROM sets
+), s AS (
+  SELECT doc_id, n, unnest(shingles) AS shingle FROM sized
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sized UNION SELECT r.doc_id, e.y FROM reached r JOIN edges e ON r.other = e.x
+), named AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT sized.doc_id, n AS n_shingles, component_id, sized.doc_id = component_id AS kept
+FROM sized JOIN named ON sized.doc_id = named.doc_id
+"""
+
+
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns; rows that repeat a kept doc_id go as well."""
     found = linked_components(docs, percent).where("doc_id IS NOT NULL")

@@ -68,5 +68,6 @@ QUERIES: dict[str, Query] = {
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": chat.ORACLE_OP2,
+    "op6_setsketch": neardup.ORACLE_OP6,
     "op8_arc_to_warc": warc.ORACLE_OP8,
 }

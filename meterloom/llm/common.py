@@ -44,6 +44,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def every(columns: list[str]) -> list[Column]:
+    """Columns by name, whatever characters the names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows, written once below the shared folder: later steps and lost executors reread them."""
     spark = df.sparkSession

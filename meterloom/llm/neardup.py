@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import stored
+from meterloom.llm.common import every, stored
 from meterloom.llm.graph import components
 from meterloom.llm.shingles import constants, mixed, shingle_sets
 
@@ -293,4 +293,5 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     again = stored(found.where("c = doc_id AND n > 1").select("doc_id"), "repeated-ids")
     kept = docs.join(gone, "doc_id", "left_anti")
     once = kept.join(again, "doc_id", "left_anti")
-    return once.select(docs.columns).union(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    one = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.select(every(docs.columns)).union(one.select(every(docs.columns)))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import SPACE, let, stored
+from meterloom.llm.common import SPACE, every, let, stored
 
 WINDOW = 5
 #: Names of the vector's parts, each with its variance floor.
@@ -199,7 +199,7 @@ def judged(docs: DataFrame, *, keep: list[str], cut: float = 60.0, short: float
     """Columns ``keep`` in a struct ``doc``, stats, d2 (robust squared distance) and rejected."""
     rows = stored(
         docs.select(
-            F.struct(*keep).alias("doc"),
+            F.struct(*every(keep)).alias("doc"),
             statistics(F.col("text")).alias("stats"),
             _group(F.col("lang"), F.col("source")).alias("group"),
             F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("-")).alias("lang_key"),

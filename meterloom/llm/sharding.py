@@ -87,9 +87,12 @@ def with_slots(rows: DataFrame, pieces: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, plan: DataFrame, path: str) -> None:
-    """Documents as Parquet, a folder a shard; the join spreads a hot shard over its files."""
+    """Documents as Parquet, a folder a shard; the join spreads a hot shard over its files.
+
+    Columns of the documents that are named shard or slot give way to the plan's.
+    """
     plan = plan.select("doc_id", "shard", "slot")
-    docs.join(plan, "doc_id").write.partitionBy("shard").parquet(path)
+    docs.drop("shard", "slot").join(plan, "doc_id").write.partitionBy("shard").parquet(path)
 
 
 def op7(docs: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from meterloom.llm import pii
+from meterloom.llm import neardup, pii, quality
 from meterloom.llm.common import stored
 from meterloom.llm.queries import ORACLES, QUERIES, word_tokenizer
 from tests.llm.cases import awkward, documents
@@ -80,3 +81,10 @@ def test_registration():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLES) <= set(oracle_sql()) and "pipeline" not in oracle_sql()
     assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_odd_column_names_pass_through(spark):
+    docs = documents(spark, [(i, t) for i, t in awkward() if i is not None and i > 9]).withColumn("a.b `c`", F.lit(1))
+    for stage in (quality.passed, neardup.one_of_each, pii.masked_texts):
+        kept = stage(docs)
+        assert kept.columns == docs.columns and kept.where("`a.b ``c``` <> 1").count() == 0

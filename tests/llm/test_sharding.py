@@ -67,6 +67,6 @@ def test_awkward_rows(spark):
 def test_written_shards_hold_their_documents(spark, tmp_path):
     docs = documents(spark, [(i, prose(i, 20)) for i in range(50)])
     plan = sharding.assign_shards(docs.select("doc_id", "text"), 3)
-    sharding.write_shards(docs.drop("shard"), plan, str(tmp_path / "out"))
+    sharding.write_shards(docs, plan, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.doc_id, r.shard) for r in back.collect()) == sorted((r.doc_id, r.shard) for r in plan.collect())

@@ -5,10 +5,10 @@ through ranges of 64-bit token hashes: each block sends the sorted hashes of its
 training counts, a range adds them up and answers every block. So the exact count of every token comes
 back to where the texts are, a hot word is one number a block, and ranges grow in number with the data.
 
-Bigrams of training texts go the same way, counted in the block first; those of tokens seen once occur
-once and stay home. A bigram of count ``c`` has the level ``floor(log_base(c))`` and is stored under the
-keys (bigram, 1) ... (bigram, level): a count is read back by probing level after level until one is
-missing, so common bigrams have more bits and a false hit costs one level. The filter has a segment for
+Bigrams of training texts go the same way, counted in the block first. A bigram of count ``c`` has the
+level ``1 + floor(log_base(c))``, 1 for a single occurrence, and is stored under the keys (bigram, 1) ...
+(bigram, level): a count is read back by probing level after level until one is missing, so common
+bigrams have more bits and a false hit costs one level. The filter has a segment for
 each range, built in the range, ``bits_per_key`` bits a key, and never more than ``most_bits`` in all,
 which bounds the broadcast: when the corpus outgrows that, the lowest levels that don't fit are left out
 for all bigrams alike (``floor``), by a histogram of levels over all data.
@@ -16,7 +16,7 @@ for all bigrams alike (``floor``), by a histogram of levels over all data.
     P1(w)   = (c(w) + 0.5) / (N + 0.5 (V + 1))
     P(w|v)  = weight * count(v, w) / c(v) + (1 - weight) * P1(w)      (P1 after a context never seen)
 
-``count`` is the lower bound base ** level, so the P(w|v) of a context sum to 1 at most. The context
+``count`` is the lower bound base ** (level - 1), so the P(w|v) of a context sum to 1 at most. The context
 of a text's first token is the end token.
 
 Defined results: a null text is empty: its one token is the end; repeated rows count each; ids may be
@@ -173,15 +173,14 @@ def _opened(row: dict) -> tuple[np.ndarray, ...]:
 
 
 def bigram_parts(counted: DataFrame, bits: int) -> DataFrame:
-    """range, hashes (40 bits) and counts of each block's training bigrams that may occur again."""
+    """range, hashes (40 bits) and counts of each block's training bigrams."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 hashes, counts, stream, starts, lengths, training = _opened(row)
                 before, pairs = _pairs(hashes, stream, starts)
-                again = (counts[stream] > 1) & ((before < 0) | (counts[before] > 1)) & np.repeat(training, lengths)
-                found, n = np.unique(pairs[again], return_counts=True)
+                found, n = np.unique(pairs[np.repeat(training, lengths)], return_counts=True)
                 cuts = _range_cuts(found, bits)
                 full = np.flatnonzero(np.diff(cuts))
                 yield pa.RecordBatch.from_arrays(
@@ -196,19 +195,24 @@ def bigram_parts(counted: DataFrame, bits: int) -> DataFrame:
     return counted.mapInArrow(parts, "range int, hashes binary, counts binary")
 
 
+def _levels(counts: np.ndarray, base: float) -> np.ndarray:
+    """1 + floor(log_base(count)); 0 for what doesn't occur."""
+    logs = np.log(np.maximum(counts, 1)) / math.log(base)
+    return np.where(counts > 0, np.minimum(1 + np.floor(logs + 1e-9), 255), 0).astype(np.uint8)
+
+
 def quantised(parts: DataFrame, base: float) -> DataFrame:
-    """range, hashes and levels of the bigrams with a level of 1 or more, and how many have each level."""
+    """range, hashes and levels of the bigrams, and how many have each level."""
 
     def added(group: pd.DataFrame) -> pd.DataFrame:
         every, place = np.unique(np.concatenate([_unpack40(x) for x in group["hashes"]]), return_inverse=True)
         counts = np.concatenate([np.frombuffer(x, "<i4") for x in group["counts"]])
         total = np.bincount(place, weights=counts, minlength=len(every))
-        levels = np.floor(np.log(np.maximum(total, 1)) / math.log(base) + 1e-9).astype(np.uint8)
-        kept = levels > 0
+        levels = _levels(total, base)
         return pd.DataFrame({
             "range": [group["range"].iloc[0]],
-            "hashes": [_pack40(every[kept])],
-            "levels": [levels[kept].tobytes()],
+            "hashes": [_pack40(every)],
+            "levels": [levels.tobytes()],
             "histogram": [np.bincount(levels, minlength=256)[:256].tolist()],
         })
 
@@ -290,10 +294,10 @@ def scored(counted: DataFrame, shared, distinct: int, tokens: int, weight: float
                 end = np.searchsorted(hashes, END)  # every block has the end
                 context = counts[np.where(before < 0, end, before)]
                 one = (c + 0.5) / spread
-                likely = (c > 1) & (context > 1)
+                likely = (c > 0) & (context > 0)
                 together = np.zeros(len(c))
                 levels = bloom.level(pairs[likely])
-                together[likely] = np.where(levels > 0, bloom.base**levels, 0)
+                together[likely] = np.where(levels > 0, bloom.base ** (levels - 1.0), 0)
                 together = np.minimum(together, np.minimum(c, context))
                 two = np.where(context > 0, weight * together / np.maximum(context, 1) + (1 - weight) * one, one)
                 per = lambda x: np.add.reduceat(x, starts)

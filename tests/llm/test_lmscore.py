@@ -103,3 +103,36 @@ def test_nothing_to_learn_from(spark):
     rows = lmscore.score_texts(documents(spark, [(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in rows} == {(1, 3, 0, 0), (2, 1, 0, 0)}
     assert lmscore.op9(documents(spark, awkward()).limit(0)).count() == 0
+
+
+def true_scores(texts, held, base=2.0):
+    """Scores by true counts, rounded down to a power of the base: a bigram that occurs once counts as one."""
+    one, two = Counter(), Counter()
+    for i, x in texts:
+        if not held(i):
+            t = tokens(x)
+            one.update(t)
+            two.update(zip([None, *t[:-1]], t, strict=True))
+    n, v = sum(one.values()), len(one)
+    for i, x in texts:
+        t, total = tokens(x), 0.0
+        for a, b in zip([None, *t[:-1]], t, strict=True):
+            p = (one[b] + 0.5) / (n + 0.5 * (v + 1))
+            if one[a]:
+                together = base ** math.floor(math.log(two[a, b], base) + 1e-9) if two[a, b] else 0
+                p = 0.2 * together / one[a] + 0.8 * p
+            total += math.log10(p)
+        yield i, total
+
+
+def test_bigrams_that_occur_once_count(spark):
+    """In training texts every bigram occurs, most of them once, some of words that occur once."""
+    texts = [(i, " ".join(f"w{(i * 37 + k * k) % 150}" if k % 7 else f"only{i}x{k}" for k in range(60))) for i in range(60)]
+    held = lambda i: i % 6 == 0
+    texts += [(600 + i, texts[i][1]) for i in range(60) if i % 6 == 1]
+    texts = [(i, f"{x} only{i + 1}x7 w{((i + 1) * 37 + 64) % 150}" if held(i) else x) for i, x in texts]
+    rows = lmscore.score_texts(documents(spark, texts), F.col("doc_id") % 6 != 0).collect()
+    got = {r.doc_id: r.score for r in rows}
+    want = dict(true_scores(texts, held))
+    assert all(abs(got[i] - want[i]) < 0.02 * abs(want[i]) for i in got if not held(i))
+    assert all(abs(got[i] - want[i]) < 0.1 * abs(want[i]) for i in got)

@@ -5,13 +5,13 @@ through ranges of 64-bit token hashes: each block sends the sorted hashes of its
 training counts, a range adds them up and answers every block. So the exact count of every token comes
 back to where the texts are, a hot word is one number a block, and ranges grow in number with the data.
 
-Bigrams of training texts go the same way, counted in the block first. A bigram of count ``c`` has the
+Bigrams go the same way, counted in the block first. A bigram of count ``c`` has the
 level ``1 + floor(log_base(c))``, 1 for a single occurrence, and is stored under the keys (bigram, 1) ...
 (bigram, level): a count is read back by probing level after level until one is missing, so common
-bigrams have more bits and a false hit costs one level. The filter has a segment for
-each range, built in the range, ``bits_per_key`` bits a key, and never more than ``most_bits`` in all,
-which bounds the broadcast: when the corpus outgrows that, the lowest levels that don't fit are left out
-for all bigrams alike (``floor``), by a histogram of levels over all data.
+bigrams have more bits and a false hit costs one level. The filter has a segment for each range, of
+``bits_per_key`` bits a key, which is built and probed in the range and nowhere else: only levels go back
+to the blocks. Segments grow in number with the data and hold every level at every size; none has more
+than about ``most_bits`` bits.
 
     P1(w)   = (c(w) + 0.5) / (N + 0.5 (V + 1))
     P(w|v)  = weight * count(v, w) / c(v) + (1 - weight) * P1(w)      (P1 after a context never seen)
@@ -54,15 +54,24 @@ def _tokens(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def _pack40(x: np.ndarray) -> bytes:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    """Byte after byte of all: what is alike compresses."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
 
 
 def _unpack40(data: bytes) -> np.ndarray:
     wide = np.zeros((len(data) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(5, -1).T
     return wide.view("<u8").ravel()
 
 
+def _pack32(x: np.ndarray) -> bytes:
+    return x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack32(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def token_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """block, ids, training (a byte a document), lengths, vocabulary (sorted hashes), stream (places in it)."""
     kind = dict(docs.dtypes)["doc_id"]
@@ -154,45 +163,53 @@ def counted_vocabularies(parts: DataFrame) -> DataFrame:
     return parts.groupBy("range").applyInPandas(added, "block long, range int, counts binary, distinct long, tokens long")
 
 
-def _pairs(hashes: np.ndarray, stream: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context place and hash of the bigram that ends at each token; -1 marks the end as a context."""
+def _pairs(hashes: np.ndarray, stream: np.ndarray, starts: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Context place and key of the bigram that ends at each token; -1 marks the end as a context.
+
+    A key has the range in its top ``bits`` and 40 bits inside it.
+    """
     before = np.empty(len(stream), np.int64)
     before[1:] = stream[:-1]
     before[starts] = -1
     context = np.where(before >= 0, hashes[before], END)
-    return before, mixed(context * _PAIR[0] + hashes[stream] * _PAIR[1])
+    kept = _LOW | np.uint64(((1 << bits) - 1) << (64 - bits))
+    return before, mixed(context * _PAIR[0] + hashes[stream] * _PAIR[1]) & kept
 
 
 def _opened(row: dict) -> tuple[np.ndarray, ...]:
-    """hashes, counts, stream, first token of each document, lengths, training of a counted block."""
+    """hashes, stream, first token of each document, lengths, training of a block."""
     hashes = np.frombuffer(row["vocabulary"], "<u8")
-    counts = np.frombuffer(b"".join(row["counts"]), "<i8")
     stream, lengths = np.frombuffer(row["stream"], "<i4"), np.frombuffer(row["lengths"], "<i4")
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    return hashes, counts, stream, starts, lengths, np.frombuffer(row["training"], np.uint8).astype(bool)
+    return hashes, stream, starts, lengths, np.frombuffer(row["training"], np.uint8).astype(bool)
 
 
-def bigram_parts(counted: DataFrame, bits: int) -> DataFrame:
-    """range, hashes (40 bits) and counts of each block's training bigrams."""
+def bigram_parts(blocks: DataFrame, bits: int) -> DataFrame:
+    """range, block, hashes (40 bits, sorted) and training counts of each block's bigrams."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, counts, stream, starts, lengths, training = _opened(row)
-                before, pairs = _pairs(hashes, stream, starts)
-                found, n = np.unique(pairs[np.repeat(training, lengths)], return_counts=True)
+                hashes, stream, starts, lengths, training = _opened(row)
+                pairs = _pairs(hashes, stream, starts, bits)[1]
+                train = np.repeat(training, lengths)
+                found, all_ = np.unique(pairs, return_counts=True)
+                some, n = np.unique(pairs[~train], return_counts=True)
+                all_[np.searchsorted(found, some)] -= n
                 cuts = _range_cuts(found, bits)
                 full = np.flatnonzero(np.diff(cuts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(full, pa.int32()),
+                        pa.array([row["block"]] * len(full), pa.int64()),
                         pa.array([_pack40(found[cuts[r] : cuts[r + 1]]) for r in full], pa.binary()),
-                        pa.array([n[cuts[r] : cuts[r + 1]].astype("<i4").tobytes() for r in full], pa.binary()),
+                        pa.array([_pack32(all_[cuts[r] : cuts[r + 1]]) for r in full], pa.binary()),
                     ],
-                    ["range", "hashes", "counts"],
+                    ["range", "block", "hashes", "counts"],
                 )
 
-    return counted.mapInArrow(parts, "range int, hashes binary, counts binary")
+    columns = blocks.select("block", "training", "lengths", "vocabulary", "stream")
+    return columns.mapInArrow(parts, "range int, block long, hashes binary, counts binary")
 
 
 def _levels(counts: np.ndarray, base: float) -> np.ndarray:
@@ -201,24 +218,6 @@ def _levels(counts: np.ndarray, base: float) -> np.ndarray:
     return np.where(counts > 0, np.minimum(1 + np.floor(logs + 1e-9), 255), 0).astype(np.uint8)
 
 
-def quantised(parts: DataFrame, base: float) -> DataFrame:
-    """range, hashes and levels of the bigrams, and how many have each level."""
-
-    def added(group: pd.DataFrame) -> pd.DataFrame:
-        every, place = np.unique(np.concatenate([_unpack40(x) for x in group["hashes"]]), return_inverse=True)
-        counts = np.concatenate([np.frombuffer(x, "<i4") for x in group["counts"]])
-        total = np.bincount(place, weights=counts, minlength=len(every))
-        levels = _levels(total, base)
-        return pd.DataFrame({
-            "range": [group["range"].iloc[0]],
-            "hashes": [_pack40(every)],
-            "levels": [levels.tobytes()],
-            "histogram": [np.bincount(levels, minlength=256)[:256].tolist()],
-        })
-
-    return parts.groupBy("range").applyInPandas(added, "range int, hashes binary, levels binary, histogram array<long>")
-
-
 def _positions(hashes: np.ndarray, level: int, size: int, k: int) -> np.ndarray:
     """k bit positions a key (row), by double hashing."""
     x = mixed(hashes ^ np.uint64(int(_PROBE[0]) * level % (1 << 64)))
@@ -227,8 +226,11 @@ def _positions(hashes: np.ndarray, level: int, size: int, k: int) -> np.ndarray:
     return ((a[:, None] + b[:, None] * steps) * _PROBE[1] >> np.uint64(16)) % np.uint64(size)
 
 
+_SLICE = 1 << 17  # bigrams at a time
+
+
 class Filter:
-    """Segments of bits by range; ``level`` reads quantised counts back."""
+    """Segments of bits by range (one if ``bits`` is 0); ``level`` reads quantised counts back."""
 
     def __init__(self, bits: int, size: int, k: int, floor: int, base: float, segments: dict[int, bytes]) -> None:
         self.bits, self.size, self.k, self.floor, self.base = bits, size, k, floor, base
@@ -237,13 +239,14 @@ class Filter:
         for r, segment in segments.items():
             self.data[r] = np.frombuffer(segment, np.uint8)
 
-    def level(self, hashes: np.ndarray, slice_: int = 1 << 17) -> np.ndarray:
+    def level(self, hashes: np.ndarray, slice_: int = _SLICE) -> np.ndarray:
         """Of any number of bigrams, so many at a time."""
         parts = [self._level(hashes[i : i + slice_]) for i in range(0, len(hashes), slice_)]
         return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def _level(self, hashes: np.ndarray) -> np.ndarray:
-        ranges, low = (hashes >> np.uint64(64 - self.bits)).astype(np.int64), hashes & _LOW
+        ranges = (hashes >> np.uint64(64 - self.bits) if self.bits else np.zeros_like(hashes)).astype(np.int64)
+        low = hashes & _LOW
         out, left, level = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 1
         while len(left) and level < 256:
             at = _positions(low[left], level, self.size, self.k)
@@ -254,50 +257,56 @@ class Filter:
         return np.where(out > 0, out + self.floor, 0)
 
 
-def build_filter(grams: DataFrame, bits: int, base: float, *, bits_per_key: int, probes: int, most_bits: int) -> Filter:
-    """The filter of all ranges; at most ``most_bits`` bits reach the driver."""
-    pieces = grams.select(F.posexplode("histogram").alias("level", "n")).where("n > 0")
-    have = {r[0]: r[1] for r in pieces.groupBy("level").agg(F.sum("n")).collect()}  # at most 256 rows
-    keys = lambda floor: sum((level - floor) * n for level, n in have.items() if level > floor)
-    floor = next(f for f in range(257) if keys(f) * bits_per_key <= most_bits)
-    size = max(64, -(-keys(floor) * bits_per_key // (1 << bits)))
+def segment(hashes: np.ndarray, levels: np.ndarray, base: float, *, bits_per_key: int, probes: int) -> Filter:
+    """The filter of one range, with all levels of its bigrams."""
+    size = max(64, int(levels.sum(dtype=np.int64)) * bits_per_key)
+    mask = np.zeros(-(-size // 8) * 8, np.uint8)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        keys = hashes[levels >= level]
+        for i in range(0, len(keys), _SLICE):
+            mask[_positions(keys[i : i + _SLICE], level, size, probes).ravel()] = 1
+    return Filter(0, size, probes, 0, base, {0: np.packbits(mask, bitorder="little").tobytes()})
 
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                hashes = _unpack40(row["hashes"])
-                levels = np.frombuffer(row["levels"], np.uint8).astype(np.int64) - floor
-                mask = np.zeros(-(-size // 8) * 8, np.uint8)
-                for level in range(1, int(levels.max(initial=0)) + 1):
-                    mask[_positions(hashes[levels >= level], level, size, probes).ravel()] = 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["range"]], pa.int32()), pa.array([np.packbits(mask, bitorder="little").tobytes()], pa.binary())],
-                    ["range", "segment"],
-                )
 
-    made = grams.select("range", "hashes", "levels").mapInArrow(segment, "range int, segment binary")
-    return Filter(bits, size, probes, floor, base, {r: bytes(s) for r, s in made.collect()})
+def read_levels(parts: DataFrame, base: float, *, bits_per_key: int, probes: int) -> DataFrame:
+    """block, range and the levels that the range's segment gives for the block's bigrams, a byte each."""
 
+    def probed(group: pd.DataFrame) -> pd.DataFrame:
+        hashes = [_unpack40(x) for x in group["hashes"]]
+        every, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        counts = np.concatenate([_unpack32(x) for x in group["counts"]])
+        levels = _levels(np.bincount(place, weights=counts, minlength=len(every)), base)
+        read = segment(every, levels, base, bits_per_key=bits_per_key, probes=probes).level(every).astype(np.uint8)
+        ends = np.cumsum([len(h) for h in hashes])[:-1]
+        return pd.DataFrame({
+            "block": group["block"],
+            "range": group["range"],
+            "levels": [read[p].tobytes() for p in np.split(place, ends)],
+        })
 
-def scored(counted: DataFrame, shared, distinct: int, tokens: int, weight: float, kind: str) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every document of the blocks."""
+    return parts.groupBy("range").applyInPandas(probed, "block long, range int, levels binary")
+
+
+def scored(
+    answered: DataFrame, distinct: int, tokens: int, *, bits: int, base: float, weight: float, kind: str
+) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every document of the blocks with counts and levels."""
     spread = tokens + 0.5 * (distinct + 1)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom: Filter = shared.value
         for batch in batches:
             id_type = batch.schema.field("ids").type.value_type
             for i, row in enumerate(batch.to_pylist()):
-                hashes, counts, stream, starts, lengths, training = _opened(row)
-                before, pairs = _pairs(hashes, stream, starts)
+                hashes, stream, starts, lengths, training = _opened(row)
+                before, pairs = _pairs(hashes, stream, starts, bits)
+                counts = np.frombuffer(b"".join(row["counts"]), "<i8")
+                # Ranges and what is inside them have the order of the keys.
+                levels = np.frombuffer(b"".join(row["levels"]), np.uint8)[np.unique(pairs, return_inverse=True)[1]]
                 c = counts[stream]
                 end = np.searchsorted(hashes, END)  # every block has the end
                 context = counts[np.where(before < 0, end, before)]
                 one = (c + 0.5) / spread
-                likely = (c > 0) & (context > 0)
-                together = np.zeros(len(c))
-                levels = bloom.level(pairs[likely])
-                together[likely] = np.where(levels > 0, bloom.base ** (levels - 1.0), 0)
+                together = np.where(levels > 0, base ** (levels - 1.0), 0)
                 together = np.minimum(together, np.minimum(c, context))
                 two = np.where(context > 0, weight * together / np.maximum(context, 1) + (1 - weight) * one, one)
                 per = lambda x: np.add.reduceat(x, starts)
@@ -310,7 +319,7 @@ def scored(counted: DataFrame, shared, distinct: int, tokens: int, weight: float
                 )
 
     ddl = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return counted.mapInArrow(rows, ddl)
+    return answered.mapInArrow(rows, ddl)
 
 
 def _bits(rows: int, row_bytes: int, group_bytes: int = 16 << 20) -> int:
@@ -333,21 +342,23 @@ def score_texts(
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
-    spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
+    kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", training.alias("training"), "text")
     blocks = stored(token_blocks(rows, block_bytes), "lm-blocks", compression="zstd")
     sizes = blocks.agg(F.sum(F.octet_length("vocabulary")), F.sum(F.octet_length("stream"))).first()
     parts = vocabulary_parts(blocks, _bits((sizes[0] or 0) // 8, 12))
     counts = stored(counted_vocabularies(parts), "lm-counts", compression="zstd")
     distinct, tokens = (x or 0 for x in counts.agg(F.sum("distinct"), F.sum("tokens")).first())
-    own = counts.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("range", "counts"))).alias("parts"))
-    own = own.select("block", F.col("parts.counts").alias("counts"))  # as many entries as ranges
-    counted = stored(blocks.join(own, "block"), "lm-counted", compression="zstd")
-    bits = _bits((sizes[1] or 0) // 4, 6)
-    grams = stored(quantised(bigram_parts(counted, bits), base), "lm-bigrams", compression="zstd")
-    bloom = build_filter(grams, bits, base, bits_per_key=bits_per_key, probes=probes, most_bits=most_bits)
-    shared = spark.sparkContext.broadcast(bloom)  # at most most_bits
-    out = scored(counted, shared, distinct, tokens, weight, kind)
+    # A count has no more levels than its size, or its size / ln(base) below e.
+    most_keys = max(tokens, math.ceil(tokens / math.log(base)))
+    bits = max(_bits((sizes[1] or 0) // 4, 9), _bits(most_keys, bits_per_key, most_bits))
+    levels = read_levels(bigram_parts(blocks, bits), base, bits_per_key=bits_per_key, probes=probes)
+    levels = stored(levels, "lm-levels", compression="zstd")
+    own = lambda rows, name: rows.groupBy("block").agg(  # as many entries as ranges
+        F.sort_array(F.collect_list(F.struct("range", name))).alias("parts")
+    ).select("block", F.col(f"parts.{name}").alias(name))
+    answered = blocks.join(own(counts, "counts"), "block").join(own(levels, "levels"), "block")
+    out = scored(answered, distinct, tokens, bits=bits, base=base, weight=weight, kind=kind)
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )

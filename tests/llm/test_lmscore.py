@@ -136,3 +136,15 @@ def test_bigrams_that_occur_once_count(spark):
     want = dict(true_scores(texts, held))
     assert all(abs(got[i] - want[i]) < 0.02 * abs(want[i]) for i in got if not held(i))
     assert all(abs(got[i] - want[i]) < 0.1 * abs(want[i]) for i in got)
+
+
+def test_a_small_bound_loses_no_level(spark):
+    texts = [(i, prose(i % 90, 60)) for i in range(200)]
+    rows = lmscore.score_texts(documents(spark, texts), F.lit(True), most_bits=4096).collect()
+    want = dict(true_scores(texts, lambda i: False))
+    assert len(rows) == 200 and all(abs(r.score - want[r.doc_id]) < 0.02 * abs(want[r.doc_id]) for r in rows)
+
+
+def test_packed_counts_round_trip():
+    x = np.array([0, 1, 255, 256, 2**31 - 1])
+    assert (lmscore._unpack32(lmscore._pack32(x)) == x).all()

@@ -49,9 +49,10 @@ def fit(
     key = F.xxhash64("text")
     rows = rows.select("lang", "text", key.alias("key"))
     # A row a language, stored, so that Spark sees its size and deals no text by language; the
-    # thresholds leave about 3 * sample rows of each.
-    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
-    chance = (F.col("key").cast("double") / 2.0**64 + 0.5) * F.col("n") <= 3 * sample
+    # thresholds leave about 3 * sample texts of each, however often one is copied.
+    texts = rows.groupBy("lang", "key").agg(F.count("*").alias("n"))
+    counts = stored(texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")), "language-counts")
+    chance = (F.col("key").cast("double") / 2.0**64 + 0.5) * F.col("texts") <= 3 * sample
     room = F.greatest(F.length("text") - slice_chars, F.lit(0)) + 1
     cut = F.substring("text", (F.pmod(F.hash("key"), room) + 1).cast("int"), F.lit(slice_chars))
     few = rows.join(counts, "lang").where(chance).select("lang", "key", cut.alias("slice")).dropDuplicates(["lang", "key"])
@@ -61,7 +62,7 @@ def fit(
     for lang, text in few.select("lang", "slice").toLocalIterator():
         slices.setdefault(lang, []).append(normalised(text).encode())
     most = min(dictionary_bytes, all_bytes // max(1, len(slices)))
-    seen = {lang: n for lang, n in counts.collect()}  # a row a language
+    seen = {lang: n for lang, n in counts.select("lang", "n").collect()}  # a row a language
     return {lang: b" ".join(slices[lang])[:most] for lang in sorted(slices, key=lambda x: (-seen[x], x))}
 
 

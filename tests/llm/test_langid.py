@@ -54,3 +54,14 @@ def test_narrow_margins_are_rejected(spark):
 def test_the_sample_is_bounded(spark):
     dictionaries = langid.fit(corpus(spark), sample=5, slice_chars=50, dictionary_bytes=200)
     assert set(dictionaries) == set(STEMS) and all(0 < len(d) <= 200 for d in dictionaries.values())
+
+
+def test_copies_of_one_text_hide_no_language(spark):
+    """60 texts of a language, one of them in 40,000 rows."""
+    docs = corpus(spark)
+    few = docs.where("lang = 'de' AND doc_id % 2 = 0")
+    copies = docs.where("lang = 'de'").orderBy("doc_id").limit(1).crossJoin(spark.range(40_000).select(F.lit(0).alias("copy"))).drop("copy")
+    dictionaries = langid.fit(docs.where("lang <> 'de'").union(few).union(copies), sample=30, dictionary_bytes=1 << 20)
+    alone = langid.fit(few, sample=30, dictionary_bytes=1 << 20)
+    assert set(dictionaries) == set(STEMS) and dictionaries["de"] == alone["de"]
+    assert next(iter(dictionaries)) == "de"

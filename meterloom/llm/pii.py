@@ -49,7 +49,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}+){3,8}+")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(
-    r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)\b)\x20{0,3}[=:]\x20{0,3}[\"']?([A-Za-z0-9+/_-]{20,512}+)"
+    r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)\b)\x20{0,3}[=:]\x20{0,3}[\"']?([A-Za-z0-9+/_-]{20,}+)"
 )
 _CONTEXT = {
     "iban": re.compile(r"(?i)\b(?:iban|account|konto|cuenta|compte|bank)"),

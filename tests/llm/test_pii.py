@@ -87,3 +87,10 @@ def test_digest_and_masks(spark):
     assert masked[1].text is None and masked[51].text == texts[-1][1]
     assert pii.masked_texts(docs).columns == docs.columns
     assert pii.op4(docs.limit(0)).count() == 0
+
+
+def test_a_long_secret_is_one_span_to_its_end():
+    key = "aB3/+_-9" * 1000
+    text = f"secret = '{key}' and more"
+    assert [(s.kind, s.start, s.end) for s in pii.find_spans(text)] == [("secret", 10, 10 + len(key))]
+    assert pii.mask(text, pii.find_spans(text)) == "secret = '<SECRET>' and more"

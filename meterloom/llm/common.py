@@ -57,6 +57,11 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text, none for a null one: with the doc_id it tells rows apart."""
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(b""))
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """``crc32(doc_id as text) mod divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

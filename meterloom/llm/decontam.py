@@ -13,8 +13,11 @@ only hits are shuffled, combined beforehand by document, item and shift.
 
 Output, a row a pair: doc_id, item_id, shift, matched, compared, similarity.
 
+Rows are told apart by doc_id and a 128-bit hash of the text; only the report folds them by doc_id.
+
 Defined results: null and empty texts match nothing, nor do items under ``least`` words; repeated rows
-of one doc_id, or of one item_id, give one row a pair, the best (ties: the smallest shift); an empty
+of one doc_id, or of one item_id, give one row a pair, the best (ties: the smallest shift); rows of one
+id with different texts, or without an id, are compared, kept and removed each by its own text; an empty
 table gives no rows; null ids are ids like any other; only the named columns are read.
 """
 
@@ -25,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import stored
+from meterloom.llm.common import stored, text_key
 
 MASKS = ("111111", "1110111", "11011011")
 _SHORTEST = min(len(m) for m in MASKS)
@@ -52,14 +55,15 @@ def _best(same: Column, width: Column) -> Column:
     return F.array_max(F.transform(starts, ones))
 
 
-def contaminated(
+def _matches(
     docs: DataFrame, benchmark: DataFrame, *, window: int = 20, share: float = 0.8, least: int = 8, block: int = 500_000
 ) -> DataFrame:
+    """doc_id, text_key, item_id, shift, matched and compared of every shift that counts."""
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).where(F.size("words") >= least)
     items = stored(items.withColumn("item", F.xxhash64("item_id", "words")).dropDuplicates(["item"]), "items")
     seeds = stored(_seeds(items).select("seed", "item", F.col("at").alias("item_at"), F.size("words").alias("item_words")), "seeds")
     blocks = max(1, -(-seeds.count() // block))
-    texts = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
+    texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), word_hashes(F.col("text")).alias("words"))
     every = _seeds(texts)
     hits = []
     for i in range(blocks):
@@ -68,8 +72,8 @@ def contaminated(
         first = F.greatest(F.col("shift"), F.lit(0))
         stop = F.least(F.col("shift") + F.col("item_words"), F.size("words"))
         hits.append(
-            hit.select("doc_id", "item", "shift", F.slice("words", first + 1, stop - first).alias("there"))
-            .groupBy("doc_id", "item", "shift")
+            hit.select("doc_id", "text_key", "item", "shift", F.slice("words", first + 1, stop - first).alias("there"))
+            .groupBy("doc_id", "text_key", "item", "shift")
             .agg(F.first("there").alias("there"))
         )
     found = reduce(DataFrame.unionAll, hits).join(items, "item")
@@ -77,14 +81,18 @@ def contaminated(
     own = F.slice("words", first + 1, F.size("there"))
     same = F.zip_with(own, "there", lambda a, b: (a == b).cast("int"))
     width = F.least(F.lit(window), F.size("words"))
-    found = found.select("doc_id", "item_id", "shift", same.alias("same"), width.alias("compared"))
+    found = found.select("doc_id", "text_key", "item_id", "shift", same.alias("same"), width.alias("compared"))
     found = found.where(F.size("same") >= least)
     matched = F.when(F.size("same") >= F.col("compared"), _best(F.col("same"), F.col("compared"))).otherwise(
         F.aggregate("same", F.lit(0), lambda a, x: a + x)
     )
     found = found.withColumn("matched", matched)
     enough = F.greatest(F.ceil(F.col("compared") * share - 1e-9), F.lit(least))
-    found = found.where(F.col("matched") >= enough)
+    return found.where(F.col("matched") >= enough)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
+    found = _matches(docs, benchmark, **options)
     best = F.max(F.struct("matched", (-F.col("shift")).alias("back"), "compared"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
         "doc_id",
@@ -98,8 +106,10 @@ def contaminated(
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
     """The documents that match no item, with all their columns."""
-    gone = stored(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("gone_id")).distinct(), "contaminated")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    gone = _matches(docs, benchmark, **options).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text"))
+    gone = stored(gone.distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (text_key(docs["text"]) == gone["gone_text"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op10(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@
 With 24 bands of 4 a link at similarity 0.85 shares no band once in 5 * 10^7, at 0.8 once in 3 * 10^5.
 
 Defined results: a null text, or one without words, has no shingles and is linked with nothing; fewer
-words than ``width`` are one shingle; repeated rows are copies; a row with a null doc_id is linked
-with nothing and kept; an empty table gives no rows; only doc_id and text are read.
+words than ``width`` are one shingle; repeated rows are copies; rows of one doc_id with different texts
+are judged each by its own text; a row with a null doc_id is linked with nothing and kept; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import every, stored
+from meterloom.llm.common import every, stored, text_key
 from meterloom.llm.graph import components
 from meterloom.llm.shingles import constants, mixed, shingle_sets
 
@@ -93,7 +93,7 @@ def _sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
 
 
 def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set) and registers of every row."""
+    """doc_id, text_key, n_shingles, node (digest of the set) and registers of every row."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,12 +105,13 @@ def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
                         node.append(digest(s) if len(s) else None)
                         registers.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(registers, pa.binary())],
-                ["doc_id", "n_shingles", "node", "registers"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(registers, pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "node", "registers"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {kind}, n_shingles long, node binary, registers binary")
+    columns = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
+    return columns.mapInArrow(made, f"doc_id {kind}, text_key binary, n_shingles long, node binary, registers binary")
 
 
 def full_sets(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -223,7 +224,10 @@ def within_hubs(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> DataFrame:
-    """doc_id, n_shingles, node and component_id (the smallest doc_id that is reached) of every row."""
+    """doc_id, text_key, n_shingles, node and component_id (the smallest doc_id that is reached) of every row.
+
+    ``chosen`` holds for the rows with the id and the set that stand for their component.
+    """
     docs = docs.select("doc_id", "text")
     rows = stored(sketches(docs, width), "sketches")
     classes = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
@@ -242,14 +246,17 @@ def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> Dat
     if not more.isEmpty():
         labels = components(links.union(more))
     named = classes.select("node", "first_id").join(labels, "node")
-    first = named.groupBy("label").agg(F.min("first_id").alias("component"))
-    component = named.join(first, "label").select("node", "component")
+    first = named.groupBy("label").agg(F.min(F.struct("first_id", "node")).alias("first"))
+    first = first.select("label", F.col("first.first_id").alias("component"), F.col("first.node").alias("stands"))
+    component = named.join(first, "label").select("node", "component", "stands")
     component = classes.select("node", "first_id").join(component, "node", "left")
     # Stored, so that the copies of a hot class meet it in a join that Spark can split.
-    component = stored(component.select("node", F.coalesce("component", "first_id").alias("component")), "class-components")
+    stands = F.coalesce(F.col("stands") == F.col("node"), F.lit(True)).alias("stands")
+    component = stored(component.select("node", F.coalesce("component", "first_id").alias("component"), stands), "class-components")
     joined = rows.drop("registers").join(component, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", "n_shingles", "node", own.alias("component_id"))
+    chosen = F.coalesce(F.col("stands") & (F.col("doc_id") == F.col("component")), F.lit(True))
+    return joined.select("doc_id", "text_key", "n_shingles", "node", own.alias("component_id"), chosen.alias("chosen"))
 
 
 def op6(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -286,12 +293,23 @@ FROM sized JOIN named ON sized.doc_id = named.doc_id
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One document of each group, with all its columns; rows that repeat a kept doc_id go as well."""
+    """One row of each group, with all its columns; texts without words go only as repeated rows of one id."""
     found = linked_components(docs, percent).where("doc_id IS NOT NULL")
-    found = found.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("n"))
-    gone = stored(found.where("c <> doc_id").select("doc_id"), "near-copies")
-    again = stored(found.where("c = doc_id AND n > 1").select("doc_id"), "repeated-ids")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.join(again, "doc_id", "left_anti")
-    one = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    found = found.groupBy("doc_id", "text_key").agg(
+        F.first("node").alias("node"), F.first("chosen").alias("chosen"), F.count("*").alias("n")
+    )
+    # Texts of one id that differ in case or spaces have one set: the first of them stands.
+    alike = Window.partitionBy("doc_id", F.coalesce("node", "text_key"))
+    found = found.withColumn("chosen", F.col("chosen") & (F.col("text_key") == F.min("text_key").over(alike)))
+    found = stored(found.where("NOT chosen OR n > 1").select("doc_id", "text_key", "chosen"), "copies")
+    key = text_key(F.col("text"))
+
+    def of(rows: DataFrame, few: DataFrame, how: str) -> DataFrame:
+        few = few.select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_text"))
+        return rows.join(few, (rows["doc_id"] == few["its_id"]) & (key == few["its_text"]), how)
+
+    kept = of(docs, found.where("NOT chosen"), "left_anti")
+    again = found.where("chosen")
+    once = of(kept, again, "left_anti")
+    one = of(kept, again, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.select(every(docs.columns)).union(one.select(every(docs.columns)))

@@ -78,6 +78,19 @@ def test_clean_documents_stay(tables):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - gone
 
 
+def test_rows_without_or_with_one_id_are_judged_by_their_own_text(spark, tables):
+    *_, items, _, bench = tables
+    hit, clean = f"{prose(1, 9)} {items[3][1]}", [prose(3000 + i, 30 + i) for i in range(12)]
+    # The clean texts share some words with the item at the same places, so that both have the hit's shift.
+    head = " ".join(items[3][1].split()[:6])
+    near = [f"{prose(1, 9)} {head} {prose(4000 + i, 40)}" for i in range(7)]
+    texts = [(i, t) for i in (None, 7) for t in [*near[:3], *clean, hit, *near[3:], hit, None]]
+    docs = documents(spark, texts)
+    assert {(r.doc_id, r.item_id) for r in decontam.op10(docs, bench).collect()} == {(None, 3), (7, 3)}
+    kept = sorted((r.doc_id or 0, r.text or "") for r in decontam.decontaminated(docs, bench).collect())
+    assert kept == sorted((i or 0, t or "") for i, t in texts if t != hit)
+
+
 def test_awkward_rows(spark, tables):
     *_, bench = tables
     docs = documents(spark, awkward())

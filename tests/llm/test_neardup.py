@@ -134,3 +134,12 @@ def test_components_of_chains_and_stars(spark):
     assert all(found[i] == 0 for i in range(61))
     assert all(found[i] == 900 for i in range(1000, 1050))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_different_texts_of_one_id_stay(spark):
+    a, b, c = (prose(7000 + i, 60) for i in range(3))
+    # 9 is a copy of 3 in one row and clean in another; 3 and 4 hold the smallest ids of several groups.
+    texts = [(3, a), (9, a), (9, b), (3, c), (4, c), (4, c + " end"), (4, ""), (4, ""), (3, a), (3, a.upper())]
+    kept = neardup.one_of_each(documents(spark, texts)).collect()
+    got = sorted((r.doc_id, r.text.lower()) for r in kept)
+    assert got == sorted([(3, a.lower()), (9, b.lower()), (3, c.lower()), (4, "")])

@@ -4,7 +4,8 @@ Base kinds are kept whatever surrounds them: email, ip (parts up to 255), card (
 pass Luhn) and phone (8 to 15 digits). Further kinds start at a score of their own, which checksums
 and context words raise or lower, and are kept from ``threshold`` on:
 
-* ``iban``: country, check digits and account, confirmed by mod-97 and the country's length;
+* ``iban``: country, check digits and account, confirmed by mod-97 and the country's length; the search
+  goes on behind it, or behind the check digits of a candidate that fails;
 * ``short_card``: 13 to 15 digits that pass Luhn, which needs a card word nearby or an issuer prefix;
 * ``ssn``: ``ddd-dd-dddd`` with legal parts, which needs a context word;
 * ``secret``: a key word, ``=`` or ``:`` and a quoted or bare token of 20 characters or more with digits.
@@ -46,7 +47,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}+){3,8}+")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(
     r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)\b)\x20{0,3}[=:]\x20{0,3}[\"']?([A-Za-z0-9+/_-]{20,}+)"
@@ -120,9 +122,11 @@ def _near(kind: str, text: str, start: int, end: int, reach: int) -> float:
 
 
 def _added(text: str, chains: list[tuple[int, int, str]], reach: int) -> Iterator[Span]:
-    for m in _IBAN.finditer(text):
-        end = _iban_end(text, m)
+    done = 0
+    for m in _IBAN_HEAD.finditer(text):
+        end = _iban_end(text, m) if m.start() >= done else None
         if end:
+            done = end
             yield Span("iban", m.start(), end, 0.8 + _near("iban", text, m.start(), end, reach))
     for a, b, digits in chains:
         if 13 <= len(digits) <= 15 and luhn(digits):
@@ -138,15 +142,15 @@ def _added(text: str, chains: list[tuple[int, int, str]], reach: int) -> Iterato
 
 
 def _iban_end(text: str, m: re.Match) -> int | None:
-    """The candidate may run on into following words: the country's length says where it ends."""
-    want, seen = IBAN_LENGTHS.get(m[0][:2]), 0
-    for i, c in enumerate(m[0] if want else ""):
-        seen += c != " "
-        if seen == want:
-            end = m.start() + i + 1
-            closed = not text[end : end + 1].isalnum()
-            return end if closed and mod97(m[0][: i + 1].replace(" ", "")) else None
-    return None
+    """Walks from the head to the country's length, over single spaces."""
+    want, account, at = IBAN_LENGTHS.get(m[0][:2], 0), m[0], m.end()
+    while len(account) < want:
+        at += text[at : at + 1] == " "
+        if text[at : at + 1] not in _IBAN_CHARS:
+            return None
+        account += text[at]
+        at += 1
+    return at if want and not text[at : at + 1].isalnum() and mod97(account) else None
 
 
 def find_spans(text: str | None, threshold: float = 0.6, reach: int = 60) -> list[Span]:

@@ -94,3 +94,23 @@ def test_a_long_secret_is_one_span_to_its_end():
     text = f"secret = '{key}' and more"
     assert [(s.kind, s.start, s.end) for s in pii.find_spans(text)] == [("secret", 10, 10 + len(key))]
     assert pii.mask(text, pii.find_spans(text)) == "secret = '<SECRET>' and more"
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+        ("DE89370400440532013000 GB82WEST12345698765432 DE89370400440532013000",
+         ["DE89370400440532013000", "GB82WEST12345698765432", "DE89370400440532013000"]),
+        ("CODE AB12 IBAN DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+        ("AT12 DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE88 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", ["GB82 WEST 1234 5698 7654 32"]),
+        ("DE89 3704 0044 0532 0130 00x", []),
+        ("DE89  3704 0044 0532 0130 00", []),
+        ("DE89 3704", []),
+    ],
+)
+def test_account_numbers_in_lists(text, found):
+    spans = [s for s in pii.find_spans(text) if s.kind == "iban"]
+    assert [text[s.start : s.end] for s in spans] == found
+    assert not any(x in pii.mask(text, pii.find_spans(text)) for x in found)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,14 +52,44 @@ def every(columns: list[str]) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
 
 
-def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """The rows, written once below the shared folder: later steps and lost executors reread them."""
+def stored(df: DataFrame, name: str, *, batch_bytes: int | None = None, **options: str) -> DataFrame:
+    """The rows, written once below the shared folder: later steps and lost executors reread them.
+
+    ``batch_bytes`` bounds the Arrow batches of this one write, for steps whose rows are large.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(_BATCH_BYTES)
+    if batch_bytes:
+        spark.conf.set(_BATCH_BYTES, str(batch_bytes))
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(body: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``body`` for ``mapInArrow``; when a task ends, its worker, which Spark reuses, gives free memory back."""
+
+    @wraps(body)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from body(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return run
+
+
 def text_key(text: Column) -> Column:
     """128 bits of a text, none for a null one: with the doc_id it tells rows apart."""
     return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(b""))

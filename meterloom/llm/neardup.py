@@ -9,13 +9,17 @@
 3. Such a pair's similarity is estimated from both sketches by maximum likelihood over (greater, less,
    equal) register counts and set sizes; six standard errors below the threshold rule a link out.
    The rest is verified on the full sets.
-4. Members of one hub that it doesn't link may still be linked to each other. Two sets whose
-   differences from the hub are X and Y have the difference X ^ Y, so a link needs a known overlap of
-   X and Y, and for the partner of an unlinked member at least (1 - a) / 2 of its own difference, with
-   a = (1 - t) / (1 + t). Differences are ordered by frequency and joined on that share of their
-   rarest elements, with bounds by place and by shared elements in the join itself: what most members
-   share is never paired, so a passage in thousands of texts costs no square. Survivors are
-   estimated and verified like the others. Every pair that shares a band is so decided, without caps.
+4. Members of one hub that it doesn't link may still be linked to each other. Only hubs whose members
+   have different labels (components so far) stay open. Two sets whose differences from the hub are X and Y
+   have the difference X ^ Y, so a link needs a known overlap of X and Y, and for the partner of an
+   unlinked member at least (1 - a) / 2 of its own difference, with a = (1 - t) / (1 + t). Elements that one
+   label alone has can't matter. The others are ordered by frequency and joined on that share of each
+   member's rarest, a row a label and not a member, with bounds by place and by shared elements in the
+   join. Two labels that may be near are compared at their centres (the hub, or one member): a link there
+   merges them; else the triangle inequality with the members' distances from their centres (one
+   comparison a member) tells which members, if any, could reach across, and those alone are joined by
+   member. So the crowds of two revisions beside one hub cost one pair, not their product, and every pair
+   that shares a band is still decided, without caps.
 5. Components of the links.
 
 With 24 bands of 4 a link at similarity 0.85 shares no band once in 5 * 10^7, at 0.8 once in 3 * 10^5.
@@ -34,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import every, stored, text_key
+from meterloom.llm.common import every, stored, text_key, tidy
 from meterloom.llm.graph import components
 from meterloom.llm.shingles import constants, mixed, shingle_sets
 
@@ -111,7 +115,7 @@ def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     columns = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
-    return columns.mapInArrow(made, f"doc_id {kind}, text_key binary, n_shingles long, node binary, registers binary")
+    return columns.mapInArrow(tidy(made), f"doc_id {kind}, text_key binary, n_shingles long, node binary, registers binary")
 
 
 def full_sets(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -125,7 +129,7 @@ def full_sets(docs: DataFrame, width: int = 5) -> DataFrame:
                     columns = [[digest(s) for s in sets], [sketch(s).tobytes() for s in sets], [s.tobytes() for s in sets]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["node", "registers", "shingles"])
 
-    return docs.select("text").mapInArrow(made, "node binary, registers binary, shingles binary")
+    return docs.select("text").mapInArrow(tidy(made), "node binary, registers binary, shingles binary")
 
 
 def hub_pairs(classes: DataFrame) -> DataFrame:
@@ -140,87 +144,186 @@ def hub_pairs(classes: DataFrame) -> DataFrame:
     return members.join(hubs, "band").where("node <> hub").select("hub", "node").distinct()
 
 
-_COMPARED = "a binary, b binary, n_a long, n_b long, estimate double, linked boolean, difference binary"
+_COMPARED = "a binary, b binary, n_a long, n_b long, estimate double, linked boolean, apart long"
+_GROUP = 2048  # members that meet one copy of their hub
+_BATCH_BYTES = 8 << 20
 
 
-def compared(pairs: DataFrame, sets: DataFrame, percent: int, differences: bool) -> DataFrame:
-    """Pairs a, b with sizes, estimate, verified link and, if asked for, b's difference from a."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("registers").alias(f"r_{x}"), F.col("shingles").alias(f"s_{x}"))
-    both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
+def _beside_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, member, node, registers, shingles: each ``a`` with its set, then the ``b`` of its pairs, in one partition.
+
+    A hub comes once for so many members; one with more is split into salted groups.
+    """
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / _GROUP).cast("int").alias("groups")).where("groups > 1")
+    salted = pairs.select("a", "b").join(many, "a", "left")
+    salted = salted.select("a", "b", F.expr("pmod(xxhash64(b), coalesce(groups, 1))").cast("int").alias("salt"))
+    hubs = salted.select("a", "salt", F.lit(False).alias("member"), F.col("a").alias("node")).distinct()
+    members = salted.select("a", "salt", F.lit(True).alias("member"), F.col("b").alias("node"))
+    rows = hubs.union(members).join(sets, "node").select("a", "salt", "member", "node", "registers", "shingles")
+    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member").drop("salt")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Nodes, registers and sets of up to _TEXTS pairs at a time, from rows where hubs come before their members."""
+    hub, held = None, []
+    for batch in batches:
+        columns = batch.columns
+        for i in range(batch.num_rows):
+            node, registers, shingles = (columns[k][i].as_buffer() for k in (2, 3, 4))
+            # Copies, so that a held row doesn't hold its batch.
+            own = node.to_pybytes(), np.frombuffer(registers, "<u2").copy(), np.frombuffer(shingles, np.uint64).copy()
+            if not columns[1][i].as_py():
+                hub = own
+                continue
+            held.append((*hub, *own))
+            if len(held) == _TEXTS:
+                yield tuple(zip(*held, strict=True))
+                held = []
+    if held:
+        yield tuple(zip(*held, strict=True))
+
+
+def compared(pairs: DataFrame, sets: DataFrame, percent: int, *, exact: bool = False) -> DataFrame:
+    """Pairs a, b with sizes, estimate, verified link and the size of their difference.
+
+    Unless it is ``exact``, a pair whose estimate is far below the threshold isn't verified and has no ``apart``.
+    """
     floor = percent / 100 - 6 * np.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, _TEXTS) for b in batches for i in range(0, b.num_rows, _TEXTS)):
-            ra, rb = (np.stack([np.frombuffer(x, "<u2") for x in batch.column(c).to_pylist()]) for c in (2, 4))
-            sa, sb = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in (3, 5))
+        for a, ra, sa, b, rb, sb in _met(batches):
             na, nb = np.array([len(x) for x in sa]), np.array([len(x) for x in sb])
-            guess = estimate(ra, rb, na, nb)
-            linked, apart = [], []
-            for x, y, g in zip(sa, sb, guess.tolist(), strict=True):
-                d = np.setxor1d(x, y, assume_unique=True) if differences or g >= floor else None
-                together = len(x) + len(y)
-                # |x & y| = (together - |d|) / 2 and |x | y| = (together + |d|) / 2
-                linked.append(g >= floor and 100 * (together - len(d)) >= percent * (together + len(d)))
-                apart.append(d.tobytes() if differences else None)
+            guess = estimate(np.stack(ra), np.stack(rb), na, nb)
+            apart: list[int | None] = [
+                len(np.setxor1d(x, y, assume_unique=True)) if exact or g >= floor else None
+                for x, y, g in zip(sa, sb, guess.tolist(), strict=True)
+            ]
+            # |x & y| = (together - apart) / 2 and |x | y| = (together + apart) / 2
+            linked = [
+                g >= floor and 100 * (t - d) >= percent * (t + d)
+                for t, d, g in zip((na + nb).tolist(), apart, guess.tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(na, pa.int64()), pa.array(nb, pa.int64()), pa.array(guess),
-                 pa.array(linked, pa.bool_()), pa.array(apart, pa.binary())],
-                ["a", "b", "n_a", "n_b", "estimate", "linked", "difference"],
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(na, pa.int64()), pa.array(nb, pa.int64()),
+                 pa.array(guess), pa.array(linked, pa.bool_()), pa.array(apart, pa.int64())],
+                ["a", "b", "n_a", "n_b", "estimate", "linked", "apart"],
             )
 
-    return both.select("a", "b", "r_a", "s_a", "r_b", "s_b").mapInArrow(verified, _COMPARED)
+    return _beside_hubs(pairs, sets).mapInArrow(tidy(verified), _COMPARED)
 
 
-def _elements(stars: DataFrame) -> DataFrame:
-    """star (of a hub and a member) and key (of the hub and an element of the member's difference)."""
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs a, b with b's size and the keys of the hub and each element of the difference."""
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
+        for a, _, sa, b, _, sb in _met(batches):
+            with np.errstate(over="ignore"):
                 keys = [
-                    mixed(np.frombuffer(d, np.uint64) + np.frombuffer(a, np.uint64)[0]).view(np.int64)
-                    for a, d in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)
+                    mixed(np.setxor1d(x, y, assume_unique=True) + np.frombuffer(h, np.uint64)[0]).view(np.int64)
+                    for h, x, y in zip(a, sa, sb, strict=True)
                 ]
-                stars_ = np.repeat(part.column(0).to_numpy(), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(stars_), pa.array(np.concatenate(keys))], ["star", "key"])
+            offsets = np.cumsum([0] + [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([len(y) for y in sb], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(keys)))],
+                ["a", "b", "n", "keys"],
+            )
 
-    return stars.select("star", "a", "difference").mapInArrow(exploded, "star long, key long")
+    return _beside_hubs(pairs, sets).mapInArrow(tidy(exploded), "a binary, b binary, n long, keys array<bigint>")
 
 
-def within_hubs(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of one hub's members, at least one of them unlinked, that may be linked with each other."""
+def within_hubs(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links a, b that connect members of one hub which have different labels (components so far).
+
+    All steps but the last work on labels in a hub, not on members, so two crowds beside one hub are one pair.
+    """
     alpha = (100 - percent) / (100 + percent)
-    open_hubs = stars.groupBy("a").agg(F.count("*").alias("members"), F.min("linked").alias("all_linked"))
-    open_hubs = open_hubs.where("members > 1 AND NOT all_linked").select("a")
-    stars = stars.join(open_hubs, "a").withColumn("star", F.xxhash64("a", "b"))
-    rows = stored(_elements(stars), "star-elements")
-    often = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    # A member's shared elements, rarest first; what it shares with nobody would come before them.
+    label = lambda node, name: labels.select(F.col("node").alias(node), F.xxhash64("label").alias(name))
+    own = lambda name, node: F.coalesce(name, F.xxhash64(node))
+    members = stars.select("a", "b", "linked").join(label("b", "l_b"), "b", "left").join(label("a", "l_a"), "a", "left")
+    members = members.select("a", "b", "linked", own("l_b", "b").alias("label"), own("l_a", "a").alias("l_a"))
+    # With two members or more and one label or more that isn't the hub's.
+    crowd = members.groupBy("a").agg(F.count("*").alias("n"), F.max(F.col("label") != F.col("l_a")).alias("open"))
+    members = stored(members.join(crowd.where("open AND n > 1").select("a"), "a"), "open-members")
+    if members.isEmpty():
+        return stars.select("a", "b").limit(0)
+    found = stored(differences(members, sets), "hub-differences", batch_bytes=_BATCH_BYTES, compression="zstd")
+
+    # Elements of differences, of those that two labels share; rarest first in each member.
+    about = members.join(found, ["a", "b"]).withColumn("star", F.xxhash64("a", "b")).withColumn("size", F.size("keys"))
+    rows = about.select("star", "label", F.explode("keys").alias("key"))
+    often = rows.groupBy("key").agg(F.count("*").alias("df"), F.min("label").alias("least"), F.max("label").alias("most"))
+    often = often.where("least <> most").select("key", "df")
     ordered = rows.join(often, "key").groupBy("star").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"))
-    size = (F.octet_length("difference") / 8).cast("long")
-    about = stars.select("star", F.col("b").alias("node"), F.col("n_b").alias("n"), "linked", size.alias("size"))
-    about = about.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    shared = F.size("keys")
-    places = ordered.join(about, "star").select(
-        "star", "node", "n", "linked", "label", "size", shared.alias("shared"), F.posexplode("keys").alias("at", "key")
-    )
+    places = ordered.withColumn("shared", F.size("keys")).join(about.drop("keys"), "star")
+    places = places.select("a", "b", "n", "label", "l_a", "linked", "size", "shared", F.posexplode("keys").alias("at", "key"))
+    slack = F.col("size") - alpha * F.col("n")
     places = places.select(
-        "node", "n", "linked", "label", "size", "shared", F.col("key.key").alias("key"),
-        (F.col("shared") - F.col("at")).alias("rest"),
+        "a", "b", "n", "label", "l_a", "linked", "size", F.col("key.key").alias("key"),
+        (F.col("shared") - F.col("at")).cast("double").alias("rest"), slack.alias("slack"),
     )
-    places = stored(places, "star-places")
-    need = F.ceil(F.col("size") * (1 - alpha) / 2 - 1e-9)
-    index = places.where(F.col("rest") >= need)
+    places = stored(places, "star-places", compression="zstd")
+    index = places.where(F.col("rest") >= F.ceil(F.col("size") * (1 - alpha) / 2 - 1e-9))
     probe = places.where("NOT linked")
-    left = index.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "label", "size", "shared", "rest")])
-    right = probe.select("key", *[F.col(c).alias(f"{c}_c") for c in ("node", "n", "label", "size", "shared", "rest")])
-    overlap = (F.col("size_b") + F.col("size_c") - alpha * (F.col("n_b") + F.col("n_c"))) / 2 - 1e-6
-    possible = (F.col("label_b") != F.col("label_c")) & (
-        overlap <= F.least("rest_b", "rest_c").cast("double")
+
+    def crowds(some: DataFrame, side: str) -> DataFrame:
+        best = some.groupBy("key", "label").agg(F.min("slack"), F.max("rest"), F.first("a"))
+        return best.toDF("key", f"l_{side}", f"slack_{side}", f"rest_{side}", f"hub_{side}")
+
+    b, c = crowds(index, "b"), crowds(probe, "c")
+    possible = (b["l_b"] != c["l_c"]) & ((F.col("slack_b") + F.col("slack_c")) / 2 - 1e-6 <= F.least("rest_b", "rest_c"))
+    pairs = b.join(c, (b["key"] == c["key"]) & possible).select(F.col("hub_b").alias("hub"), "l_b", "l_c")
+    pairs = stored(pairs.distinct(), "label-pairs")
+
+    # A label's centre beside a hub is the hub or one of its members; pairs of centres are decided first.
+    centre = members.groupBy("a", "label").agg(
+        F.min("b").alias("b"), F.count("*").alias("crowd"), F.max(F.col("label") == F.col("l_a")).alias("home")
+    )
+    centre = centre.select(
+        F.col("a").alias("hub"), "label", F.when(F.col("home"), F.col("a")).otherwise(F.col("b")).alias("centre"),
+        (F.col("home") | (F.col("crowd") > 1)).alias("crowded"),
+    )
+    of = lambda side: centre.toDF("hub", f"l_{side}", f"centre_{side}", f"crowded_{side}")
+    named = pairs.join(of("b"), ["hub", "l_b"]).join(of("c"), ["hub", "l_c"])
+    ends = (F.least("centre_b", "centre_c"), F.greatest("centre_b", "centre_c"))
+    named = stored(named.select("*", ends[0].alias("a"), ends[1].alias("b")), "named-pairs")
+    decided = compared(named.select("a", "b").distinct(), sets, percent, exact=True)
+    decided = stored(decided, "centre-pairs", batch_bytes=_BATCH_BYTES)
+    links = decided.where("linked").select("a", "b")
+    close = named.where("crowded_b OR crowded_c").join(decided.where("NOT linked").select("a", "b", "apart"), ["a", "b"])
+    close = stored(close.select("hub", "l_b", "l_c", "centre_b", "centre_c", "apart"), "close-labels")
+    if close.isEmpty():
+        return links
+
+    # reach = distance from the centre + alpha * n: |x ^ y| >= apart - reach(x) - reach(y) + alpha (n_x + n_y).
+    asked = close.select("hub", F.col("l_b").alias("label")).union(close.select("hub", F.col("l_c").alias("label"))).distinct()
+    beside = members.withColumnRenamed("a", "hub").join(asked.join(centre, ["hub", "label"]), ["hub", "label"])
+    away = beside.where("centre <> hub AND centre <> b").select(F.col("centre").alias("a"), "b").distinct()
+    away = stored(compared(away, sets, percent, exact=True), "radii", batch_bytes=_BATCH_BYTES)
+    sizes = found.select(F.col("a").alias("hub"), "b", "n", F.size("keys").alias("from_hub"))
+    beside = beside.join(sizes, ["hub", "b"]).join(away.select(F.col("a").alias("centre"), "b", "apart"), ["centre", "b"], "left")
+    radius = F.when(F.col("centre") == F.col("hub"), F.col("from_hub")).otherwise(F.coalesce("apart", F.lit(0)))
+    reach = stored(beside.select("hub", "label", "b", (radius + alpha * F.col("n")).alias("reach")), "reaches")
+    # The hub itself is no member: it is compared with all of them already.
+    most = reach.groupBy("hub", "label").agg(F.max("reach").alias("most"))
+    close = close.join(most.toDF("hub", "l_b", "most_b"), ["hub", "l_b"]).join(most.toDF("hub", "l_c", "most_c"), ["hub", "l_c"])
+    close = stored(close.where(F.col("most_b") + F.col("most_c") >= F.col("apart") - 1e-6), "near-labels")
+    if close.isEmpty():
+        return links
+    reached = lambda some, side: (
+        some.select(F.col("a").alias("hub"), F.col("label").alias(f"l_{side}"), "b", "key", "slack", "rest")
+        .join(reach.toDF("hub", f"l_{side}", "b", "reach"), ["hub", f"l_{side}", "b"])
+        .toDF("hub", f"l_{side}", f"node_{side}", "key", f"slack_{side}", f"rest_{side}", f"reach_{side}")
+    )
+    b = close.join(reached(index, "b"), ["hub", "l_b"]).where("reach_b >= apart - most_c - 1e-6")
+    c = reached(probe, "c")
+    fits = (F.col("reach_b") + F.col("reach_c") >= F.col("apart") - 1e-6) & (
+        (F.col("slack_b") + F.col("slack_c")) / 2 - 1e-6 <= F.least("rest_b", "rest_c")
     )
-    pairs = left.join(right, (left["key"] == right["key"]) & possible)
-    return pairs.select(F.least("node_b", "node_c").alias("a"), F.greatest("node_b", "node_c").alias("b")).distinct()
+    some = b.join(c, ["hub", "l_c", "key"]).where(fits)
+    some = some.select(F.least("node_b", "node_c").alias("a"), F.greatest("node_b", "node_c").alias("b")).distinct()
+    more = stored(compared(stored(some, "more-pairs"), sets, percent), "more-links", batch_bytes=_BATCH_BYTES)
+    return links.union(more.where("linked").select("a", "b"))
 
 
 def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> DataFrame:
@@ -229,20 +332,19 @@ def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> Dat
     ``chosen`` holds for the rows with the id and the set that stand for their component.
     """
     docs = docs.select("doc_id", "text")
-    rows = stored(sketches(docs, width), "sketches")
+    rows = stored(sketches(docs, width), "sketches", batch_bytes=_BATCH_BYTES)
     classes = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
     classes = stored(classes.agg(F.min("doc_id").alias("first_id"), F.first("registers").alias("registers")), "classes")
     pairs = stored(hub_pairs(classes), "hub-pairs")
     met = pairs.select("hub").union(pairs.select("node")).distinct().select(F.col("hub").alias("node"))
     ids = met.join(classes, "node").select(F.col("first_id").alias("doc_id")).distinct()
     texts = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = stored(full_sets(texts, width).dropDuplicates(["node"]), "shingle-sets")
+    sets = stored(full_sets(texts, width).dropDuplicates(["node"]), "shingle-sets", batch_bytes=_BATCH_BYTES)
     stars = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    stars = stored(compared(stars, sets, percent, differences=True), "stars")
+    stars = stored(compared(stars, sets, percent), "stars", batch_bytes=_BATCH_BYTES)
     links = stars.where("linked").select("a", "b")
     labels = components(links)
-    more = compared(stored(within_hubs(stars, labels, percent), "more-pairs"), sets, percent, differences=False)
-    more = stored(more.where("linked").select("a", "b"), "more-links")
+    more = stored(within_hubs(stars, labels, sets, percent), "within-hubs")
     if not more.isEmpty():
         labels = components(links.union(more))
     named = classes.select("node", "first_id").join(labels, "node")

@@ -1,8 +1,9 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterloom.llm import neardup
 from meterloom.llm.graph import components
@@ -88,14 +89,84 @@ def test_awkward_rows(spark):
 
 
 def test_one_of_each_keeps_columns_and_one_row(spark):
-    docs = documents(spark, awkward() + family())
+    """One row of each (id, set); ids repeat only where their texts have different sets."""
+    texts = awkward() + family()
+    docs = documents(spark, texts)
     kept = neardup.one_of_each(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    named = [i for i in ids if i is not None]
-    assert len(named) == len(set(named)) and ids.count(None) == 2
-    want = brute(awkward() + family(), 80)
-    assert set(named) == {i for i, c in want.items() if i == c}
+    rows = kept.collect()
+    assert [r.doc_id for r in rows].count(None) == 2
+    got = [(r.doc_id, frozenset(shingles(r.text))) for r in rows if r.doc_id is not None]
+    assert len(got) == len(set(got))
+    assert {i for i, _ in got} == {i for i, c in brute(texts, 80).items() if i == c}
+    assert sorted(i for i, _ in got if [j for j, _ in got].count(i) > 1) == [4, 4]
+
+
+def revisions(n, words=300, changed=9, seed=5):
+    """Two revisions of a page, n copies of each with one word of their own."""
+    draw = random.Random(seed)
+    first = [f"w{draw.random():.9f}" for _ in range(words)]
+    second = list(first)
+    for i in range(changed):
+        second[10 + i * (words // changed)] = f"v{i}x"
+    texts = []
+    for i in range(n):
+        for k, page in enumerate((first, second)):
+            own = list(page)
+            own[draw.randrange(words)] = f"p{i}x{k}"
+            texts.append((2 * i + k, " ".join(own)))
+    return texts
+
+
+def test_revisions_cost_no_square(spark, monkeypatch):
+    """Rows of every step, and the pairs that the label join compares, grow with n and not with n * n."""
+
+    def work(n):
+        seen = Counter()
+        real = neardup.stored
+
+        def counted(df, name, **options):
+            out = real(df, name, **options)
+            seen[name] += out.count()
+            if name == "star-places":  # an upper bound of what the label join compares
+                keys = out.groupBy("key").agg(F.count_distinct("label").alias("n"))
+                seen["compared"] += keys.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
+            return out
+
+        monkeypatch.setattr(neardup, "stored", counted)
+        rows = neardup.op6(documents(spark, revisions(n))).collect()
+        monkeypatch.setattr(neardup, "stored", real)
+        assert {r.component_id for r in rows} == {0, 1} and all(r.component_id == r.doc_id % 2 for r in rows)
+        return seen
+
+    small, large = work(250), work(1000)
+    for name, n in large.items():
+        assert n <= 2.2**2 * max(small[name], 250), (name, small[name], n)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_near_crowds_equal_brute_force(spark, seed):
+    """Crowds at every distance around the threshold, whose outer members may or may not reach across."""
+    draw = random.Random(seed)
+    texts, base = [], [f"w{draw.random():.9f}" for _ in range(120)]
+    for crowd in range(7):
+        centre = list(base)
+        for at in draw.sample(range(120), draw.choice([1, 2, 2, 3, 3, 4])):
+            centre[at] = f"c{crowd}x{at}"
+        for _ in range(draw.choice([1, 3, 12, 25])):
+            own = list(centre)
+            for at in draw.sample(range(120), draw.choice([0, 0, 1, 1, 2])):
+                own[at] = draw.choice([base[at], f"o{draw.randrange(40)}", f"o{draw.random()}"])
+            texts.append((len(texts), " ".join(own)))
+    rows = neardup.op6(documents(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute(texts, 85)
+
+
+def test_a_hub_with_more_members_than_a_group(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_GROUP", 3)
+    texts = family()
+    rows = neardup.op6(documents(spark, texts), 80).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute(texts, 80)
 
 
 def test_word_hashes_do_not_depend_on_buffers():

@@ -8,7 +8,13 @@ an ISO timestamp, a type, a content type and SHA-1 digests in Base32.
 
 Files go through Spark's own writers and readers, so any store works and lost tasks are redone. A
 file is closed after ``per_file`` records, which bounds what one reading task holds; its first record
-is the file description (ARC) or a ``warcinfo`` (WARC). Files are gzip-compressed as a whole.
+is the file description (ARC) or a ``warcinfo`` (WARC). Spark's writer compresses a file as one gzip
+member at the fastest level, not a member a record as other archives do; readers that go through a file
+from its start read both.
+
+An ARC file is parsed twice: once for the narrow columns that decide which records are revisits, once to
+write the WARC records. The decisions, at most one a record, are sent to the files; payloads stay where
+they are. A WARC file is parsed once, and each of its digests is checked then.
 
 Of records with equal payloads of at least ``least`` bytes the one with the largest page id is a
 response (ties: the larger record id); the others become revisits that refer to it and carry the HTTP
@@ -34,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterloom.llm.common import stored, tidy
 from meterloom.session import scratch_path
 
 # The header lines of both versions.
@@ -96,7 +103,8 @@ _LINE = pa.schema([("value", pa.binary())])
 def _write(records: DataFrame, path: str, end: str, per_file: int) -> None:
     """Records as they are (the cast keeps every byte), each followed by ``end``."""
     text = records.select(F.col("value").cast("string").alias("value"))
-    text.write.options(lineSep=end, compression="gzip", maxRecordsPerFile=str(per_file)).text(path)
+    options = {"lineSep": end, "compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(per_file)}
+    text.write.options(**options).text(path)
 
 
 def _arc_description(version: int, name: str) -> bytes:
@@ -141,20 +149,53 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     """The records of all ARC files below a path with the identifiers and digests that WARC needs."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield from _batches((_converted(name, *r) for r in parse_arc(data)), _ARC)
+        for name, data in _contents(batches):
+            yield from _batches((_converted(name, *r) for r in parse_arc(data)), _ARC)
+
+    return _files(spark, path).mapInArrow(tidy(records), _ARC_DDL)
+
+
+def list_arc(spark: SparkSession, path: str) -> DataFrame:
+    """file, offset, record_id, page_id, payload_bytes and digest of the records of all ARC files below a path."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, data in _contents(batches):
+            yield from _batches((_listed(name, offset, block) for offset, _, _, block in parse_arc(data)), _LISTED)
+
+    return _files(spark, path).mapInArrow(
+        tidy(records), "file string, offset long, record_id string, page_id long, payload_bytes long, digest string"
+    )
+
+
+def _listed(file: str, offset: int, block: bytes) -> tuple:
+    http, payload = _split(block)
+    page = _PAGE.search(http)
+    return file, offset, _record_id(file, offset), int(page[1]) if page else None, len(payload), hashlib.sha1(payload).hexdigest()
+
+
+_LISTED = pa.schema(
+    [("file", pa.string()), ("offset", pa.int64()), ("record_id", pa.string()), ("page_id", pa.int64()),
+     ("payload_bytes", pa.int64()), ("digest", pa.string())]
+)
+
 
-    return _files(spark, path).mapInArrow(records, _ARC_DDL)
+def _record_id(file: str, offset: int) -> str:
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{offset}')}"
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, one file's content at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
 
 
 def _converted(file: str, offset: int, version: int, fields: dict[str, str], block: bytes) -> tuple:
     http, payload = _split(block)
     page = _PAGE.search(http)
     when = datetime.strptime(fields["Archive-date"].ljust(14, "0")[:14], "%Y%m%d%H%M%S")
-    record_id = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{offset}')}"
     return (
-        record_id, int(page[1]) if page else None, version, fields["URL"], fields["IP-address"],
+        _record_id(file, offset), int(page[1]) if page else None, version, fields["URL"], fields["IP-address"],
         when.strftime("%Y-%m-%dT%H:%M:%SZ"), fields["Content-type"], http, payload, hashlib.sha1(payload).hexdigest(),
     )
 
@@ -196,20 +237,54 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def to_warc(records: DataFrame, least: int = 1000) -> DataFrame:
-    """The records of ``read_arc`` with type and refers_to (a record id, for revisits)."""
-    large = records.where(F.octet_length("payload") >= least)
+def revisits(listed: DataFrame, least: int = 1000) -> DataFrame:
+    """record_id and refers_to (a record id) of the records whose payload a newer record has.
+
+    Needs record_id, page_id, payload_bytes and digest.
+    """
+    large = listed.where(F.col("payload_bytes") >= least)
     newest = F.max(F.struct("page_id", "record_id"))
     # One row for each payload that occurs again; counted before the shuffle, so a hot one is one row a task.
     again = large.groupBy("digest").agg(F.count("*").alias("n"), newest.alias("newest")).where("n > 1")
-    again = again.select("digest", F.col("newest.record_id").alias("first_id"), F.lit(True).alias("again"))
-    joined = records.join(again, "digest", "left")
-    revisit = F.col("again") & (F.octet_length("payload") >= least) & (F.col("record_id") != F.col("first_id"))
-    return joined.select(
-        *records.columns,
-        F.when(revisit, "revisit").otherwise("response").alias("type"),
-        F.when(revisit, F.col("first_id")).alias("refers_to"),
+    again = again.select("digest", F.col("newest.record_id").alias("refers_to"))
+    return large.join(again, "digest").where("record_id <> refers_to")
+
+
+def to_warc(records: DataFrame, least: int = 1000) -> DataFrame:
+    """The records of ``read_arc`` with type and refers_to (a record id, for revisits)."""
+    listed = records.select("record_id", "page_id", F.octet_length("payload").alias("payload_bytes"), "digest")
+    decided = revisits(listed, least).select("record_id", "refers_to")
+    kind = F.when(F.col("refers_to").isNotNull(), "revisit").otherwise("response")
+    return records.join(decided, "record_id", "left").select(*records.columns, kind.alias("type"), "refers_to")
+
+
+def convert_files(spark: SparkSession, arc: str, warc: str, least: int = 1000, per_file: int = 512) -> None:
+    """ARC files as WARC files: decisions from the narrow columns go to the files, which are written record by record."""
+    listed = stored(list_arc(spark, arc), "arc-records")
+    by_file = revisits(listed, least).groupBy("file").agg(
+        F.collect_list(F.struct("offset", "refers_to")).alias("decided")  # of one file's records
     )
+    rows = _files(spark, arc).join(by_file, "file", "left")
+    rows = rows.select("file", "content", "decided.offset", "decided.refers_to")
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> Iterator[tuple[bytes]]:
+            n = 0
+            for name, data, offsets, targets in _contents(batches):
+                decided = dict(zip(offsets or [], targets or [], strict=True))
+                for record in parse_arc(data):
+                    row = dict(zip(_ARC.names, _converted(name, *record), strict=True))
+                    row["refers_to"] = decided.get(record[0])
+                    row["type"] = "response" if row["refers_to"] is None else "revisit"
+                    if n % per_file == 0:
+                        yield (_warcinfo(row["record_id"]),)
+                        n += 1
+                    yield (_warc_record(row),)
+                    n += 1
+
+        return _batches(made(), _LINE)
+
+    _write(rows.mapInArrow(tidy(lines), "value binary"), warc, "\r\n\r\n", per_file)
 
 
 def write_warc(records: DataFrame, path: str, per_file: int = 512) -> None:
@@ -291,11 +366,10 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     """Responses and revisits of all WARC files below a path; a revisit has no payload of its own."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                yield from _batches((_read(f, b, payloads) for f, b in parse_warc(data) if f["WARC-Type"] != "warcinfo"), _WARC)
+        for (data,) in _contents(batches):
+            yield from _batches((_read(f, b, payloads) for f, b in parse_warc(data) if f["WARC-Type"] != "warcinfo"), _WARC)
 
-    return _files(spark, path).select("content").mapInArrow(records, _WARC_DDL)
+    return _files(spark, path).select("content").mapInArrow(tidy(records), _WARC_DDL)
 
 
 def _read(fields: dict[str, str], block: bytes, payloads: bool) -> tuple:
@@ -317,17 +391,19 @@ def convert(pages: DataFrame) -> str:
     spark = pages.sparkSession
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc)
-    write_warc(to_warc(read_arc(spark, arc)), warc)
+    convert_files(spark, arc, warc)
     return warc
 
 
 def op8(pages: DataFrame) -> DataFrame:
     read = read_warc(pages.sparkSession, convert(pages), payloads=False)
+    columns = ["record_id", "page_id", "payload_bytes", "payload_digest", "type", "refers_to"]
+    read = stored(read.select(*columns), "warc-records")
     first = read.where("type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("first_page"))
-    revisits = read.where("type = 'revisit'").join(first, "refers_to")
+    revisited = read.where("type = 'revisit'").join(first, "refers_to")
     columns = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type")]
     responses = read.where("type = 'response'").select(*columns, F.lit(None).cast("long").alias("refers_to"))
-    return responses.unionByName(revisits.select(*columns, F.col("first_page").alias("refers_to")))
+    return responses.unionByName(revisited.select(*columns, F.col("first_page").alias("refers_to")))
 
 
 ORACLE_OP8 = """

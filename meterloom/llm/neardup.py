@@ -147,6 +147,7 @@ def hub_pairs(classes: DataFrame) -> DataFrame:
 _COMPARED = "a binary, b binary, n_a long, n_b long, estimate double, linked boolean, apart long"
 _GROUP = 2048  # members that meet one copy of their hub
 _BATCH_BYTES = 8 << 20
+_FEW_IDS = 500_000  # about 16 MB where they are broadcast
 
 
 def _beside_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -232,6 +233,11 @@ def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _beside_hubs(pairs, sets).mapInArrow(tidy(exploded), "a binary, b binary, n long, keys array<bigint>")
 
 
+def _may_overlap():
+    """Whether the shared elements that are left suffice for a link."""
+    return (F.col("slack_b") + F.col("slack_c")) / 2 - 1e-6 <= F.least("rest_b", "rest_c")
+
+
 def within_hubs(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links a, b that connect members of one hub which have different labels (components so far).
 
@@ -271,9 +277,11 @@ def within_hubs(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
         return best.toDF("key", f"l_{side}", f"slack_{side}", f"rest_{side}", f"hub_{side}")
 
     b, c = crowds(index, "b"), crowds(probe, "c")
-    possible = (b["l_b"] != c["l_c"]) & ((F.col("slack_b") + F.col("slack_c")) / 2 - 1e-6 <= F.least("rest_b", "rest_c"))
-    pairs = b.join(c, (b["key"] == c["key"]) & possible).select(F.col("hub_b").alias("hub"), "l_b", "l_c")
-    pairs = stored(pairs.distinct(), "label-pairs")
+    possible = (b["l_b"] != c["l_c"]) & _may_overlap()
+    met = b.join(c, (b["key"] == c["key"]) & possible)
+    met = met.select(b["key"], F.col("hub_b").alias("hub"), "l_b", "l_c", "slack_c", "rest_c")
+    met = stored(met, "label-meetings", compression="zstd")
+    pairs = stored(met.select("hub", "l_b", "l_c").distinct(), "label-pairs")
 
     # A label's centre beside a hub is the hub or one of its members; pairs of centres are decided first.
     centre = members.groupBy("a", "label").agg(
@@ -310,17 +318,20 @@ def within_hubs(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     close = stored(close.where(F.col("most_b") + F.col("most_c") >= F.col("apart") - 1e-6), "near-labels")
     if close.isEmpty():
         return links
-    reached = lambda some, side: (
-        some.select(F.col("a").alias("hub"), F.col("label").alias(f"l_{side}"), "b", "key", "slack", "rest")
-        .join(reach.toDF("hub", f"l_{side}", "b", "reach"), ["hub", f"l_{side}", "b"])
-        .toDF("hub", f"l_{side}", f"node_{side}", "key", f"slack_{side}", f"rest_{side}", f"reach_{side}")
-    )
-    b = close.join(reached(index, "b"), ["hub", "l_b"]).where("reach_b >= apart - most_c - 1e-6")
-    c = reached(probe, "c")
-    fits = (F.col("reach_b") + F.col("reach_c") >= F.col("apart") - 1e-6) & (
-        (F.col("slack_b") + F.col("slack_c")) / 2 - 1e-6 <= F.least("rest_b", "rest_c")
-    )
-    some = b.join(c, ["hub", "l_c", "key"]).where(fits)
+    def reached(some: DataFrame, side: str) -> DataFrame:
+        rows = some.select(F.col("a").alias("hub"), "label", "b", "key", "slack", "rest").join(reach, ["hub", "label", "b"])
+        return rows.select(
+            "key", F.col("label").alias(f"l_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("b", "slack", "rest", "reach")]
+        )
+
+    # Key by key: the members of one label that may meet the other label there, then the other's members.
+    near = met.join(close.select("hub", "l_b", "l_c", "apart", "most_c"), ["hub", "l_b", "l_c"])
+    x = reached(index, "b")
+    meets = (near["key"] == x["key"]) & (near["l_b"] == x["l_b"]) & (F.col("reach_b") >= F.col("apart") - F.col("most_c") - 1e-6)
+    half = near.join(x, meets & _may_overlap()).select(near["key"], "l_c", "apart", F.col("b_b").alias("x"), "slack_b", "rest_b", "reach_b")
+    y = reached(probe, "c")
+    meets = (half["key"] == y["key"]) & (half["l_c"] == y["l_c"]) & (F.col("reach_b") + F.col("reach_c") >= F.col("apart") - 1e-6)
+    some = half.join(y, meets & _may_overlap()).select(F.col("x").alias("node_b"), F.col("b_c").alias("node_c"))
     some = some.select(F.least("node_b", "node_c").alias("a"), F.greatest("node_b", "node_c").alias("b")).distinct()
     more = stored(compared(stored(some, "more-pairs"), sets, percent), "more-links", batch_bytes=_BATCH_BYTES)
     return links.union(more.where("linked").select("a", "b"))
@@ -337,8 +348,10 @@ def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> Dat
     classes = stored(classes.agg(F.min("doc_id").alias("first_id"), F.first("registers").alias("registers")), "classes")
     pairs = stored(hub_pairs(classes), "hub-pairs")
     met = pairs.select("hub").union(pairs.select("node")).distinct().select(F.col("hub").alias("node"))
-    ids = met.join(classes, "node").select(F.col("first_id").alias("doc_id")).distinct()
-    texts = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+    ids = stored(met.join(classes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "met-ids")
+    # Texts stay where they are while the ids are few enough to go to every task.
+    few = ids.count() <= _FEW_IDS
+    texts = docs.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), "doc_id", "left_semi")
     sets = stored(full_sets(texts, width).dropDuplicates(["node"]), "shingle-sets", batch_bytes=_BATCH_BYTES)
     stars = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
     stars = stored(compared(stars, sets, percent), "stars", batch_bytes=_BATCH_BYTES)

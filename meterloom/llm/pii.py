@@ -4,11 +4,15 @@ Base kinds are kept whatever surrounds them: email, ip (parts up to 255), card (
 pass Luhn) and phone (8 to 15 digits). Further kinds start at a score of their own, which checksums
 and context words raise or lower, and are kept from ``threshold`` on:
 
-* ``iban``: country, check digits and account, confirmed by mod-97 and the country's length; the search
-  goes on behind it, or behind the check digits of a candidate that fails;
+* ``iban``: country, check digits and account in either case, confirmed by mod-97 and the country's length;
+  the search goes on behind it, or behind the check digits of a candidate that fails;
 * ``short_card``: 13 to 15 digits that pass Luhn, which needs a card word nearby or an issuer prefix;
 * ``ssn``: ``ddd-dd-dddd`` with legal parts, which needs a context word;
-* ``secret``: a key word, ``=`` or ``:`` and a quoted or bare token of 20 characters or more with digits.
+* ``secret``: a key word, ``=`` or ``:`` and a quoted or bare token of 20 characters or more with digits;
+* ``api_key``: a key with its issuer's prefix, alphabet and length; one issuer's keys end in a CRC-32 in base 62,
+  which raises the score;
+* ``web_token``: three base64 parts whose first is a JSON object that names an algorithm;
+* ``private_key``: a PEM block from its opening line to the closing line with the same label.
 
 Every scan is linear in the text: patterns begin only at the start of a run of their characters and
 are possessive, and e-mail addresses grow outwards from each ``@``; a run of a million digits is one
@@ -20,8 +24,11 @@ empty table gives no rows; only the named columns are read.
 
 from __future__ import annotations
 
+import base64
 import bisect
+import json
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,25 +37,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterloom.llm.common import tidy
+
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("iban", "short_card", "ssn", "secret")
+ADDED = ("iban", "short_card", "ssn", "secret", "api_key", "web_token", "private_key")
 KINDS = BASE + ADDED
 
-# Total lengths of account numbers by country.
+# Total lengths of account numbers by country, as in the public registry.
 IBAN_LENGTHS = {
-    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20,
-    "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GI": 23, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26,
-    "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25,
-    "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30,
 }
+# Prefixes, alphabets and lengths of issuers' keys.
+_API_KEY = re.compile(
+    r"(?<![A-Za-z0-9_])(?:"
+    r"(?:AKIA|ASIA|AIDA|AROA|AGPA|ANPA)[A-Z2-7]{16}(?![A-Za-z0-9])"
+    r"|gh[oprsu]_[A-Za-z0-9]{36,}+"
+    r"|github_pat_[A-Za-z0-9]{22}_[A-Za-z0-9]{59}(?![A-Za-z0-9])"
+    r"|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"
+    r"|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}+"
+    r"|xox[abeoprs]-[A-Za-z0-9-]{10,}+"
+    r"|glpat-[A-Za-z0-9_-]{20,}+"
+    r"|npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"
+    r")"
+)
+_WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
+_PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+_BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
-_IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}")
+_IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(
     r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)\b)\x20{0,3}[=:]\x20{0,3}[\"']?([A-Za-z0-9+/_-]{20,}+)"
@@ -139,18 +169,56 @@ def _added(text: str, chains: list[tuple[int, int, str]], reach: int) -> Iterato
     for m in _SECRET.finditer(text) if "=" in text or ":" in text else ():
         mixed = any("0" <= c <= "9" for c in m[1]) and any(c.isalpha() for c in m[1])
         yield Span("secret", *m.span(1), 0.5 + 0.3 * mixed)
+    for m in _API_KEY.finditer(text):
+        yield Span("api_key", *m.span(), 0.75 + 0.2 * _signed(m[0]))
+    for m in _WEB_TOKEN.finditer(text) if "eyJ" in text else ():
+        yield Span("web_token", *m.span(), 0.9 if _names_algorithm(m[1]) else 0.3)
+    for a, b in _pem_blocks(text):
+        yield Span("private_key", a, b, 0.95)
+
+
+def _signed(key: str) -> bool:
+    """Whether a 40-character key with a two-letter issuer prefix ends in the CRC-32 of its random part."""
+    if len(key) != 40 or not key.startswith("gh") or key[3] != "_":
+        return False
+    said = 0
+    for c in key[34:]:
+        said = said * 62 + _BASE62.index(c)
+    return said == zlib.crc32(key[4:34].encode())
+
+
+def _names_algorithm(head: str) -> bool:
+    if len(head) > 4096:  # of a token's head; longer ones are something else
+        return False
+    try:
+        fields = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
+    except (ValueError, RecursionError):
+        return False
+    return isinstance(fields, dict) and "alg" in fields
+
+
+def _pem_blocks(text: str) -> Iterator[tuple[int, int]]:
+    if "PRIVATE KEY-----" not in text:
+        return
+    opened: tuple[str, int] | None = None
+    for m in _PEM.finditer(text):
+        if m[1] == "BEGIN":
+            opened = (m[2], m.start())
+        elif opened and opened[0] == m[2]:
+            yield opened[1], m.end()
+            opened = None
 
 
 def _iban_end(text: str, m: re.Match) -> int | None:
     """Walks from the head to the country's length, over single spaces."""
-    want, account, at = IBAN_LENGTHS.get(m[0][:2], 0), m[0], m.end()
+    want, account, at = IBAN_LENGTHS.get(m[0][:2].upper(), 0), m[0], m.end()
     while len(account) < want:
         at += text[at : at + 1] == " "
         if text[at : at + 1] not in _IBAN_CHARS:
             return None
         account += text[at]
         at += 1
-    return at if want and not text[at : at + 1].isalnum() and mod97(account) else None
+    return at if want and not text[at : at + 1].isalnum() and mod97(account.upper()) else None
 
 
 def find_spans(text: str | None, threshold: float = 0.6, reach: int = 60) -> list[Span]:
@@ -166,8 +234,9 @@ def find_spans(text: str | None, threshold: float = 0.6, reach: int = 60) -> lis
         ends.append(max(s.end, ends[-1] if ends else 0))
 
     def free(s: Span) -> bool:
-        before = bisect.bisect_left(starts, s.end)
-        return not before or ends[before - 1] <= s.start
+        """Apart from all base spans, or around those that it meets."""
+        first, last = bisect.bisect_right(ends, s.start), bisect.bisect_left(starts, s.end) - 1
+        return first > last or starts[first] >= s.start and ends[last] <= s.end
 
     added = [s for s in _added(text, chains, reach) if s.score >= threshold and free(s)]
     return sorted(base + added, key=lambda s: (KINDS.index(s.kind), s.start))
@@ -206,7 +275,7 @@ def tag_spans(docs: DataFrame, threshold: float = 0.6, reach: int = 60) -> DataF
 
     kind = dict(docs.dtypes)["doc_id"]
     spans = "array<struct<kind:string,start:long,end:long,score:double>>"
-    return docs.select("doc_id", "text").mapInArrow(tag, f"doc_id {kind}, spans {spans}, masked string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(tag), f"doc_id {kind}, spans {spans}, masked string")
 
 
 def masked_texts(docs: DataFrame, threshold: float = 0.6, reach: int = 60) -> DataFrame:
@@ -230,4 +299,5 @@ def op4(docs: DataFrame) -> DataFrame:
         *[count(kind) for kind in BASE],
         F.sha2(F.array_join(F.transform(base, text), ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterloom.llm import chat, decontam, langid, lmscore, neardup, packing, pii, quality, sharding, warc
+from meterloom.llm import (
+    chat, decontam, langid, lmscore, neardup, packing, phrases, pii, quality, sharding, toxicity, variants, warc,
+)
 from meterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,15 +61,29 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op11(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.op12(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.op13(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing, op2_chat_format, op3_quality_mcd, op4_pii, op5_language_id, op6_setsketch, op7_lpt_shards,
-        op8_arc_to_warc, op9_bloom_lm, op10_spaced_seeds,
+        op8_arc_to_warc, op9_bloom_lm, op10_spaced_seeds, op11_kneser_ney_toxicity, op12_phrase_automata, op13_spelling_tiles,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": chat.ORACLE_OP2,
     "op6_setsketch": neardup.ORACLE_OP6,
     "op8_arc_to_warc": warc.ORACLE_OP8,
+    "op12_phrase_automata": phrases.ORACLE_OP12,
+    "op13_spelling_tiles": variants.ORACLE_OP13,
 }

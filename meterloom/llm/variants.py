@@ -205,3 +205,53 @@ def spelling_forms(words: DataFrame, *, ratio: int = 5, tile: int = 1024) -> Dat
 def op13(docs: DataFrame) -> DataFrame:
     words = stored(word_counts(docs), "words")
     return spelling_forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: DuckDB SQL for the query: checksums byte by byte from a table of remainders, near words by what is left of
+#: them without one code point.
+ORACLE_OP13 = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), remainders AS (
+  SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      range(0, CAST(octet_length(encode(concat(doc_id, ':', run))) AS BIGINT)),
+      lambda i: CAST(('0x' || substr(hex(encode(concat(doc_id, ':', run))), CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM counted, remainders
+), planted AS (
+  SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM planted WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), holes AS (
+  SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS hole, i
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  -- One code point replaced: the same hole at the same place.
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN words b ON a.hole = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN words b ON a.hole = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 5 * w.n THEN b.near END AS form,
+    CASE WHEN b.near_n >= 5 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), walk(word, root) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT k.word, f.form FROM walk k JOIN forms f ON f.word = k.root WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT k.word, k.root FROM walk k JOIN forms f ON f.word = k.root WHERE f.form IS NULL
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r ON r.word = f.word
+"""

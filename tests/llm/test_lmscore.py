@@ -14,6 +14,58 @@ def tokens(text):
     return [*(text or "").encode().lower().split(), None]
 
 
+def held(i):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+
+
+def uses(docs, held_out, aside=20):
+    """How each (id, text) is used: 0 held out, 1 in the filter, 2 set aside."""
+    rows = docs.select("doc_id", "text", (F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(aside)) == 0).alias("apart")).collect()
+    return {(r.doc_id, r.text): 0 if held_out(r.doc_id) else 2 if r.apart else 1 for r in rows}
+
+
+def quantised(n, base=2.0):
+    """Least and largest count of the level of n."""
+    if not n:
+        return 0, 0
+    level = 1 + math.floor(math.log(n, base) + 1e-9)
+    return math.ceil(base ** (level - 1) - 1e-9), math.ceil(base**level - 1e-9) - 1
+
+
+def true_scores(texts, use):
+    """Scores by true counts, quantised as the filter does, with the best weights of the grid for what is set aside."""
+    one, two, three = Counter(), Counter(), Counter()
+    for i, x in texts:
+        t = tokens(x)
+        if use[i, x]:
+            one.update(t)
+        if use[i, x] == 1:
+            two.update(zip([None, *t[:-1]], t, strict=True))
+            three.update(zip([None, None, *t[:-2]] if len(t) > 1 else [None], [None, *t[:-1]], t, strict=True))
+    n, v = sum(one.values()), len(one)
+
+    def terms(x):
+        t = tokens(x)
+        for k, w in enumerate(t):
+            b, u = t[k - 1] if k else None, t[k - 2] if k > 1 else None
+            p1 = (one[w] + 0.5) / (n + 0.5 * (v + 1))
+            r2 = min(quantised(two[b, w])[0], one[w], one[b]) / one[b] if one[b] else None
+            high = quantised(two[u, b])[1] if k else 0
+            r3 = min(quantised(three[u, b, w])[0], high) / high if high else None
+            yield p1, r2, r3
+
+    def score(ts, a, b):
+        total = 0.0
+        for p1, r2, r3 in ts:
+            p = p1 if r2 is None else b * r2 + (1 - b) * p1
+            total += math.log10(p if r3 is None else a * r3 + (1 - a) * p)
+        return total
+
+    apart = [list(terms(x)) for i, x in texts if use[i, x] == 2]
+    a, b = max(lmscore.GRID, key=lambda g: sum(score(t, *g) for t in apart)) if apart else (0.1, 0.2)
+    return {(i, x): score(list(terms(x)), a, b) for i, x in texts}, (a, b)
+
+
 @pytest.fixture(scope="module")
 def case(spark):
     shared = prose(77, 40)
@@ -23,7 +75,6 @@ def case(spark):
 
 def test_base_equals_brute_force(case):
     texts, rows = case
-    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
     counts = Counter(t for i, x in texts if not held(i) for t in tokens(x))
     n, v = sum(counts.values()), len(counts)
     want = sorted(
@@ -37,114 +88,100 @@ def test_base_equals_brute_force(case):
     assert got == want
 
 
-def test_bigrams_help_on_held_out_texts(case):
+def test_ngrams_help_on_held_out_texts(case):
     _, rows = case
-    held = [r for r in rows if r.held_out and r.doc_id and r.doc_id >= 100]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    some = [r for r in rows if r.held_out and r.doc_id and r.doc_id >= 100]
+    assert sum(r.score for r in some) > sum(r.base_score for r in some)
     assert all(r.score <= 0 for r in rows)
 
 
 def test_score_equals_exact_counts(spark, case):
-    """With a filter this sparse hardly a probe errs: the exact quantised model gives the scores."""
+    """True counts, rounded down to the least of their level, give the scores of all texts but for false hits."""
     texts, rows = case
-    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
-    one, two = Counter(), Counter()
-    for i, x in texts:
-        if not held(i):
-            t = tokens(x)
-            one.update(t)
-            two.update(zip([None, *t[:-1]], t, strict=True))
-    n, v = sum(one.values()), len(one)
+    want, _ = true_scores(texts, uses(documents(spark, texts), held))
     exact = {}
-    for i, x in texts:
-        t, total = tokens(x), 0.0
-        for a, b in zip([None, *t[:-1]], t, strict=True):
-            p = (one[b] + 0.5) / (n + 0.5 * (v + 1))
-            level = int(math.log2(two[a, b])) if two[a, b] > 1 else 0
-            if one[a]:
-                p = 0.2 * (2**level if level else 0) / one[a] + 0.8 * p
-            total += math.log10(p)
-        exact.setdefault(i, []).append(total)
-    near = [min(abs(r.score - e) / len(tokens("")) for e in exact[r.doc_id]) < 0.02 * abs(r.score) + 0.1 for r in rows]
-    assert sum(near) / len(near) > 0.9
-
-
-def test_filter_reads_levels_back():
+    for (i, _), s in want.items():
+        exact.setdefault(i, []).append(s)
+    near = [min(abs(r.score - e) for e in exact[r.doc_id]) < 0.02 * abs(r.score) + 1e-6 for r in rows]
+    assert sum(near) / len(near) > 0.97
+
+
+def test_ngrams_that_occur_once_count(spark):
+    """In training texts every n-gram occurs, most of them once, some of words that occur once."""
+    texts = [(i, " ".join(f"w{(i * 37 + k * k) % 150}" if k % 7 else f"only{i}x{k}" for k in range(60))) for i in range(60)]
+    texts += [(600 + i, texts[i][1]) for i in range(60) if i % 6 == 1]
+    texts = [(i, f"{x} only{i + 1}x7 w{((i + 1) * 37 + 64) % 150}" if i % 6 == 0 else x) for i, x in texts]
+    docs = documents(spark, texts)
+    rows = lmscore.score_texts(docs, F.col("doc_id") % 6 != 0, bits_per_key=24).collect()
+    want, _ = true_scores(texts, uses(docs, lambda i: i % 6 == 0))
+    by_id = {i: s for (i, _), s in want.items()}
+    assert all(r.score == pytest.approx(by_id[r.doc_id], rel=1e-3) for r in rows)
+
+
+def test_both_ways_of_probing_read_the_same(spark):
+    texts = [(i, prose(i % 90, 60)) for i in range(200)]
+    docs = documents(spark, texts)
+    key = lambda r: r.doc_id
+    some = {"block_bytes": 4_000, "segment_bytes": 300, "bits_per_key": 24}
+    whole = sorted(lmscore.score_texts(docs, F.lit(True), **some).collect(), key=key)
+    passes = sorted(lmscore.score_texts(docs, F.lit(True), group_bytes=4_000, most_groups=10**6, **some).collect(), key=key)
+    ranges = sorted(lmscore.score_texts(docs, F.lit(True), most_groups=0, **some).collect(), key=key)
+    assert whole == passes == ranges and len(whole) == 200
+    want, _ = true_scores(texts, uses(docs, lambda i: False))
+    assert all(r.score == pytest.approx(want[r.doc_id, texts[r.doc_id][1]], rel=1e-3) for r in whole)
+
+
+def test_probing_needs_segments_and_keys_only(spark):
+    """Segments of one corpus read the n-grams of another, and held-out rows leave no trace in them."""
+    train = documents(spark, [(i, prose(i, 50)) for i in range(40)]).select("doc_id", F.lit(1).alias("training"), "text")
+    other = documents(spark, [(900 + i, prose(900 + i, 50, "zi qo wu pel")) for i in range(10)])
+    hidden = other.select("doc_id", F.lit(0).alias("training"), "text")
+    make = lambda rows: lmscore.build_segments(
+        lmscore.key_parts(lmscore.token_blocks(rows, 1 << 20), 6, training=True), 2.0, bits_per_key=12, probes=5
+    )
+    segments = make(train)
+    bits = lambda s: {r.range: (r.size, bytes(r.bits)) for r in s.collect()}
+    assert bits(segments) == bits(make(train.union(hidden)))
+    read = lmscore.probe_by_range(lmscore.token_blocks(hidden, 1 << 20), segments, 6)
+    levels = np.concatenate([np.frombuffer(bytes(r.levels), np.uint8) for r in read.collect()])
+    assert (levels == 0).mean() > 0.97
+    read = lmscore.probe_by_range(lmscore.token_blocks(train, 1 << 20), segments, 6)
+    assert all((np.frombuffer(bytes(r.levels), np.uint8) > 0).all() for r in read.collect())
+
+
+def test_segment_reads_levels_back():
     draw = np.random.default_rng(3)
-    hashes = draw.integers(0, 2**63, 4000, dtype=np.uint64) * np.uint64(2)
-    levels = draw.integers(1, 6, 4000)
-    size, segments = 4000, {}
-    for r in range(64):
-        mask = np.zeros(-(-size // 8) * 8, np.uint8)
-        own = (hashes >> np.uint64(58)) == r
-        for level in range(1, 6):
-            low = hashes[own & (levels >= level)] & lmscore._LOW
-            mask[lmscore._positions(low, level, size, 5).ravel()] = 1
-        segments[r] = np.packbits(mask, bitorder="little").tobytes()
-    bloom = lmscore.Filter(6, size, 5, 0, 2.0, segments)
-    read = bloom.level(hashes)
+    hashes, levels = np.unique(draw.integers(0, 2**40, 4000, dtype=np.uint64)), None
+    levels = draw.integers(1, 6, len(hashes))
+    segment = lmscore.Segment.build(hashes, levels, bits_per_key=12, probes=5)
+    read = lmscore.Segment(segment.size, 5, segment.data.tobytes()).level(hashes)
     assert (read >= levels).all() and (read == levels).mean() > 0.97
-    assert (bloom.level(draw.integers(0, 2**63, 4000, dtype=np.uint64)) == 0).mean() > 0.95
+    assert (segment.level(draw.integers(0, 2**40, 4000, dtype=np.uint64)) == 0).mean() > 0.97
 
 
-def test_the_filter_stays_below_its_bound(spark):
-    texts = [(i, prose(i % 40, 60)) for i in range(200)]
-    docs = documents(spark, texts)
-    rows = lmscore.score_texts(docs, F.lit(True), most_bits=4096).collect()
-    assert len(rows) == 200 and all(r.score <= 0 for r in rows)
+def test_weights_are_those_of_the_grid(spark):
+    """Texts that repeat whole phrases call for trigrams; texts of words drawn alone don't."""
+    draw = np.random.default_rng(1)
+    phrases = [" ".join(f"p{k}w{j}" for j in draw.permutation(6)) for k in range(30)]
+    fixed = [(i, " ".join(draw.choice(phrases, 12))) for i in range(200)]
+    loose = [(i, " ".join(f"w{k}" for k in draw.integers(0, 400, 60))) for i in range(200)]
+    want = []
+    for texts in (fixed, loose):
+        docs = documents(spark, texts)
+        want.append(true_scores(texts, uses(docs, lambda i: False))[1])
+        rows = lmscore.score_texts(docs, F.lit(True)).collect()
+        assert len(rows) == 200
+    assert want[0][0] + want[0][1] > want[1][0] + want[1][1]
 
 
-def test_packed_hashes_round_trip():
+def test_packing_round_trips():
     x = np.array([0, 1, 2**40 - 1, 2**63 + 5], np.uint64)
     assert (lmscore._unpack40(lmscore._pack40(x)) == (x & lmscore._LOW)).all()
+    n = np.array([0, 1, 255, 256, 2**31 - 1])
+    assert (lmscore._unpack32(lmscore._pack32(n)) == n).all()
 
 
 def test_nothing_to_learn_from(spark):
     rows = lmscore.score_texts(documents(spark, [(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in rows} == {(1, 3, 0, 0), (2, 1, 0, 0)}
     assert lmscore.op9(documents(spark, awkward()).limit(0)).count() == 0
-
-
-def true_scores(texts, held, base=2.0):
-    """Scores by true counts, rounded down to a power of the base: a bigram that occurs once counts as one."""
-    one, two = Counter(), Counter()
-    for i, x in texts:
-        if not held(i):
-            t = tokens(x)
-            one.update(t)
-            two.update(zip([None, *t[:-1]], t, strict=True))
-    n, v = sum(one.values()), len(one)
-    for i, x in texts:
-        t, total = tokens(x), 0.0
-        for a, b in zip([None, *t[:-1]], t, strict=True):
-            p = (one[b] + 0.5) / (n + 0.5 * (v + 1))
-            if one[a]:
-                together = base ** math.floor(math.log(two[a, b], base) + 1e-9) if two[a, b] else 0
-                p = 0.2 * together / one[a] + 0.8 * p
-            total += math.log10(p)
-        yield i, total
-
-
-def test_bigrams_that_occur_once_count(spark):
-    """In training texts every bigram occurs, most of them once, some of words that occur once."""
-    texts = [(i, " ".join(f"w{(i * 37 + k * k) % 150}" if k % 7 else f"only{i}x{k}" for k in range(60))) for i in range(60)]
-    held = lambda i: i % 6 == 0
-    texts += [(600 + i, texts[i][1]) for i in range(60) if i % 6 == 1]
-    texts = [(i, f"{x} only{i + 1}x7 w{((i + 1) * 37 + 64) % 150}" if held(i) else x) for i, x in texts]
-    rows = lmscore.score_texts(documents(spark, texts), F.col("doc_id") % 6 != 0).collect()
-    got = {r.doc_id: r.score for r in rows}
-    want = dict(true_scores(texts, held))
-    assert all(abs(got[i] - want[i]) < 0.02 * abs(want[i]) for i in got if not held(i))
-    assert all(abs(got[i] - want[i]) < 0.1 * abs(want[i]) for i in got)
-
-
-def test_a_small_bound_loses_no_level(spark):
-    texts = [(i, prose(i % 90, 60)) for i in range(200)]
-    rows = lmscore.score_texts(documents(spark, texts), F.lit(True), most_bits=4096).collect()
-    want = dict(true_scores(texts, lambda i: False))
-    assert len(rows) == 200 and all(abs(r.score - want[r.doc_id]) < 0.02 * abs(want[r.doc_id]) for r in rows)
-
-
-def test_packed_counts_round_trip():
-    x = np.array([0, 1, 255, 256, 2**31 - 1])
-    assert (lmscore._unpack32(lmscore._pack32(x)) == x).all()

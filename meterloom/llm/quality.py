@@ -4,14 +4,19 @@ Base statistics come from array functions over the words of the whole text; wind
 compared by 64-bit hashes, and sorting them with their places costs n log n for any text.
 
 The vector of a text is ``VECTOR``: logarithms and rates a word. For each (language, source) the
-minimum-covariance-determinant estimate starts at medians and median deviations and takes ``steps``
-concentration steps: keep the rows within the ``core`` quantile of squared Mahalanobis distance, and
-take their mean and covariance anew. Each step is two aggregations that combine before they shuffle,
-so a hot source is one row a task. Estimates are scaled so that the core quantile is that of the
-normal law, each variance gets a floor (most clean texts have no symbols at all), and a group's
-estimate is weighed against its language's as ``prior`` rows, which serves small groups without a
-switch. A text is rejected when its squared distance, times n / (n + ``short``) for n words (rates of
-short texts scatter more), is beyond ``cut``.
+minimum-covariance-determinant estimate looks for the ``core`` share of rows whose covariance has the smallest
+determinant. Three deterministic starts, rows of one table, take concentration steps side by side: the mean and
+covariance of all rows; medians and quartile ranges; and the correlations of tanh-transformed parts with those ranges. A step keeps
+the rows within the core quantile of squared Mahalanobis distance and takes their mean and covariance anew; it never raises
+the determinant. Steps end when no group's limit moves by a hundredth, or after ``steps``. Of a group's starts the one with
+the smallest determinant stays. Each step is two aggregations that combine before they shuffle, so a hot source is one
+row a task.
+
+Each variance gets a floor (most clean texts have no symbols at all), and a group's estimate is weighed against its language's
+as ``prior`` rows, which serves small groups without a switch. In the end a covariance is multiplied by limit / 7.84, so that the core quantile
+of squared distances is that of the chi-square law of six parts, as for a normal law; where the floors are
+wider than the data, so that the limit is less already, it stays. A text is rejected when its squared distance, times n / (n + ``short``)
+for n words (rates of short texts scatter more), is beyond ``cut``.
 
 Defined results: a null or empty text has no words and fails the base rule; a null language or source
 is a group like any other; repeated rows count each; an empty table gives no rows; other columns, of
@@ -133,9 +138,9 @@ def _cholesky(groups: DataFrame) -> DataFrame:
 
 
 def _pooled(groups: DataFrame, prior: float) -> DataFrame:
-    """Moments of groups (n, mean, covariance), each weighed against its language's."""
+    """Moments of groups and starts (n, mean, covariance), each weighed against its language's."""
     xs = range(_SIZE)
-    lang = groups.groupBy("lang_key").agg(
+    lang = groups.groupBy("lang_key", "start").agg(
         F.sum("n").alias("n_l"),
         *[(F.sum(F.col("n") * F.col(f"m_{i}")) / F.sum("n")).alias(f"p_{i}") for i in xs],
         *[
@@ -143,7 +148,7 @@ def _pooled(groups: DataFrame, prior: float) -> DataFrame:
             for i, j in _PAIRS
         ],
     )
-    both = groups.join(lang, "lang_key")
+    both = groups.join(lang, ["lang_key", "start"])
     w = F.col("n") / (F.col("n") + prior)
     mean = [w * F.col(f"m_{i}") + (1 - w) * F.col(f"p_{i}") for i in xs]
     gap = [F.col(f"m_{i}") - F.col(f"p_{i}") for i in xs]
@@ -152,41 +157,86 @@ def _pooled(groups: DataFrame, prior: float) -> DataFrame:
         for i, j in _PAIRS
     ]
     return both.select(
-        "group", "lang_key", *[m.alias(f"m_{i}") for i, m in enumerate(mean)], *[c.alias(f"c_{i}_{j}") for (i, j), c in zip(_PAIRS, cov, strict=True)]
-    )
+        "group", "start", "lang_key", *[m.alias(f"m_{i}") for i, m in enumerate(mean)],
+        *[c.alias(f"c_{i}_{j}") for (i, j), c in zip(_PAIRS, cov, strict=True)],
+    )
 
 
-def _per_group(rows: DataFrame, name: str) -> DataFrame:
-    """A row a group in one file, so that Spark sees how small it is and deals no texts by group."""
-    return stored(rows.repartition(1), name)
+def _moments(by: list[str]) -> list[Column]:
+    xs = range(_SIZE)
+    return [
+        F.count("*").alias("n"),
+        *[F.avg(f"{by[0]}_{i}").alias(f"m_{i}") for i in xs],
+        *[F.covar_pop(f"{by[0]}_{i}", f"{by[0]}_{j}").alias(f"c_{i}_{j}") for i, j in _PAIRS],
+    ]
 
 
-def estimate(vectors: DataFrame, *, steps: int = 3, core: float = 0.75, prior: float = 50.0, accuracy: int = 1000) -> DataFrame:
-    """Centre and Cholesky factor of each group, from rows of group, lang_key and x_0, x_1, ..."""
+def starts(vectors: DataFrame, accuracy: int) -> DataFrame:
+    """group, lang_key, start, m_i and c_i_j: three deterministic beginnings of each group."""
     xs = range(_SIZE)
-    middle = vectors.groupBy("group", "lang_key").agg(
+    quarters = vectors.groupBy("group", "lang_key").agg(
         *[F.percentile_approx(f"x_{i}", [0.25, 0.5, 0.75], accuracy).alias(f"t_{i}") for i in xs]
     )
-    # A quarter-to-three-quarters range of a normal law is 1.349 deviations.
-    found = middle.select(
-        "group",
-        *[F.col(f"t_{i}")[1].alias(f"m_{i}") for i in xs],
-        *[(((F.col(f"t_{i}")[2] - F.col(f"t_{i}")[0]) / 1.349) ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS],
+    floors = [v**0.5 for v in VECTOR.values()]
+    # The range between quartiles of a normal law is 1.349 deviations.
+    middle = quarters.select(
+        "group", "lang_key", *[F.col(f"t_{i}")[1].alias(f"mid_{i}") for i in xs],
+        *[F.greatest((F.col(f"t_{i}")[2] - F.col(f"t_{i}")[0]) / 1.349, F.lit(floors[i])).alias(f"dev_{i}") for i in xs],
+    )
+    middle = stored(middle.hint("rebalance"), "mcd-middle")
+    names = ["group", "lang_key", *[f"m_{i}" for i in xs], *[f"c_{i}_{j}" for i, j in _PAIRS]]
+    plain = vectors.groupBy("group", "lang_key").agg(*_moments(["x"])).select(*names, F.lit(0).alias("start"))
+    apart = middle.select(
+        "group", "lang_key", *[F.col(f"mid_{i}").alias(f"m_{i}") for i in xs],
+        *[(F.col(f"dev_{i}") ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS], F.lit(1).alias("start"),
+    )
+    bent = vectors.join(middle.drop("lang_key"), "group").select(
+        "group", "lang_key", *[F.tanh((F.col(f"x_{i}") - F.col(f"mid_{i}")) / F.col(f"dev_{i}")).alias(f"z_{i}") for i in xs]
     )
-    found = _per_group(_cholesky(found), "mcd-start")
-    for step in range(steps):
-        rows = _distance(vectors.join(found, "group")).select("group", "lang_key", "d2", *[f"x_{i}" for i in xs])
-        limits = rows.groupBy("group").agg(F.percentile_approx("d2", core, accuracy).alias("limit"))
-        limits = _per_group(limits, f"mcd-limits-{step}")
-        near = rows.join(limits, "group").where("d2 <= limit")
-        moments = near.groupBy("group", "lang_key").agg(
-            F.count("*").alias("n"),
-            *[F.avg(f"x_{i}").alias(f"m_{i}") for i in xs],
-            *[F.covar_pop(f"x_{i}", f"x_{j}").alias(f"c_{i}_{j}") for i, j in _PAIRS],
-        )
-        moments = _per_group(moments, f"mcd-moments-{step}")
-        found = _per_group(_cholesky(_pooled(moments, prior)).drop("lang_key", *[f"c_{i}_{j}" for i, j in _PAIRS]), f"mcd-{step}")
-    return found
+    bent = bent.groupBy("group", "lang_key").agg(*_moments(["z"])).join(middle.drop("lang_key"), "group")
+    tiny = F.lit(1e-6)
+    scale = lambda i: F.col(f"dev_{i}") / F.sqrt(F.greatest(F.col(f"c_{i}_{i}"), tiny))
+    bent = bent.select(
+        "group", "lang_key", *[F.col(f"mid_{i}").alias(f"m_{i}") for i in xs],
+        *[(F.col(f"dev_{i}") ** 2 if i == j else F.col(f"c_{i}_{j}") * scale(i) * scale(j)).alias(f"c_{i}_{j}") for i, j in _PAIRS],
+        F.lit(2).alias("start"),
+    )
+    return plain.unionByName(apart).unionByName(bent)
+
+
+#: The chi-square quantile at 0.75 of as many degrees of freedom as the vector has parts.
+CHI_SQUARE = 7.84080
+
+
+def estimate(vectors: DataFrame, *, steps: int = 6, core: float = 0.75, prior: float = 50.0, accuracy: int = 1000) -> DataFrame:
+    """Centre and Cholesky factor of each group, from rows of group, lang_key and x_0, x_1, ...; with its start and log_det."""
+    kept = ["group", "start", *[f"m_{i}" for i in range(_SIZE)], *[f"l_{i}_{j}" for i, j in _PAIRS]]
+    spread = lambda rows, name: stored(rows.hint("rebalance"), name)  # a row a group and start
+    found = spread(_cholesky(starts(vectors, accuracy)).select(*kept), "mcd-start")
+    before = None
+    for step in range(steps + 1):
+        rows = _distance(vectors.join(found, "group")).select("group", "start", "lang_key", "d2", *[f"x_{i}" for i in range(_SIZE)])
+        limits = spread(rows.groupBy("group", "start").agg(F.percentile_approx("d2", core, accuracy).alias("limit")), "mcd-limits")
+        if before is not None:
+            moved = limits.join(before.withColumnRenamed("limit", "old"), ["group", "start"])
+            if step == steps or moved.where(F.abs(F.col("limit") - F.col("old")) > 0.01 * F.col("old") + 1e-9).isEmpty():
+                break
+        near = rows.join(limits, ["group", "start"]).where("d2 <= limit")
+        moments = spread(near.groupBy("group", "start", "lang_key").agg(*_moments(["x"])), "mcd-moments")
+        found, before = spread(_cholesky(_pooled(moments, prior)).select(*kept), "mcd"), limits
+    log_det = 2 * sum((F.log(F.col(f"l_{i}_{i}")) for i in range(_SIZE)), F.lit(0.0))
+    whole = found.join(limits, ["group", "start"]).withColumn("log_det", log_det)
+    # Determinants that are alike tell nothing: the first start of them stays.
+    order = F.struct(F.round("log_det", 3), "start")
+    best = whole.groupBy("group").agg(F.min_by(F.struct(*kept[1:], "limit", "log_det"), order).alias("best")).select("group", "best.*")
+    wider = F.sqrt(F.greatest(F.col("limit") / CHI_SQUARE, F.lit(1.0)))
+    return spread(
+        best.select(
+            "group", "start", "log_det", *[f"m_{i}" for i in range(_SIZE)],
+            *[(F.col(f"l_{i}_{j}") * wider).alias(f"l_{i}_{j}") for i, j in _PAIRS],
+        ),
+        "mcd-best",
+    )
 
 
 def _verdict(rows: DataFrame, stats: Column, cut: float, short: float) -> DataFrame:

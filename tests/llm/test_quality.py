@@ -76,3 +76,52 @@ def test_estimate_resists_outliers(spark):
     found = quality.estimate(rows).first()
     assert abs(found.m_0) < 0.25 and abs(found.m_1 - 3) < 0.4
     assert 0.2 < found.l_1_0 < 1.5
+
+
+def table_of(spark, x, group="g"):
+    return spark.createDataFrame([(group, "l", *map(float, r)) for r in x], ["group", "lang_key", *[f"x_{i}" for i in range(6)]])
+
+
+def test_core_quantile_is_the_chi_square_one(spark):
+    """On normal data of any shape, so that one cut means the same in every group."""
+    import numpy as np
+
+    draw = np.random.default_rng(2)
+    frames = []
+    for k, scale in enumerate([1.0, 30.0]):
+        x = draw.normal(size=(4000, 6)) * scale
+        x[:, 2] += 0.9 * x[:, 3]
+        frames.append(table_of(spark, x, f"g{k}"))
+    rows = frames[0].union(frames[1])
+    found = quality.estimate(rows, prior=0.0)
+    d2 = quality._distance(rows.join(found, "group"))
+    for r in d2.groupBy("group").agg({"d2": "count"}).collect():
+        own = np.array([x.d2 for x in d2.where(d2.group == r.group).select("d2").collect()])
+        assert np.quantile(own, 0.75) == pytest.approx(quality.CHI_SQUARE, rel=0.03)
+
+
+def test_the_start_with_the_smallest_determinant_stays(spark, monkeypatch):
+    """Not quite a quarter of far rows, close together, drags the mean of all rows along; steps from there end in a worse subset."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(1200, 6))
+    x[:288] = draw.normal(size=(288, 6)) * 0.3 + [12, -12, 12, -12, 12, 12]
+    rows = table_of(spark, x)
+    real = quality.starts
+    alone = []
+    for k in range(3):
+        monkeypatch.setattr(quality, "starts", lambda v, a, k=k: real(v, a).where(F.col("start") == k))
+        alone.append(quality.estimate(rows).first().log_det)
+    monkeypatch.setattr(quality, "starts", real)
+    best = quality.estimate(rows).first()
+    assert best.log_det == pytest.approx(min(alone), abs=0.01)
+    assert max(alone) > min(alone) + 0.5, alone
+    assert abs(best.m_0) < 0.5
+
+
+def test_a_group_without_spread_and_a_group_of_one(spark):
+    rows = table_of(spark, [[1, 2, 3, 4, 5, 6]] * 30).union(table_of(spark, [[0, 0, 0, 0, 0, 0]], "h"))
+    found = {r.group: r for r in quality.estimate(rows, prior=0.0).collect()}
+    assert set(found) == {"g", "h"} and all(r[f"l_{i}_{i}"] > 0 for r in found.values() for i in range(6))

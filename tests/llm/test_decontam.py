@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -15,21 +16,25 @@ def words(text):
 def best(doc, item, shift):
     same = [int(doc[shift + q] == item[q]) for q in range(len(item)) if 0 <= shift + q < len(doc)]
     width = min(20, len(item))
-    if len(same) < 8:
+    if len(same) < min(8, len(item)):
         return 0, width
     return max((sum(same[i : i + width]) for i in range(max(1, len(same) - width + 1)))), width
 
 
 def brute(docs, items):
-    """Every shift of every item over every document."""
+    """Every shift of every item over every document; items of fewer than five words against whole documents."""
     found = {}
     for d, text in docs:
         doc = words(text)
         for i, other in items:
             item = words(other)
-            for shift in range(-len(item) + 1, len(doc)) if len(item) >= 8 else ():
+            if len(item) < 5:
+                if item and doc == item:
+                    found[d, i] = len(item)
+                continue
+            for shift in range(-len(item) + 1, len(doc)):
                 matched, width = best(doc, item, shift)
-                if matched >= max(math.ceil(width * 0.8 - 1e-9), 8):
+                if matched >= max(math.ceil(width * 0.8 - 1e-9), min(8, len(item))):
                     found[d, i] = max(found.get((d, i), 0), matched)
     return found
 
@@ -40,13 +45,14 @@ def substituted(text, every, offset):
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    items = [(i, prose(900 + i, 12 + 5 * i)) for i in range(8)] + [(50, "too short to say anything"), (51, None), (52, "")]
+    items = [(i, prose(900 + i, 12 + 5 * i)) for i in range(8)] + [(50, "too short to say anything"), (51, None), (52, ""), (53, "only three words")]
     texts = []
     for i in range(8):
         item = items[i][1]
         texts += [(100 + i, f"{prose(i, 30)} {item} {prose(i + 50, 20)}"), (200 + i, item.upper().replace(" ", " -- "))]
         texts += [(300 + 10 * i + k, f"{prose(i, 9)} {substituted(item, 5, k)}") for k in range(5)]
         texts += [(400 + i, " ".join(item.split()[: len(item.split()) // 2]))]
+    texts += [(500, "and TOO short, to say anything at all"), (501, "too short to say nothing"), (502, "Only three words."), (503, "only three words here")]
     texts += [(1000 + i, prose(2000 + i, 80)) for i in range(40)]
     draw = random.Random(8)
     texts += [(1100 + i, " ".join(draw.sample(items[7][1].split(), 40))) for i in range(10)]
@@ -103,3 +109,32 @@ def test_awkward_rows(spark, tables):
     items = spark.createDataFrame([(1, item), (1, item), (None, item)], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontam.op10(null_id, items).collect()} == {(None, 1), (None, None), (1, 1), (1, None)}
     assert decontam.decontaminated(null_id, items).count() == 0
+
+
+def seed_is_shared(item, doc):
+    """By the masks as the operator uses them, over word lists that are aligned."""
+    masks = decontam.MASKS + (decontam.LIGHT_MASKS if len(item) <= decontam.SHORT else ())
+    return any(
+        all(bit == "0" or item[at + k] == doc[at + k] for k, bit in enumerate(mask))
+        for mask in masks for at in range(len(item) - len(mask) + 1)
+    )
+
+
+@pytest.mark.parametrize("n, least", [(n, 1.0) for n in range(8, 15)] + [(15, 0.98)] + [(n, 1.0) for n in range(16, 20)] + [(20, 0.998)])
+def test_recall_over_all_placements(n, least):
+    """Of as many substitutions as still count as a match, at every place that they can have."""
+    item = list(range(n))
+    allowed = n - max(math.ceil(n * 0.8 - 1e-9), 8)
+    placed = list(itertools.combinations(range(n), allowed))
+    found = sum(seed_is_shared(item, [-1 if k in bad else k for k in item]) for bad in placed)
+    assert found / len(placed) >= least
+
+
+def test_ten_word_items_with_two_substitutions(spark):
+    """All 45 placements through the operator."""
+    item = prose(77, 10, "zi qo wu pel gar").split()
+    texts = []
+    for i, bad in enumerate(itertools.combinations(range(10), 2)):
+        texts.append((i, " ".join([*prose(i, 6).split(), *("sub" if k in bad else w for k, w in enumerate(item)), *prose(i + 99, 6).split()])))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in decontam.op10(documents(spark, texts), bench).collect()} == set(range(45))

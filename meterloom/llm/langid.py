@@ -43,8 +43,13 @@ def fit(
     slice_chars: int = 600,
     dictionary_bytes: int = 1 << 15,
     all_bytes: int = 8 << 20,
+    languages: int = 256,
 ) -> dict[str, bytes]:
-    """Dictionaries by language, the commonest first, from rows with text and lang."""
+    """Dictionaries by language, the commonest first, from rows with text and lang.
+
+    The ``languages`` labels with most distinct texts count as languages (ties: by name). Slices are cut to twice a
+    dictionary's size before they reach the driver, so that at most 2 * ``all_bytes`` and a slice a language do.
+    """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
     key = F.xxhash64("text")
     rows = rows.select("lang", "text", key.alias("key"))
@@ -52,16 +57,20 @@ def fit(
     # thresholds leave about 3 * sample texts of each, however often one is copied.
     texts = rows.groupBy("lang", "key").agg(F.count("*").alias("n"))
     counts = stored(texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")), "language-counts")
+    counts = counts.orderBy(F.desc("texts"), "lang").limit(languages)
+    number = max(1, counts.count())
+    most = min(dictionary_bytes, all_bytes // number)
     chance = (F.col("key").cast("double") / 2.0**64 + 0.5) * F.col("texts") <= 3 * sample
     room = F.greatest(F.length("text") - slice_chars, F.lit(0)) + 1
     cut = F.substring("text", (F.pmod(F.hash("key"), room) + 1).cast("int"), F.lit(slice_chars))
     few = rows.join(counts, "lang").where(chance).select("lang", "key", cut.alias("slice")).dropDuplicates(["lang", "key"])
     first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    few = few.withColumn("i", first).where(F.col("i") <= sample).orderBy("lang", "i")
+    so_far = F.sum(F.octet_length("slice")).over(Window.partitionBy("lang").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
+    few = few.withColumn("i", first).where(F.col("i") <= sample).withColumn("before", F.coalesce(so_far, F.lit(0)))
+    few = few.where(F.col("before") <= 2 * most).orderBy("lang", "i")
     slices: dict[str, list[bytes]] = {}
     for lang, text in few.select("lang", "slice").toLocalIterator():
         slices.setdefault(lang, []).append(normalised(text).encode())
-    most = min(dictionary_bytes, all_bytes // max(1, len(slices)))
     seen = {lang: n for lang, n in counts.select("lang", "n").collect()}  # a row a language
     return {lang: b" ".join(slices[lang])[:most] for lang in sorted(slices, key=lambda x: (-seen[x], x))}
 

@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import stored
+from meterloom.llm.common import every, stored
 
 #: What every row costs besides its text.
 ROW_BYTES = 8
@@ -42,30 +42,40 @@ def measured(docs: DataFrame) -> DataFrame:
         F.col("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES).alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("group"),
+        group_of(F.col("text")).alias("group"),
     )
 
 
-def assign_shards(docs: DataFrame, shards: int = 24, *, bundles: int = 256, heavy: int = 64, pieces: int = 1024) -> DataFrame:
-    """One row a document: doc_id, size, text_crc32, group, shard, slot (gapless from 0 in its shard).
+def group_of(text: Column) -> Column:
+    return F.coalesce(F.md5(text.cast("binary")), F.lit("null"))
 
-    ``pieces``: slots are numbered in so many pieces a shard, side by side.
-    """
-    spark = docs.sparkSession
-    rows = stored(measured(docs), "shard-rows")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"))
+
+def _placed(rows: DataFrame, sized: DataFrame, shards: int, bundles: int, heavy: int) -> DataFrame:
+    """``rows`` (with a column group) with their shard, by a plan of the groups and sizes of ``sized``."""
+    spark = rows.sparkSession
+    total = sized.agg(F.sum("size")).first()[0] or 0
+    groups = sized.groupBy("group").agg(F.sum("size").alias("bytes"))
     alone = groups.where(F.col("bytes") * (shards * heavy) >= F.lit(total)).orderBy(F.desc("bytes"), "group").limit(shards * heavy)
     heavies = [r[0] for r in alone.select("group").collect()]  # at most shards * heavy
     numbers = spark.createDataFrame([(g, -1 - i) for i, g in enumerate(heavies)], "`group` string, heavy_item long")
     item = F.coalesce("heavy_item", F.pmod(F.xxhash64("group"), F.lit(shards * bundles)))
     # At most shards * heavy rows of 40 bytes.
-    rows = rows.join(F.broadcast(numbers), "group", "left").withColumn("item", item)
-    loads = rows.groupBy("item").agg(F.sum("size")).collect()  # at most shards * (bundles + heavy)
+    named = lambda df: df.join(F.broadcast(numbers), "group", "left").withColumn("item", item).drop("heavy_item")
+    loads = named(sized).groupBy("item").agg(F.sum("size")).collect()  # at most shards * (bundles + heavy)
     placed = lpt([(i, s) for i, s in loads], shards)
     plan = spark.createDataFrame(list(placed.items()), "item long, shard int")
-    rows = rows.join(F.broadcast(plan), "item").drop("heavy_item", "item")
-    return with_slots(rows, pieces)
+    return named(rows).join(F.broadcast(plan), "item").drop("item")
+
+
+def assign_shards(docs: DataFrame, shards: int = 24, *, bundles: int = 256, heavy: int = 64, pieces: int = 1024) -> DataFrame:
+    """One row a document: doc_id, size, text_crc32, group, shard, slot (gapless from 0 in its shard).
+
+    ``pieces``: slots are numbered in so many pieces a shard, side by side.
+    """
+    rows = stored(measured(docs), "shard-rows")
+    # Where a row is stored tells repeated rows apart, and stays the same however often it is read.
+    rows = rows.withColumn("place", F.xxhash64("_metadata.file_name", "_metadata.row_index"))
+    return with_slots(_placed(rows, rows, shards, bundles, heavy), pieces)
 
 
 def with_slots(rows: DataFrame, pieces: int) -> DataFrame:
@@ -73,26 +83,28 @@ def with_slots(rows: DataFrame, pieces: int) -> DataFrame:
 
     Rows are numbered within (shard, piece); the rows of the pieces before come on top.
     """
-    rows = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(pieces)).cast("int"))
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("doc_id", "text_crc32", "place"), F.lit(pieces)).cast("int"))
     counts = rows.groupBy("shard", "piece").agg(F.count("*").alias("n"))  # at most shards * pieces
     before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("shard", "piece").orderBy("doc_id", "text_crc32", "size", "place")
     numbered = rows.withColumn("at", F.row_number().over(within) - 1)
     return (
         numbered.join(F.broadcast(starts), ["shard", "piece"])
         .withColumn("slot", (F.col("first") + F.col("at")).cast("long"))
-        .drop("piece", "first", "at")
+        .drop("piece", "first", "at", "place")
     )
 
 
 def write_shards(docs: DataFrame, plan: DataFrame, path: str) -> None:
-    """Documents as Parquet, a folder a shard; the join spreads a hot shard over its files.
+    """Documents as Parquet, a folder a shard, every row once.
 
-    Columns of the documents that are named shard or slot give way to the plan's.
+    A row's shard follows from its text alone, so texts and not ids meet the plan: null and repeated ids are written as
+    they come. A column of the documents that is named shard gives way to the folder's. Spark splits the join of a hot text.
     """
-    plan = plan.select("doc_id", "shard", "slot")
-    docs.drop("shard", "slot").join(plan, "doc_id").write.partitionBy("shard").parquet(path)
+    shard_of = plan.groupBy("group").agg(F.first("shard").alias("shard"))
+    whole = docs.select(F.struct(*every([c for c in docs.columns if c != "shard"])).alias("doc"), group_of(F.col("text")).alias("group"))
+    whole.join(shard_of, "group").select("doc.*", "shard").write.partitionBy("shard").parquet(path)
 
 
 def op7(docs: DataFrame) -> DataFrame:

@@ -65,3 +65,14 @@ def test_copies_of_one_text_hide_no_language(spark):
     alone = langid.fit(few, sample=30, dictionary_bytes=1 << 20)
     assert set(dictionaries) == set(STEMS) and dictionaries["de"] == alone["de"]
     assert next(iter(dictionaries)) == "de"
+
+
+def test_what_reaches_the_driver_is_bounded(spark):
+    """Hundreds of dirty labels: the commonest count as languages, and together they stay below the bound."""
+    texts = [(i, prose(i, 200), "en" if i % 2 else "de") for i in range(80)]
+    texts += [(1000 + i, prose(1000 + i, 60), f"junk{i}") for i in range(150)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, lang string").select("text", "lang")
+    found = langid.fit(rows, all_bytes=4_000, languages=5)
+    assert len(found) == 5 and {"de", "en"} <= set(found)
+    assert sum(map(len, found.values())) <= 4_000
+    assert set(langid.fit(rows, languages=2)) == {"de", "en"}

@@ -70,3 +70,22 @@ def test_written_shards_hold_their_documents(spark, tmp_path):
     sharding.write_shards(docs, plan, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.doc_id, r.shard) for r in back.collect()) == sorted((r.doc_id, r.shard) for r in plan.collect())
+
+
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    """Null and repeated ids, repeated rows, null texts, clashing names."""
+    texts = awkward() + [(7, prose(3, 9))] * 5 + [(None, prose(i % 3, 9)) for i in range(6)]
+    docs = documents(spark, texts)
+    sharding.write_shards(docs, sharding.assign_shards(docs, 3), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(back.columns) == sorted(docs.columns)
+    assert Counter((r.doc_id, r.text, r.words) for r in back.collect()) == Counter((i, t, "x") for i, t in texts)
+
+
+def test_one_row_many_times_is_dealt_over_the_pieces(spark):
+    docs = documents(spark, [(1, "same text")] * 600)
+    rows = sharding.assign_shards(docs, 2, pieces=8).collect()
+    assert len({r.shard for r in rows}) == 1 and sorted(r.slot for r in rows) == list(range(600))
+    stored = sharding.stored(sharding.measured(docs.repartition(3)), "rows")
+    placed = stored.selectExpr("pmod(xxhash64(doc_id, text_crc32, xxhash64(_metadata.file_name, _metadata.row_index)), 8) AS piece")
+    assert placed.distinct().count() == 8

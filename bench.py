@@ -71,10 +71,12 @@ def one_pass(spark: SparkSession, text: str, small_matrix: DataFrame, root: str)
 
     start = time.time()
     forecaster = model.fit(small_matrix, ROLES, SPLITS, queries_models.PARAMS)
+    # Stored with the training bounds, so that scoring clips as training did without a look at the history.
+    model.save(forecaster, f"{root}/model", feat.clip_bounds(hourly, COLS, SPLITS.val_start))
     times["fit_models"] = round(time.time() - start, 3)
 
     def score_latest() -> DataFrame:
-        bounds = feat.clip_bounds(hourly, COLS, SPLITS.val_start)
+        bounds = model.load_bounds(spark, f"{root}/model")
         # The hourly table has no holes: the newest features need what they reach, no more.
         recent = scoring.tail_of(hourly, feat.HISTORY_REACH + 1)
         frame = feat.feature_frame(recent, ROLES, bounds, with_targets=False)

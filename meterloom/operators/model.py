@@ -384,6 +384,10 @@ def save(model: Forecaster, path: str, bounds: DataFrame | None = None) -> None:
 
 
 def load(spark: SparkSession, path: str) -> Forecaster:
+    """The model stored at ``path``; FileNotFoundError where there is none, or only part of one."""
+    missing = [part for part in ("point", "interval", "state") if not _stored(spark, f"{path}/{part}")]
+    if missing:
+        raise FileNotFoundError(f"no model at {path}: {', '.join(missing)} missing")
     state = spark.read.schema(_STATE).parquet(f"{path}/state").first()
     kinds = Params.__annotations__
     whole = {k for k, kind in kinds.items() if kind == "int"}
@@ -398,5 +402,10 @@ def load(spark: SparkSession, path: str) -> Forecaster:
     )
 
 
+def _stored(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def load_bounds(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/clip_bounds")

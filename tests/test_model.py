@@ -159,3 +159,11 @@ def test_every_request_has_a_result(spark, trained):
     assert len(found["good"].predictions) == 24
     assert all(r.error for k, r in found.items() if k not in ("good", "again"))
     assert found["short"].error == "history has 100 of 168 hours"
+
+
+def test_scoring_without_a_stored_model_has_a_defined_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="point, interval, state missing"):
+        model.load(spark, str(tmp_path / "none"))
+    (tmp_path / "half" / "point").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError, match="interval, state missing"):
+        model.load(spark, str(tmp_path / "half"))

@@ -6,6 +6,7 @@ from meterloom.plans import (  # noqa: F401
     queries_ingest,
     queries_metrics,
     queries_models,
+    queries_sketches,
     queries_upkeep,
 )
 from meterloom.plans.registry import ORACLES, QUERIES

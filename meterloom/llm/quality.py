@@ -183,7 +183,7 @@ def starts(vectors: DataFrame, accuracy: int) -> DataFrame:
         "group", "lang_key", *[F.col(f"t_{i}")[1].alias(f"mid_{i}") for i in xs],
         *[F.greatest((F.col(f"t_{i}")[2] - F.col(f"t_{i}")[0]) / 1.349, F.lit(floors[i])).alias(f"dev_{i}") for i in xs],
     )
-    middle = stored(middle.hint("rebalance"), "mcd-middle")
+    middle = stored(middle, "mcd-middle")
     names = ["group", "lang_key", *[f"m_{i}" for i in xs], *[f"c_{i}_{j}" for i, j in _PAIRS]]
     plain = vectors.groupBy("group", "lang_key").agg(*_moments(["x"])).select(*names, F.lit(0).alias("start"))
     apart = middle.select(
@@ -208,10 +208,10 @@ def starts(vectors: DataFrame, accuracy: int) -> DataFrame:
 CHI_SQUARE = 7.84080
 
 
-def estimate(vectors: DataFrame, *, steps: int = 6, core: float = 0.75, prior: float = 50.0, accuracy: int = 1000) -> DataFrame:
+def estimate(vectors: DataFrame, *, steps: int = 5, core: float = 0.75, prior: float = 50.0, accuracy: int = 1000) -> DataFrame:
     """Centre and Cholesky factor of each group, from rows of group, lang_key and x_0, x_1, ...; with its start and log_det."""
     kept = ["group", "start", *[f"m_{i}" for i in range(_SIZE)], *[f"l_{i}_{j}" for i, j in _PAIRS]]
-    spread = lambda rows, name: stored(rows.hint("rebalance"), name)  # a row a group and start
+    spread = stored  # a row a group and start: as many files as Spark sees fit
     found = spread(_cholesky(starts(vectors, accuracy)).select(*kept), "mcd-start")
     before = None
     for step in range(steps + 1):

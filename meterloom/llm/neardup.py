@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import every, stored, text_key, tidy
+from meterloom.llm.common import every, sent, stored, text_key, tidy
 from meterloom.llm.graph import components
 from meterloom.llm.shingles import constants, mixed, shingle_sets
 
@@ -147,7 +147,7 @@ def hub_pairs(classes: DataFrame) -> DataFrame:
 _COMPARED = "a binary, b binary, n_a long, n_b long, estimate double, linked boolean, apart long"
 _GROUP = 2048  # members that meet one copy of their hub
 _BATCH_BYTES = 8 << 20
-_FEW_IDS = 500_000  # about 16 MB where they are broadcast
+_FEW = 500_000  # ids, about 16 MB where they are broadcast
 
 
 def _beside_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -350,7 +350,7 @@ def linked_components(docs: DataFrame, percent: int = 85, width: int = 5) -> Dat
     met = pairs.select("hub").union(pairs.select("node")).distinct().select(F.col("hub").alias("node"))
     ids = stored(met.join(classes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "met-ids")
     # Texts stay where they are while the ids are few enough to go to every task.
-    few = ids.count() <= _FEW_IDS
+    few = ids.count() <= _FEW
     texts = docs.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), "doc_id", "left_semi")
     sets = stored(full_sets(texts, width).dropDuplicates(["node"]), "shingle-sets", batch_bytes=_BATCH_BYTES)
     stars = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
@@ -421,7 +421,8 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     def of(rows: DataFrame, few: DataFrame, how: str) -> DataFrame:
         few = few.select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_text"))
-        return rows.join(few, (rows["doc_id"] == few["its_id"]) & (key == few["its_text"]), how)
+        # Texts stay where they are while the copies are few enough to go to every task.
+        return rows.join(sent(few), (rows["doc_id"] == few["its_id"]) & (key == few["its_text"]), how)
 
     kept = of(docs, found.where("NOT chosen"), "left_anti")
     again = found.where("chosen")

@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterloom.llm.common import tidy
 from meterloom.llm.tokens import encoder
 
 
@@ -151,7 +152,7 @@ def pack(
 
     kind = dict(docs.dtypes)["doc_id"]
     ddl = f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, tokens binary"
-    return docs.select("doc_id", "text").mapInArrow(pieces, ddl)
+    return docs.select("doc_id", "text").mapInArrow(tidy(pieces), ddl)
 
 
 def op1(docs: DataFrame, tokenizer: str) -> DataFrame:

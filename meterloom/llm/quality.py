@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import SPACE, every, let, stored
+from meterloom.llm.common import SPACE, every, let, sent, stored
 
 WINDOW = 5
 #: Names of the vector's parts, each with its variance floor.
@@ -190,7 +190,7 @@ def starts(vectors: DataFrame, accuracy: int) -> DataFrame:
         "group", "lang_key", *[F.col(f"mid_{i}").alias(f"m_{i}") for i in xs],
         *[(F.col(f"dev_{i}") ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS], F.lit(1).alias("start"),
     )
-    bent = vectors.join(middle.drop("lang_key"), "group").select(
+    bent = vectors.join(sent(middle.drop("lang_key"), FEW), "group").select(
         "group", "lang_key", *[F.tanh((F.col(f"x_{i}") - F.col(f"mid_{i}")) / F.col(f"dev_{i}")).alias(f"z_{i}") for i in xs]
     )
     bent = bent.groupBy("group", "lang_key").agg(*_moments(["z"])).join(middle.drop("lang_key"), "group")
@@ -204,6 +204,8 @@ def starts(vectors: DataFrame, accuracy: int) -> DataFrame:
     return plain.unionByName(apart).unionByName(bent)
 
 
+#: Estimates of up to so many groups and starts, about 16 MB, go to every task, so that no text is dealt by group.
+FEW = 50_000
 #: The chi-square quantile at 0.75 of as many degrees of freedom as the vector has parts.
 CHI_SQUARE = 7.84080
 
@@ -211,17 +213,17 @@ CHI_SQUARE = 7.84080
 def estimate(vectors: DataFrame, *, steps: int = 5, core: float = 0.75, prior: float = 50.0, accuracy: int = 1000) -> DataFrame:
     """Centre and Cholesky factor of each group, from rows of group, lang_key and x_0, x_1, ...; with its start and log_det."""
     kept = ["group", "start", *[f"m_{i}" for i in range(_SIZE)], *[f"l_{i}_{j}" for i, j in _PAIRS]]
-    spread = stored  # a row a group and start: as many files as Spark sees fit
+    spread = stored  # a row a group and start
     found = spread(_cholesky(starts(vectors, accuracy)).select(*kept), "mcd-start")
     before = None
     for step in range(steps + 1):
-        rows = _distance(vectors.join(found, "group")).select("group", "start", "lang_key", "d2", *[f"x_{i}" for i in range(_SIZE)])
+        rows = _distance(vectors.join(sent(found, FEW), "group")).select("group", "start", "lang_key", "d2", *[f"x_{i}" for i in range(_SIZE)])
         limits = spread(rows.groupBy("group", "start").agg(F.percentile_approx("d2", core, accuracy).alias("limit")), "mcd-limits")
         if before is not None:
             moved = limits.join(before.withColumnRenamed("limit", "old"), ["group", "start"])
             if step == steps or moved.where(F.abs(F.col("limit") - F.col("old")) > 0.01 * F.col("old") + 1e-9).isEmpty():
                 break
-        near = rows.join(limits, ["group", "start"]).where("d2 <= limit")
+        near = rows.join(sent(limits, FEW), ["group", "start"]).where("d2 <= limit")
         moments = spread(near.groupBy("group", "start", "lang_key").agg(*_moments(["x"])), "mcd-moments")
         found, before = spread(_cholesky(_pooled(moments, prior)).select(*kept), "mcd"), limits
     log_det = 2 * sum((F.log(F.col(f"l_{i}_{i}")) for i in range(_SIZE)), F.lit(0.0))
@@ -261,7 +263,7 @@ def judged(docs: DataFrame, *, keep: list[str], cut: float = 60.0, short: float
     good = rows.where(~base_failed(F.col("stats"))).select("group", "lang_key", *parts)
     found = estimate(good, **options)
     # A group without a good text has no estimate; all its rows fail the base rule.
-    both = rows.select("doc", "stats", "group", *parts).join(found, "group", "left")
+    both = rows.select("doc", "stats", "group", *parts).join(sent(found, FEW), "group", "left")
     return _verdict(_distance(both), F.col("stats"), cut, short).select("doc", "stats", "d2", "rejected")
 
 

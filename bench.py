@@ -71,8 +71,8 @@ def one_pass(spark: SparkSession, text: str, small_matrix: DataFrame, root: str)
 
     start = time.time()
     forecaster = model.fit(small_matrix, ROLES, SPLITS, queries_models.PARAMS)
-    # Stored with the training bounds, so that scoring clips as training did without a look at the history.
-    model.save(forecaster, f"{root}/model", feat.clip_bounds(hourly, COLS, SPLITS.val_start))
+    # The training bounds are stored beside a model: scoring clips as training did without a look at the history.
+    feat.clip_bounds(hourly, COLS, SPLITS.val_start).write.parquet(f"{root}/model/clip_bounds")
     times["fit_models"] = round(time.time() - start, 3)
 
     def score_latest() -> DataFrame:

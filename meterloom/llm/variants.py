@@ -34,22 +34,22 @@ from pyspark.sql import functions as F
 
 from meterloom.llm.common import stored, tidy
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
+_RUN = re.compile("[A-Za-z\u00c0-\u00ff]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _HELD = 400_000  # distinct words that a task holds before it gives counts out
 _CELLS = 1 << 22  # of the comparison matrices at a time
 
 
 def words_of(doc_id: object, text: str, divisor: int) -> Counter[str]:
-    """Lower-cased runs of letters; one occurrence set in ``divisor``, by a checksum, loses a code point."""
+    """Lower-cased runs of letters; one run in ``divisor``, by a checksum, loses a code point once."""
     runs = Counter(_RUN.findall(text.translate(_LOWER)))
     head = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-    for run in list(runs):
+    words: Counter[str] = Counter()  # apart from the runs: what a deletion leaves is not deleted from again
+    for run, n in runs.items():
         h = zlib.crc32(run.encode(), head)
-        if h % divisor == 0:
-            at = h % len(run)
-            runs[run[:at] + run[at + 1 :]] += runs.pop(run)
-    return runs
+        at = h % len(run) if h % divisor == 0 else len(run)
+        words[run[:at] + run[at + 1 :]] += n
+    return words
 
 
 def word_counts(docs: DataFrame, *, divisor: int = 199, least_length: int = 6, least_count: int = 5) -> DataFrame:

@@ -105,3 +105,13 @@ def test_very_long_words_and_empty_table(spark):
     assert variants.op13(documents(spark, texts).limit(0)).count() == 0
     other = documents(spark, texts).withColumn("n", F.lit("x")).withColumn("form", F.lit(1)).withColumn("root", F.lit(2))
     assert rows(variants.op13(other)) == rows(variants.op13(documents(spark, texts)))
+
+
+def test_what_a_deletion_leaves_is_not_deleted_from_again(spark):
+    """Runs of one letter: many lose a code point, and some of what they leave is a run that loses one too."""
+    text = " ".join("a" * n for n in range(900, 5, -1))
+    chained = [i for i in range(400) if any(all(zlib.crc32(f"{i}:{'a' * m}".encode()) % 199 == 0 for m in (n, n - 1)) for n in range(8, 900))]
+    assert chained
+    texts = [(i, text) for i in chained[:5] for _ in range(5)]
+    got = {r.word: r.n for r in variants.word_counts(documents(spark, texts)).collect()}
+    assert got == counts(texts)

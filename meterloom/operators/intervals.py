@@ -3,7 +3,7 @@
 Bins come in levels, each ``factor`` times as wide as the one below. An interval lives on the lowest level where it
 covers ``factor + 1`` bins at most, so a very long one has few bins too, and is known as a guest in its bins of every
 level above. Two intervals meet on the higher of their two levels: owner with owner, or owner with guest, never guest
-with guest. Of the bins that a pair shares there it is reported in the first. So the rows that are joined grow with
+with guest: the join key says which side owns, so that guests, who share few wide bins, never face each other. Of the bins that a pair shares there it is reported in the first. So the rows that are joined grow with
 the intervals, and the pairs that are compared with those that overlap or nearly do; there is no join by range.
 
 Points are intervals of one microsecond: ``with_points``. Null or empty intervals (end at or before start) and null keys
@@ -48,13 +48,19 @@ def _binned(rows: DataFrame, by: Sequence[str], start: str, end: str, side: str,
     width = F.element_at(F.array(*[F.lit(w).cast("long") for w in widths]), F.col("_level") + 1)
     first, last = F.floor(F.col(f"_lo_{side}") / width), F.floor(F.col(f"_hi_{side}") / width)
     placed = placed.withColumn("_bin", F.explode(F.sequence(first, last)))
-    first = first.alias(f"_first_{side}")
+    # Whether the left one owns the level: its owners meet all on the right, its guests the owners on the right.
+    owns = F.col("_own") == F.col("_level")
+    left_owns = F.array(owns) if side == "a" else F.when(owns, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
     return placed.select(
-        *[f"_k{i}" for i in range(len(by))], "_level", "_bin", (F.col("_own") == F.col("_level")).alias(f"_owns_{side}"),
-        first, f"_lo_{side}", f"_hi_{side}", f"_{side}",
+        *[f"_k{i}" for i in range(len(by))], "_level", "_bin", F.explode(left_owns).alias("_left_owns"),
+        first.alias(f"_first_{side}"), f"_lo_{side}", f"_hi_{side}", f"_{side}",
     )
 
 
+def _keys(by: Sequence[str]) -> list[str]:
+    return [*[f"_k{i}" for i in range(len(by))], "_level", "_bin", "_left_owns"]
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -69,13 +75,12 @@ def interval_join(
     """All columns of both sides for each pair that overlaps; right columns that clash take ``suffix``."""
     a = _binned(left, by, *left_span, "a", bin_seconds, factor)
     b = _binned(right, by, *right_span, "b", bin_seconds, factor)
-    keys = [f"_k{i}" for i in range(len(by))] + ["_level", "_bin"]
     meets = F.lit(True)
-    for k in keys:
+    for k in _keys(by):
         meets &= a[k] == b[k]
     overlap = (F.col("_lo_a") <= F.col("_hi_b")) & (F.col("_lo_b") <= F.col("_hi_a"))
     once = a["_bin"] == F.greatest("_first_a", "_first_b")
-    pairs = a.join(b, meets & (F.col("_owns_a") | F.col("_owns_b")) & overlap & once)
+    pairs = a.join(b, meets & overlap & once)
     names = [c + suffix if c in left.columns else c for c in right.columns]
     if len({*left.columns, *names}) != len(left.columns) + len(names):
         raise ValueError(f"columns clash even with the suffix {suffix!r}")

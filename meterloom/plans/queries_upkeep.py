@@ -108,7 +108,9 @@ def overlapping_outages(spark, sf_dir):
         stop = F.max("ts") + F.expr("INTERVAL '1' MINUTE")
         return missing.agg(F.min("ts").alias("start"), stop.alias("stop")).select("meter_id", "start", "stop")
 
-    pairs = interval_join(outages("load"), outages("intensity"), ["meter_id"], ("start", "stop"), ("start", "stop"))
+    # No outage is shorter than a minute, so bins of a minute keep apart what doesn't overlap on crowded days.
+    spans = ("start", "stop"), ("start", "stop")
+    pairs = interval_join(outages("load"), outages("intensity"), ["meter_id"], *spans, bin_seconds=60)
     return pairs.drop("meter_id_right")
 
 

@@ -129,6 +129,21 @@ def test_one_long_interval_costs_few_rows(spark):
     assert interval_join(long, short, ["k"], ("s", "e"), ("s", "e")).count() == 10_000
 
 
+def test_crowds_of_short_intervals_do_not_meet_in_wide_bins(spark):
+    """Twenty thousand short intervals of one key on either side: rows that share a join key grow with them."""
+    from meterloom.operators import intervals
+
+    n = 20_000
+    short = spark.range(n).select(
+        F.lit("x").alias("k"), (F.lit(at(0)) + F.make_dt_interval(secs=F.col("id") * 60)).alias("s")
+    ).withColumn("e", F.col("s") + F.expr("INTERVAL 50 SECONDS"))
+    a, b = (intervals._binned(short, ["k"], "s", "e", side, 60, 8) for side in "ab")
+    keys = [c for c in a.columns if c in b.columns]
+    counts = [x.groupBy(*keys).agg(F.count("*").alias(c)) for x, c in ((a, "n"), (b, "m"))]
+    assert counts[0].join(counts[1], keys).agg(F.sum(F.col("n") * F.col("m"))).first()[0] <= 10 * n
+    assert interval_join(short, short, ["k"], ("s", "e"), ("s", "e"), bin_seconds=60).count() == n
+
+
 # -- incremental upkeep -------------------------------------------------------
 def rebuilt(readings):
     filled = gaps.interpolate_short_gaps(readings, ROLES.all_cols, 2)

@@ -39,7 +39,6 @@ def baselines_long(
     Forecasts are read off the origin's own row by window offsets in one pass and then
     unfolded; nothing is joined. ``spread`` adds the standard deviation of the same 168 hours.
     """
-    steps = range(1, HORIZON + 1)
     series = hourly.select("meter_id", "hour", target)
     if origins_from is not None:
         start = F.lit(origins_from).cast("timestamp_ntz")
@@ -49,13 +48,15 @@ def baselines_long(
     if spread:
         statistics.append(Rolling("spread", "std", target, LONG_WINDOW))
     extra = [s.name for s in statistics]
-    full = with_rolling(bucketed, statistics, through_now=True).withColumns(
-        {
-            "_actual": F.array(*[_shifted(target, h) for h in steps]),
-            "_daily": F.array(*[_shifted(target, h - 24) for h in steps]),
-            "_weekly": F.array(*[_shifted(target, h - 168) for h in steps]),
-        }
+    # A day from each row on, as quarters that are built once; the three series are that day at other rows. Complete
+    # origins have all the rows before them, and the hours ahead, so what lacks one is null and filtered below.
+    quarter = HORIZON // 4
+    days = (
+        with_rolling(bucketed, statistics, through_now=True)
+        .withColumn("_quarter", F.array(*[_shifted(target, k) for k in range(quarter)]))
+        .withColumn("_day", F.concat(*[_shifted("_quarter", k * quarter) for k in range(4)]))
     )
+    full = days.withColumns({"_actual": _shifted("_day", 1), "_daily": _shifted("_day", -23), "_weekly": _shifted("_day", -167)})
     rows = core_rows(full)
     if origins_from is not None:
         rows = rows.filter(F.col("hour") >= start)

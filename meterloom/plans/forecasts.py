@@ -9,10 +9,15 @@ from meterloom.operators import baselines
 from meterloom.plans import standin
 
 
-def forecasts(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
-    """Test origins x 24: point = mean of both naive forecasts, band from the last week's spread."""
+def forecasts(
+    spark: SparkSession, sf_dir: str, meter: str = "event_type", hourly: DataFrame | None = None
+) -> DataFrame:
+    """Test origins x 24: point = mean of both naive forecasts, band from the last week's spread.
+
+    Pass ``hourly`` where the query reads that table too.
+    """
     rows = baselines.baselines_long(
-        standin.hourly(spark, sf_dir, meter),
+        standin.hourly(spark, sf_dir, meter, standin.LOAD) if hourly is None else hourly,
         standin.ROLES.target,
         standin.SPLITS.test_start,
         spread=True,

@@ -36,7 +36,7 @@ SELECT meter_id, hour, {sql_round(["load", name])} FROM v"""
 
     @query(name, sql)
     def run(spark, sf_dir):
-        return rounded(baselines.naive_at(standin.hourly(spark, sf_dir, USERS), "load", hours, name))
+        return rounded(baselines.naive_at(standin.hourly(spark, sf_dir, USERS, standin.LOAD), "load", hours, name))
 
     return run
 
@@ -54,7 +54,7 @@ FROM hourly WINDOW w AS (PARTITION BY meter_id ORDER BY hour))
 SELECT meter_id, hour, {sql_round(["load", "rolling_avg_7d"])} FROM v""",
 )
 def rolling_avg_7d(spark, sf_dir):
-    return rounded(baselines.rolling_average(standin.hourly(spark, sf_dir), "load"))
+    return rounded(baselines.rolling_average(standin.hourly(spark, sf_dir, roles=standin.LOAD), "load"))
 
 
 @query(
@@ -64,7 +64,7 @@ def rolling_avg_7d(spark, sf_dir):
 )
 def baselines_long(spark, sf_dir):
     return rounded(
-        baselines.baselines_long(standin.hourly(spark, sf_dir), "load", SPLITS.test_start)
+        baselines.baselines_long(standin.hourly(spark, sf_dir, roles=standin.LOAD), "load", SPLITS.test_start)
     )
 
 
@@ -160,8 +160,9 @@ round(avg({_PCT.format(f="point")}), 2) AS MAPE"""
 
 
 def _sliced(spark, sf_dir):
-    medians = metrics.train_median(standin.hourly(spark, sf_dir, USERS), "load", SPLITS.val_start)
-    return metrics.with_slices(forecasts(spark, sf_dir, USERS), medians)
+    hourly = standin.hourly_load(spark, sf_dir, USERS)
+    medians = metrics.train_median(hourly, "load", SPLITS.val_start)
+    return metrics.with_slices(forecasts(spark, sf_dir, USERS, hourly), medians)
 
 
 def _slice(name: str, dimension: str) -> None:
@@ -197,7 +198,7 @@ def robustness_report(spark, sf_dir):
 FROM hourly WHERE hour < TIMESTAMP '{SPLITS.val_start}' GROUP BY meter_id""",
 )
 def train_median(spark, sf_dir):
-    hourly = standin.hourly(spark, sf_dir, USERS)
+    hourly = standin.hourly(spark, sf_dir, USERS, standin.LOAD)
     return rounded(metrics.train_median(hourly, "load", SPLITS.val_start))
 
 
@@ -309,9 +310,8 @@ SELECT *, max(value) OVER (PARTITION BY meter_id) AS ceiling FROM b)
 SELECT meter_id, series, time, {sql_round(["value", "ceiling"])} FROM c""",
 )
 def history_context(spark, sf_dir):
-    table = reports.history_context(
-        standin.hourly(spark, sf_dir), forecasts(spark, sf_dir), "load", _at(ORIGIN)
-    )
+    hourly = standin.hourly_load(spark, sf_dir)
+    table = reports.history_context(hourly, forecasts(spark, sf_dir, hourly=hourly), "load", _at(ORIGIN))
     return rounded(table)
 
 
@@ -335,9 +335,8 @@ WINDOW w AS (PARTITION BY meter_id ORDER BY hour)), i{h} AS ({rows})"""
 _SQL_IMPORTANCE = f"{standin.sql_hourly(USERS)}, {_sql_importance(1)}, {_sql_importance(24)}"
 
 
-def _importance(spark, sf_dir, h):
+def _importance(hourly, h):
     columns = {f"load_lag_{k}": feat.lag_of("load", k) for k in _LAGS[h]} | {"y": feat.lead_of("load", h)}
-    hourly = standin.hourly(spark, sf_dir, USERS).select("meter_id", "hour", "load")
     rows = feat.windowed(hourly, columns, max(_LAGS[h]), h)
     wide = rows.agg(*[F.abs(F.corr("y", f"load_lag_{k}")).alias(f"load_lag_{k}") for k in _LAGS[h]])
     return wide.unpivot([], list(wide.columns), "feature", "importance")
@@ -353,7 +352,8 @@ round((coalesce(importance_left, 0) + coalesce(importance_right, 0)) / (
   AS mean_importance FROM j""",
 )
 def join_outer_importance(spark, sf_dir):
-    left, right = _importance(spark, sf_dir, 1), _importance(spark, sf_dir, 24)
+    hourly = standin.hourly_load(spark, sf_dir, USERS)
+    left, right = _importance(hourly, 1), _importance(hourly, 24)
     return rounded(reports.join_outer_importance(left, right))
 
 
@@ -364,7 +364,8 @@ SELECT feature, round(avg(importance), 6) AS mean_importance FROM u GROUP BY fea
 ORDER BY avg(importance) DESC, feature LIMIT 20""",
 )
 def top_k(spark, sf_dir):
-    tables = [_importance(spark, sf_dir, h) for h in _LAGS]
+    hourly = standin.hourly_load(spark, sf_dir, USERS)
+    tables = [_importance(hourly, h) for h in _LAGS]
     return rounded(reports.top_k(reports.mean_importance(tables), "mean_importance", "feature"))
 
 
@@ -376,7 +377,7 @@ SELECT hour FROM t WHERE hour <= (SELECT max(hour) FROM t) - INTERVAL 48 HOUR
 ORDER BY md5('42' || strftime(hour, '%Y%m%d%H')), hour LIMIT 1""",
 )
 def sample_origin(spark, sf_dir):
-    return reports.sample_origin(standin.hourly(spark, sf_dir), SPLITS.test_start, "42")
+    return reports.sample_origin(standin.hourly(spark, sf_dir, roles=standin.LOAD), SPLITS.test_start, "42")
 
 
 @query(
@@ -386,4 +387,4 @@ max(hour) - INTERVAL 24 HOUR AS last_origin FROM hourly
 WHERE hour >= TIMESTAMP '{SPLITS.test_start}' GROUP BY meter_id""",
 )
 def origin_range(spark, sf_dir):
-    return reports.origin_range(standin.hourly(spark, sf_dir, USERS), SPLITS.test_start)
+    return reports.origin_range(standin.hourly(spark, sf_dir, USERS, standin.LOAD), SPLITS.test_start)

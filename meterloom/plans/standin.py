@@ -21,6 +21,8 @@ ROLES = Roles(
     sum_cols=("load", "sub_1", "sub_2", "sub_3"),
     mean_cols=("reactive", "voltage", "intensity"),
 )
+#: The load alone. Readings that tie in time and row_id are ordered by it first, so its gaps are the same.
+LOAD = Roles(target="load", exog=(), sum_cols=("load",), mean_cols=())
 SPLITS = Splits("2024-01-21 00:00:00", "2024-01-26 00:00:00")
 MAX_GAP = 2
 COLS = ROLES.all_cols
@@ -52,20 +54,32 @@ def readings(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> Dat
     )
 
 
-def filled(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
-    return gaps.interpolate_short_gaps(readings(spark, sf_dir, meter), COLS, MAX_GAP)
+def filled(spark: SparkSession, sf_dir: str, meter: str = "event_type", roles: Roles = ROLES) -> DataFrame:
+    columns = roles.all_cols
+    rows = readings(spark, sf_dir, meter).select("meter_id", "ts", "row_id", *columns)
+    return gaps.interpolate_short_gaps(rows, columns, MAX_GAP)
 
 
-def raw_hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
+def raw_hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type", roles: Roles = ROLES) -> DataFrame:
     bounds = resample.meter_bounds(readings(spark, sf_dir, meter))
-    return resample.resample_hourly(filled(spark, sf_dir, meter), ROLES, bounds=bounds)
+    return resample.resample_hourly(filled(spark, sf_dir, meter, roles), roles, bounds=bounds)
 
 
-def hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
-    """Written before the profile is taken from it and joined to it: the gap fill runs once."""
+def hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type", roles: Roles = ROLES) -> DataFrame:
+    """Written before the profile is taken from it and joined to it: the gap fill runs once.
+
+    Spark prunes no column across the write, so a caller that uses the load alone says so by ``roles=LOAD``.
+    """
     path = scratch_path(spark, "raw-hourly")
-    raw_hourly(spark, sf_dir, meter).write.parquet(path)
-    return profile.profile_impute(spark.read.parquet(path), COLS, SPLITS.val_start)
+    raw_hourly(spark, sf_dir, meter, roles).write.parquet(path)
+    return profile.profile_impute(spark.read.parquet(path), roles.all_cols, SPLITS.val_start)
+
+
+def hourly_load(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
+    """The load of the hourly table, written once for queries that read it more than once."""
+    path = scratch_path(spark, "hourly-load")
+    hourly(spark, sf_dir, meter, LOAD).select("meter_id", "hour", "load").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # -- the same in SQL ---------------------------------------------------------

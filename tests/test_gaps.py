@@ -145,3 +145,33 @@ def test_profile_fills_from_training_weeks_only(spark):
     out = profile.profile_impute(df, ["x"], "2024-01-22 00:00:00").orderBy("hour").collect()
     assert out[-1].x == 1.0 and out[-1].x_is_profile_imputed == 1
     assert sum(r.x_is_profile_imputed for r in out) == 1
+
+
+def test_profile_medians_are_exact_and_skip_nulls(spark):
+    rows = [("a", pd.Timestamp("2024-01-01") + pd.Timedelta(weeks=w), x, y) for w, (x, y) in enumerate([(3.0, N), (0.1, N), (N, N), (0.2, 7.0)])]
+    df = spark.createDataFrame([(m, t.to_pydatetime(), x, y) for m, t, x, y in rows], "meter_id string, hour timestamp_ntz, x double, y double")
+    got = profile.seasonal_profile(df, ["x", "y"], "2024-02-01 00:00:00").collect()
+    want = df.agg(F.median("x").alias("x"), F.median("y").alias("y")).first()
+    assert [(r.x_profile, r.y_profile) for r in got] == [(want.x, want.y)]
+    two = profile.seasonal_profile(df.limit(2), ["x", "y"], "2024-02-01 00:00:00").first()
+    assert two.x_profile == df.limit(2).agg(F.median("x")).first()[0] and two.y_profile is None
+
+
+def test_slices_fill_gaps_of_the_load_once(spark, tmp_path):
+    """The gap fill runs once a query, and of one column, where only the load is used."""
+    from pathlib import Path
+
+    from meterloom.plans.queries import QUERIES
+    from meterloom.session import shared_dir
+
+    events = [(i, pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i), i % 2, "view", float(i % 50), f'{{"k": {i % 100}}}') for i in range(700)]
+    frame = spark.createDataFrame(
+        [(i, t.to_pydatetime(), u, e, v, p) for i, t, u, e, v, p in events],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    )
+    frame.write.parquet(str(tmp_path / "events.parquet"))
+    found = lambda: set(Path(shared_dir(spark)).glob("raw-hourly-*"))
+    before = found()
+    assert QUERIES["slice_by_load_level"](spark, str(tmp_path)).count() > 0
+    (one,) = found() - before
+    assert spark.read.parquet(str(one)).columns == ["meter_id", "hour", "load", "load_is_short_imputed"]

@@ -3,11 +3,12 @@
 The batch operator numbers a meter's readings in (ts, row_id) order and fills gaps of at most ``max_gap`` rows
 from the valid readings on either side. The stream keeps, per meter:
 
-* the readings that the watermark has not passed, which may still be joined by earlier ones;
+* the readings that the watermark has not passed, which may still be joined by earlier ones: sorted runs of pages;
 * the position, the last valid value and the open gap of each column;
 * the readings whose gaps are still open: never more than ``max_gap``, for a longer gap is closed as unfilled.
 
-A timer releases readings in order once the watermark has passed them. A reading leaves as soon as none of its
+A timer releases readings in order once the watermark has passed them. The runs are merged for that, a page of each run
+that has begun at a time, so a task's memory does not grow with a meter's readings. A reading leaves as soon as none of its
 columns waits for a valid neighbour. A second timer ends a meter that has been silent for ``idle``: its trailing
 gap is closed as batch closes it at the end of the data, its state goes, and a later reading begins a new series.
 
@@ -19,15 +20,18 @@ missing. Equal (ts, row_id) are ordered by their values, as in batch.
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from meterloom.config import MAX_GAP, short_flag
 
@@ -36,6 +40,10 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 Row = list[Any]  # micros, row_id, values, flags, columns that wait
 
+_PAGE = 1024  # readings of a run that are held at a time
+_RUN = 1 << 16  # readings that are sorted at a time
+_OUT = 4096  # rows of a frame that is handed on
+
 
 class GapState:
     """One meter's place in its series; a pure function of the readings given in order."""
@@ -67,7 +75,7 @@ class GapState:
         self.position += 1
         waits = {c for c, v in enumerate(values) if v is None}
         for c, v in enumerate(values):
-            gap = [row for row in self.held if c in row[4]]
+            gap = [row for row in self.held if c in row[4]] if self.held else []
             if v is not None:
                 if gap:
                     self._close(c, gap, self.position, v)
@@ -95,6 +103,81 @@ def _schema(columns: Sequence[str], id_type: Any) -> StructType:
     return StructType([StructField("meter_id", StringType()), StructField("ts", TimestampType()), StructField("row_id", id_type), *values, *flags])
 
 
+def _reading(columns: int) -> np.dtype:
+    """One waiting reading; what is missing is 0 beside a mark."""
+    return np.dtype([("micros", "<i8"), ("has_id", "?"), ("row_id", "<i8"), ("has", "?", (columns,)), ("values", "<f8", (columns,))])
+
+
+def _readings(frame: pd.DataFrame, columns: Sequence[str]) -> np.ndarray:
+    out = np.zeros(len(frame), _reading(len(columns)))
+    out["micros"] = frame["micros"].to_numpy("int64")
+    ids = pd.array(frame["row_id"], "Int64")
+    out["has_id"], out["row_id"] = ~ids.isna(), ids.to_numpy("int64", na_value=0)
+    for c, name in enumerate(columns):
+        value = pd.to_numeric(frame[name]).to_numpy("float64", na_value=np.nan)
+        out["has"][:, c], out["values"][:, c] = ~np.isnan(value), np.nan_to_num(value, nan=0.0, posinf=np.inf, neginf=-np.inf)
+    return out
+
+
+def _sort_keys(rows: np.ndarray) -> list[np.ndarray]:
+    """(ts, row_id, values); missing ones first, as Spark sorts them."""
+    keys = [rows["micros"], rows["has_id"], rows["row_id"]]
+    for c in range(rows["values"].shape[1]):
+        keys += [rows["has"][:, c], rows["values"][:, c]]
+    return keys
+
+
+def _in_order(rows: np.ndarray) -> np.ndarray:
+    return rows[np.lexsort(_sort_keys(rows)[::-1])]
+
+
+class Run:
+    """Sorted readings in numbered pages; holds the page that it has reached, once it is begun."""
+
+    def __init__(self, number: int, page: int, pages: int, offset: int, first: int) -> None:
+        self.number, self.page, self.pages, self.offset, self.first = number, page, pages, offset, first
+        self.rows: list[tuple] | None = None
+
+    def place(self) -> tuple[int, int, int, int, int]:
+        return self.number, self.page, self.pages, self.offset, self.first
+
+    def begin(self, load: Callable[[int, int], np.ndarray]) -> None:
+        if self.rows is None:
+            self.rows = list(zip(*(k.tolist() for k in _sort_keys(load(self.number, self.page))), strict=True))
+
+    def head(self) -> tuple:
+        return self.rows[self.offset]
+
+    def step(self, load: Callable[[int, int], np.ndarray], drop: Callable[[int, int], None]) -> bool:
+        """On to the next reading, if there is one; a page that is done goes."""
+        self.offset += 1
+        if self.offset == len(self.rows):
+            drop(self.number, self.page)
+            self.page, self.offset, self.rows = self.page + 1, 0, None
+            if self.page == self.pages:
+                return False
+            self.begin(load)
+        self.first = self.head()[0]
+        return True
+
+
+def merged(runs: list[Run], passed: int, load: Callable[[int, int], np.ndarray], drop: Callable[[int, int], None]) -> Iterator[tuple]:
+    """The runs' readings before ``passed`` in order, as sort keys; a run begins when its first reading may be next."""
+    ahead = sorted((r for r in runs if r.first < passed), key=lambda r: r.first, reverse=True)
+    heap: list[tuple] = []
+    while ahead or heap:
+        while ahead and (not heap or ahead[-1].first <= heap[0][0][0]):
+            run = ahead.pop()
+            run.begin(load)
+            heapq.heappush(heap, (run.head(), run.number, run))
+        key, number, run = heap[0]
+        yield key
+        if run.step(load, drop) and run.first < passed:
+            heapq.heapreplace(heap, (run.head(), number, run))
+        else:
+            heapq.heappop(heap)
+
+
 class _Filler(StatefulProcessor):
     def __init__(self, columns: Sequence[str], max_gap: int, idle_ms: int) -> None:
         self.columns, self.max_gap, self.idle_ms = list(columns), max_gap, idle_ms
@@ -103,7 +186,9 @@ class _Filler(StatefulProcessor):
         self.handle = handle
         numbers, counts = ArrayType(DoubleType()), ArrayType(LongType())
         reading = [StructField("micros", LongType()), StructField("row_id", LongType()), StructField("values", numbers)]
-        self.waiting = handle.getListState("waiting", StructType(reading))
+        page = StructType([StructField("run", LongType()), StructField("page", LongType())])
+        self.pages = handle.getMapState("pages", page, StructType([StructField("rows", BinaryType())]))
+        self.runs = handle.getValueState("runs", StructType([StructField(c, counts) for c in ("run", "page", "pages", "offset", "first")]))
         self.held = handle.getListState("held", StructType([*reading, StructField("flags", counts), StructField("waits", counts)]))
         series = [StructField("position", LongType()), StructField("released", LongType()), StructField("at", counts), StructField("value", numbers)]
         self.series = handle.getValueState("series", StructType(series))
@@ -126,19 +211,46 @@ class _Filler(StatefulProcessor):
         elif self.held.exists():
             self.held.clear()
 
-    def _frame(self, meter: str, rows: list[Row]) -> Iterator[pd.DataFrame]:
-        if not rows:
-            return
+    def _load_page(self, number: int, page: int) -> np.ndarray:
+        return np.frombuffer(self.pages.getValue((number, page))[0], _reading(len(self.columns)))
+
+    def _drop_page(self, number: int, page: int) -> None:
+        self.pages.removeKey((number, page))
+
+    def _load_runs(self) -> list[Run]:
+        return [Run(*r) for r in zip(*self.runs.get(), strict=True)] if self.runs.exists() else []
+
+    def _save_runs(self, runs: list[Run]) -> None:
+        if runs:
+            self.runs.update(tuple(list(c) for c in zip(*(r.place() for r in runs), strict=True)))
+        elif self.runs.exists():
+            self.runs.clear()
+
+    def _add_run(self, runs: list[Run], rows: np.ndarray) -> None:
+        """As a run of their own; together with the newest run if that has but one page left."""
+        number = runs[-1].number + 1 if runs else 0
+        if runs and runs[-1].page == runs[-1].pages - 1:
+            last = runs.pop()
+            rows = np.concatenate([self._load_page(last.number, last.page)[last.offset :], rows])
+            self._drop_page(last.number, last.page)
+        rows = _in_order(rows)
+        pages = -(-len(rows) // _PAGE)
+        for page in range(pages):
+            self.pages.updateValue((number, page), (rows[page * _PAGE : (page + 1) * _PAGE].tobytes(),))
+        runs.append(Run(number, 0, pages, 0, int(rows["micros"][0])))
+
+    def _frame(self, meter: str, rows: list[Row]) -> pd.DataFrame:
         out = {
             "meter_id": [meter] * len(rows),
             "ts": pd.to_datetime([r[0] for r in rows], unit="us"),
             "row_id": pd.array([r[1] for r in rows], "Int64"),
         }
+        values, flags = np.array([r[2] for r in rows], np.float64), np.array([r[3] for r in rows], np.int64)
         for c, name in enumerate(self.columns):
-            out[name] = pd.array([r[2][c] for r in rows], "Float64")
+            out[name] = pd.arrays.FloatingArray(values[:, c].copy(), np.isnan(values[:, c]))
         for c, name in enumerate(self.columns):
-            out[short_flag(name)] = [r[3][c] for r in rows]
-        yield pd.DataFrame(out)
+            out[short_flag(name)] = flags[:, c]
+        return pd.DataFrame(out)
 
     def _set_timer(self, at: int) -> None:
         """The one timer of a meter: for its next reading to release, or for its end."""
@@ -150,42 +262,51 @@ class _Filler(StatefulProcessor):
         if key[0] is None:
             return iter(())
         released = self.series.get()[1] if self.series.exists() else None
-        new: list[tuple] = []
+        runs, new, size, first = self._load_runs(), [], 0, None
         for frame in rows:
-            for micros, row_id, *values in frame[["micros", "row_id", *self.columns]].itertuples(index=False):
-                if released is not None and micros <= released:
-                    continue  # its place is gone
-                new.append((int(micros), None if _missing(row_id) else int(row_id), [None if _missing(v) else float(v) for v in values]))
+            part = _readings(frame, self.columns)
+            if released is not None:
+                part = part[part["micros"] > released]  # the place of the others is gone
+            if len(part):
+                least = int(part["micros"].min())
+                first = least if first is None else min(first, least)
+                new.append(part)
+                size += len(part)
+            if size >= _RUN:
+                self._add_run(runs, np.concatenate(new))
+                new, size = [], 0
         if new:
-            self.waiting.appendList(new)
+            self._add_run(runs, np.concatenate(new))
+        if first is not None:
+            self._save_runs(runs)
             timers = [t[0] if isinstance(t, tuple) else t for t in self.handle.listTimers()]
-            self._set_timer(min([n[0] // 1000 + 1 for n in new] + timers))
+            self._set_timer(min([first // 1000 + 1, *timers]))
         return iter(())
 
+    def _released(self, state: GapState, ready: Iterator[tuple]) -> Iterator[Row]:
+        for key in ready:
+            yield from state.add(key[0], key[2] if key[1] else None, [v if has else None for has, v in zip(key[3::2], key[4::2], strict=True)])
+            self.last = key[0]
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        state, released = self._load()
+        state, self.last = self._load()
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted((tuple(r) for r in (self.waiting.get() if self.waiting.exists() else ())), key=_order)
-        ready = [w for w in waiting if w[0] < passed]
-        later = waiting[len(ready) :]
-        out: list[Row] = []
-        for micros, row_id, values in ready:
-            out += state.add(micros, row_id, [None if _missing(v) else v for v in values])
-            released = micros
-        if later:
-            self.waiting.put(later)
-        elif self.waiting.exists():
-            self.waiting.clear()
-        last = (released or 0) // 1000
+        runs = self._load_runs()
+        out = self._released(state, merged(runs, passed, self._load_page, self._drop_page))
+        while some := list(islice(out, _OUT)):
+            yield self._frame(key[0], some)
+        later = [r for r in runs if r.page < r.pages]
+        self._save_runs(later)
+        last = (self.last or 0) // 1000
         if not later and last + self.idle_ms < passed // 1000:
-            out += state.finish()
+            if some := list(state.finish()):
+                yield self._frame(key[0], some)
             for kept in (self.series, self.held):
                 if kept.exists():
                     kept.clear()
         else:
-            self._save(state, released)
-            self._set_timer(min([w[0] // 1000 + 1 for w in later] or [last + self.idle_ms + 1]))
-        yield from self._frame(key[0], out)
+            self._save(state, self.last)
+            self._set_timer(min([r.first // 1000 + 1 for r in later] or [last + self.idle_ms + 1]))
 
     def close(self) -> None:
         pass
@@ -195,12 +316,6 @@ def _missing(value: Any) -> bool:
     return value is None or value is pd.NA or (isinstance(value, float) and math.isnan(value))
 
 
-def _order(row: tuple) -> tuple:
-    """(ts, row_id, values); missing ones first, as Spark sorts them."""
-    key = lambda v: (0, 0) if _missing(v) else (1, v)
-    return row[0], key(row[1]), *[key(v) for v in row[2]]
-
-
 def interpolate_stream(
     readings: DataFrame, columns: Sequence[str], max_gap: int = MAX_GAP, *, lateness: str = "2 hours", idle: str = "30 days"
 ) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,3 +257,36 @@ def test_stream_equals_batch_across_a_restart_and_drops_what_is_too_late(spark,
     got = spark.read.parquet(str(tmp_path / "out"))
     want = gaps.interpolate_short_gaps(spark.createDataFrame(rows, READING), ["load", "volt"], 2).select(got.columns)
     assert got.count() == 200 and got.exceptAll(want).count() == 0
+
+
+def test_waiting_readings_of_a_stream_are_merged_a_page_at_a_time():
+    rng, columns = np.random.default_rng(6), 2
+    pages, held, most, want = {}, set(), [0], []
+
+    def load(number, page):
+        held.add(number)
+        most[0] = max(most[0], len(held))
+        return pages[number, page]
+
+    def drop(number, page):
+        del pages[number, page]
+        held.discard(number)
+
+    runs = []
+    for number in range(40):  # a hundred times each, so the two runs beside each other overlap
+        rows = np.zeros(250, stream_gaps._reading(columns))
+        rows["micros"] = rng.integers(100 * (number // 2), 100 * (number // 2) + 100, 250)
+        rows["has_id"], rows["row_id"] = True, rng.integers(0, 3, 250)
+        rows["has"][:, 0] = rng.random(250) < 0.5
+        rows["values"][:, 0] = np.where(rows["has"][:, 0], rng.normal(size=250), 0)
+        rows = stream_gaps._in_order(rows)
+        want += zip(*(k.tolist() for k in stream_gaps._sort_keys(rows)), strict=True)
+        pages |= {(number, page): rows[page * 100 : page * 100 + 100] for page in range(3)}
+        runs.append(stream_gaps.Run(number, 0, 3, 0, int(rows["micros"][0])))
+    want.sort()
+    early = list(stream_gaps.merged(runs, 1050, load, drop))
+    kept = [stream_gaps.Run(*r.place()) for r in runs if r.page < r.pages]  # as state gives them back
+    held.clear()
+    assert early == [w for w in want if w[0] < 1050] and all(r.first >= 1050 for r in kept)
+    assert early + list(stream_gaps.merged(kept, 10**9, load, drop)) == want
+    assert not pages and most[0] <= 4

@@ -4,16 +4,16 @@ Documents are cut into blocks of about ``block_bytes`` of text, written once. To
 sends the sorted hashes of its vocabulary with their training counts through ranges of 64-bit hashes; a range adds
 them up and answers every block. So a hot word is one number a block, and ranges grow in number with the data.
 
-The filter is built from training rows alone. Blocks send the keys of their training bigrams and trigrams with counts to
-ranges of keys; a range adds them up and writes one segment of the filter, of ``bits_per_key`` bits a key. An
+The filter is built from training rows alone. Blocks send the keys of their bigrams and trigrams with their training counts
+to ranges of keys, once; a range adds them up and makes one segment of the filter, of ``bits_per_key`` bits a key. An
 n-gram of count ``c`` has the level ``1 + floor(log_base(c))`` and is stored under the keys (n-gram, 1) ... (n-gram,
 level), so common n-grams have more bits and a false hit costs one level. Segments grow in number with the data and
 hold every level at every size.
 
 Scoring sees segments and the blocks' keys, and no counts of n-grams: a count is read back by probing level after
-level until one is missing. Segments are broadcast in groups of at most ``group_bytes``, one pass over the blocks a
-group; where more than ``most_groups`` would be needed, keys and segments meet by range instead. Both read the same
-levels.
+level until one is missing. The range that made a segment probes the keys it was sent. With ``most_groups`` above 0 segments
+are stored instead and broadcast in groups of at most ``group_bytes``, one pass over the blocks a group; where more
+groups would be needed, keys and stored segments meet by range. All ways read the same levels.
 
     P1(w)     = (c(w) + 0.5) / (N + 0.5 (V + 1))
     P2(w|v)   = b * low(v, w) / c(v) + (1 - b) P1(w)                  (P1 after a context never seen)
@@ -21,7 +21,8 @@ levels.
 
 ``low`` and ``high`` are the least and largest counts of a level, so the probabilities after a context sum to 1 at most
 but for false hits. Contexts before a text's first token are end tokens. The weights a and b are those of a grid with the best
-likelihood on training rows set aside (one in ``aside``, by a hash), which the filter does not hold.
+likelihood on training rows set aside (one in ``aside``, by a hash), which the filter does not hold; they have blocks of their
+own, so the weights are fitted without the others.
 
 Defined results: a null text is empty: its one token is the end; repeated rows count each; ids may be
 null or repeated; without training rows N = V = 0; an empty table gives no rows; other columns are
@@ -81,14 +82,15 @@ def token_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, part = 0, TaskContext.get().partitionId() << 32
-        ids, training, texts, size = [], [], [], 0
+        part = TaskContext.get().partitionId() << 32
+        # Of the rows set aside (odd numbers) and of the others: number of the next block, ids, training, texts, size.
+        open_blocks = {True: [part + 1, [], [], [], 0], False: [part, [], [], [], 0]}
 
-        def made() -> pa.RecordBatch:
+        def made(number: int, ids: list, training: list[int], texts: list[str | None], size: int) -> pa.RecordBatch:
             tokens = _tokens(texts)
             vocabulary, stream = np.unique(np.concatenate(tokens), return_inverse=True)
             columns = [
-                pa.array([part + number], pa.int64()),
+                pa.array([number], pa.int64()),
                 pa.array([ids], pa.list_(id_type)),
                 pa.array([np.array(training, np.uint8).tobytes()], pa.binary()),
                 pa.array([np.array([len(t) for t in tokens], "<i4").tobytes()], pa.binary()),
@@ -101,21 +103,26 @@ def token_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         for batch in batches:
             id_type = batch.schema.field(0).type
             for doc_id, train, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids.append(doc_id)
-                training.append(train)
-                texts.append(text)
-                size += len(text or "") + 1
-                if size >= block_bytes:
-                    yield made()
-                    number += 1
-                    ids, training, texts, size = [], [], [], 0
-        if ids:
-            yield made()
+                own = open_blocks[train == 2]
+                own[1].append(doc_id)
+                own[2].append(train)
+                own[3].append(text)
+                own[4] += len(text or "") + 1
+                if own[4] >= block_bytes:
+                    yield made(*own)
+                    own[:] = own[0] + 2, [], [], [], 0
+        for own in open_blocks.values():
+            if own[1]:
+                yield made(*own)
 
     ddl = f"block long, ids array<{kind}>, training binary, lengths binary, vocabulary binary, stream binary"
     return docs.mapInArrow(tidy(blocks), ddl)
 
 
+#: Blocks of the rows set aside.
+_ASIDE = "block % 2 = 1"
+
+
 def _range_cuts(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Where sorted hashes pass from one range of the top ``bits`` to the next."""
     return np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
@@ -199,20 +206,22 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 _BLOCK = ["block", "training", "lengths", "vocabulary", "stream"]
 
 
-def key_parts(blocks: DataFrame, bits: int, *, training: bool) -> DataFrame:
-    """range, block and keys (40 bits, sorted): of training rows with counts, or of all rows without."""
+def key_parts(blocks: DataFrame, bits: int, *, training: bool | None) -> DataFrame:
+    """range, block and keys (40 bits, sorted): of training rows with counts, or of all rows without (None: with training counts)."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             hashes, stream, starts, lengths, use = _opened(row)
             _, two, three = _keys(hashes, stream, starts, bits)
+            own = np.repeat(use == 1, lengths)
             if training:
-                own = np.repeat(use == 1, lengths)
                 two, three = two[own], three[own]
-            found, n = np.unique(np.concatenate((two, three)), return_counts=True)
+            found, place = np.unique(np.concatenate((two, three)), return_inverse=True)
+            weights = None if training else np.concatenate((own, own))
+            n = np.bincount(place, weights=weights, minlength=len(found)).astype("<i8")
             cuts = _range_cuts(found, bits)
             full = np.flatnonzero(np.diff(cuts))
-            counts = [_pack32(n[cuts[r] : cuts[r + 1]]) for r in full] if training else [None] * len(full)
+            counts = [_pack32(n[cuts[r] : cuts[r + 1]]) for r in full] if training is not False else [None] * len(full)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(full, pa.int32()),
@@ -290,6 +299,25 @@ def build_segments(parts: DataFrame, base: float, *, bits_per_key: int, probes:
     return parts.groupBy("range").applyInPandas(built, "range int, size long, probes int, bits binary")
 
 
+def build_and_probe(blocks: DataFrame, base: float, bits: int, *, bits_per_key: int, probes: int) -> DataFrame:
+    """block, range and levels of the block's sorted keys there: each range makes its segment and probes it."""
+
+    def probed(parts: pa.Table) -> pa.Table:
+        hashes = [_unpack40(x.as_py()) for x in parts["hashes"]]
+        ends = np.cumsum([len(h) for h in hashes])[:-1]
+        every, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        del hashes
+        counts = np.concatenate([_unpack32(x.as_py()) for x in parts["counts"]])
+        levels = _levels(np.bincount(place, weights=counts, minlength=len(every)), base)
+        segment = Segment.build(every, levels, bits_per_key=bits_per_key, probes=probes)
+        read = segment.level(every)  # a key of several blocks is read once
+        found = [x.tobytes() for x in np.split(read[place], ends)]
+        return pa.Table.from_batches([_levels_batch(parts["block"].to_pylist(), parts["range"].to_pylist(), found)])
+
+    parts = key_parts(blocks, bits, training=None)
+    return stored(parts.groupBy("range").applyInArrow(probed, _LEVELS), "lm-levels", batch_bytes=_BATCH, compression="zstd")
+
+
 def probe_by_broadcast(blocks: DataFrame, segments: DataFrame, bits: int, group_bytes: int) -> DataFrame:
     """block, range (the first of a group) and levels of the block's sorted keys in that group, a pass a group."""
     spark = blocks.sparkSession
@@ -442,7 +470,7 @@ def score_texts(
     probes: int = 5,
     segment_bytes: int = 4 << 20,
     group_bytes: int = 32 << 20,
-    most_groups: int = 4,
+    most_groups: int = 0,
     block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Scores every text by a model of the rows where the column ``training`` holds.
@@ -461,21 +489,28 @@ def score_texts(
 
     # Two keys a token at most, of bits_per_key bits a level; levels above the first are few.
     bits = _bits((sizes[1] or 0) // 2, max(9, bits_per_key / 8), segment_bytes * 6)
-    segments = build_segments(key_parts(blocks, bits, training=True), base, bits_per_key=bits_per_key, probes=probes)
-    segments = stored(segments, "lm-segments", batch_bytes=_BATCH)
-    size = segments.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
-    if size <= most_groups * group_bytes:
-        levels = probe_by_broadcast(blocks, segments, bits, group_bytes)
+    if most_groups <= 0:
+        levels = build_and_probe(blocks, base, bits, bits_per_key=bits_per_key, probes=probes)
     else:
-        levels = probe_by_range(blocks, segments, bits)
+        segments = build_segments(key_parts(blocks, bits, training=True), base, bits_per_key=bits_per_key, probes=probes)
+        segments = stored(segments, "lm-segments", batch_bytes=_BATCH)
+        size = segments.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+        if size <= most_groups * group_bytes:
+            levels = probe_by_broadcast(blocks, segments, bits, group_bytes)
+        else:
+            levels = probe_by_range(blocks, segments, bits)
 
     own = lambda rows, name: rows.groupBy("block").agg(  # as many entries as ranges
         F.sort_array(F.collect_list(F.struct("range", name))).alias("parts")
     ).select("block", F.col(f"parts.{name}").alias(name))
-    answered = blocks.join(own(counts, "counts"), "block").join(own(levels, "levels"), "block")
+
+    def answered(some: str) -> DataFrame:
+        told = own(counts.where(some), "counts"), own(levels.where(some), "levels")
+        return blocks.where(some).join(told[0], "block").join(told[1], "block")
+
     spread = tokens + 0.5 * (distinct + 1)
-    weights = best_weights(answered, spread, bits=bits, base=base)
-    out = scored(answered, spread, weights, bits=bits, base=base, kind=kind)
+    weights = best_weights(answered(_ASIDE), spread, bits=bits, base=base)
+    out = scored(answered("true"), spread, weights, bits=bits, base=base, kind=kind)
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )

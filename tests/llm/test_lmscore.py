@@ -187,3 +187,24 @@ def test_nothing_to_learn_from(spark):
     rows = lmscore.score_texts(documents(spark, [(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in rows} == {(1, 3, 0, 0), (2, 1, 0, 0)}
     assert lmscore.op9(documents(spark, awkward()).limit(0)).count() == 0
+
+
+def test_ranges_probe_what_they_build_and_rows_set_aside_have_their_own_blocks(spark):
+    texts = [(i, prose(i % 90, 60)) for i in range(200)]
+    docs = documents(spark, texts)
+    some = {"block_bytes": 4_000, "segment_bytes": 300, "bits_per_key": 24}
+    key = lambda r: r.doc_id
+    once = sorted(lmscore.score_texts(docs, F.col("doc_id") % 6 != 0, **some).collect(), key=key)
+    met = lmscore.score_texts(docs, F.col("doc_id") % 6 != 0, most_groups=1, group_bytes=1, **some)
+    assert once == sorted(met.collect(), key=key) and len(once) == 200
+
+    use = uses(docs, lambda i: i % 6 == 0)
+    rows = spark.createDataFrame([(i, use[i, x], x) for i, x in texts], "doc_id long, training int, text string")
+    blocks = lmscore.token_blocks(rows, 4_000).collect()
+    assert all((r.block % 2 == 1) == (u == 2) for r in blocks for u in bytes(r.training))
+    assert len({r.block for r in blocks}) == len(blocks) and sum(len(r.ids) for r in blocks) == 200
+    # All keys go once, with the counts of the training rows among them.
+    blocks = lmscore.token_blocks(rows, 4_000)
+    every, trained = lmscore.key_parts(blocks, 6, training=None), lmscore.key_parts(blocks, 6, training=True)
+    total = lambda parts: sum(int(lmscore._unpack32(bytes(r.counts)).sum()) for r in parts.collect())
+    assert total(every) == total(trained) == 2 * sum(len(tokens(x)) for i, x in texts if use[i, x] == 1)

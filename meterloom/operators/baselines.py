@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +35,15 @@ def baselines_long(
     origins_from: str | None = None,
     spread: bool = False,
     bucket_hours: int = BUCKET_HOURS,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """(meter_id, origin, h, target_time, actual, three baselines) for complete origins.
 
     Forecasts are read off the origin's own row by window offsets in one pass and then
-    unfolded; nothing is joined. ``spread`` adds the standard deviation of the same 168 hours.
+    unfolded; nothing is joined. ``spread`` adds the standard deviation of the same 168 hours;
+    ``carried`` columns of the origin's hour are kept.
     """
-    series = hourly.select("meter_id", "hour", target)
+    series = hourly.select("meter_id", "hour", target, *carried)
     if origins_from is not None:
         start = F.lit(origins_from).cast("timestamp_ntz")
         series = series.filter(F.col("hour") >= add_hours(start, -LONG_WINDOW))
@@ -47,7 +51,7 @@ def baselines_long(
     statistics = [Rolling("rolling_avg_7d", "mean", target, LONG_WINDOW)]
     if spread:
         statistics.append(Rolling("spread", "std", target, LONG_WINDOW))
-    extra = [s.name for s in statistics]
+    extra = [*[s.name for s in statistics], *carried]
     # A day from each row on, as quarters that are built once; the three series are that day at other rows. Complete
     # origins have all the rows before them, and the hours ahead, so what lacks one is null and filtered below.
     quarter = HORIZON // 4

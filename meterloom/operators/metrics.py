@@ -111,17 +111,19 @@ def train_median(hourly: DataFrame, target: str, val_start: str) -> DataFrame:
 def with_slices(long: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """Add hour_of_day, day_type, season of the target time and, given medians, load_level.
 
-    The median table has one row a meter; Spark sizes the join.
+    The median table has one row a meter; Spark sizes the join. Rows that carry ``train_median``
+    already need no table, so it can be joined to hours, before they unfold into forecasts.
     """
     at = F.col("target_time")
     sliced = long.withColumns(
         {"hour_of_day": F.hour(at), "day_type": day_type(at), "season": season(at)}
     )
-    if medians is None:
+    if medians is not None:
+        # A meter without training rows stays: its load level is unknown.
+        sliced = sliced.join(medians, "meter_id", "left")
+    if "train_median" not in sliced.columns:
         return sliced
-    level = load_level(F.col("actual"), F.col("train_median"))
-    # A meter without training rows stays: its load level is unknown.
-    return sliced.join(medians, "meter_id", "left").withColumn("load_level", level)
+    return sliced.withColumn("load_level", load_level(F.col("actual"), F.col("train_median")))
 
 
 def _slice_metrics(y: Column, f: Column) -> list[Column]:

@@ -45,19 +45,28 @@ def join_profile(hourly: DataFrame, profile: DataFrame) -> DataFrame:
     return with_slot(hourly).join(profile, ["meter_id", *SLOT], "left")
 
 
-def profile_impute(hourly: DataFrame, columns: Sequence[str], val_start: str) -> DataFrame:
+def profile_impute(
+    hourly: DataFrame, columns: Sequence[str], val_start: str, lacking: Sequence[str] | None = None
+) -> DataFrame:
     """Fill nulls from the profile and flag them, all columns in one join.
 
-    Only meters that miss a value need a profile.
+    Only meters that miss a value need a profile, and only rows that miss one meet it: the others
+    are passed on as they are, without a shuffle. ``hourly`` is read several times. A caller that
+    has counted the nulls names the columns with any in ``lacking``; the others are flagged only.
     """
-    missing = reduce(or_, [F.col(c).isNull() for c in columns])
-    lacking = hourly.filter(missing).select("meter_id").distinct()
-    joined = join_profile(hourly, seasonal_profile(hourly.join(lacking, "meter_id", "left_semi"), columns, val_start))
-    filled = {c: F.coalesce(F.col(c), F.col(f"{c}_profile")) for c in columns}
     flags = [F.col(c).isNull().cast("int").alias(profile_flag(c)) for c in columns]
-    return joined.select(
+    lacking = list(columns) if lacking is None else list(lacking)
+    if not lacking:
+        return hourly.select("*", *flags)
+    missing = reduce(or_, [F.col(c).isNull() for c in lacking])
+    whole = hourly.filter(~missing).select("*", *flags)
+    meters = hourly.filter(missing).select("meter_id").distinct()
+    profile = seasonal_profile(hourly.join(meters, "meter_id", "left_semi"), lacking, val_start)
+    filled = {c: F.coalesce(F.col(c), F.col(f"{c}_profile")) for c in lacking}
+    mended = join_profile(hourly.filter(missing), profile).select(
         *[filled[c].alias(c) if c in filled else F.col(c) for c in hourly.columns], *flags
     )
+    return whole.unionByName(mended)
 
 
 def missing_counts(hourly: DataFrame, columns: Sequence[str]) -> DataFrame:

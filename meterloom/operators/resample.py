@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.config import Roles, short_flag
@@ -32,6 +32,11 @@ def hourly_spine(bounds: DataFrame) -> DataFrame:
     does not merge). Going through months also keeps the arrays short when a stray timestamp
     lies far off.
     """
+    return _months(bounds).select("meter_id", F.explode(_hours("_start", "_end")).alias("hour"))
+
+
+def _months(bounds: DataFrame) -> DataFrame:
+    """(meter_id, _month, _start, _end): the part of each month that lies between a meter's bounds."""
     tasks = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first, last = F.col("first_hour"), F.col("last_hour")
     month = F.explode(
@@ -39,25 +44,56 @@ def hourly_spine(bounds: DataFrame) -> DataFrame:
             F.trunc(first, "month"), F.trunc(last, "month"), F.make_ym_interval(months=F.lit(1))
         )
     )
-    months = bounds.select("meter_id", "first_hour", "last_hour", month.alias("month"))
-    start = F.greatest(first, F.col("month").cast("timestamp_ntz"))
-    end = F.least(
-        last, (F.add_months("month", 1).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(1)))
-    )
-    hours = F.sequence(start, end, F.make_dt_interval(hours=F.lit(1)))
-    return months.repartition(tasks, "meter_id", "month").select(
-        "meter_id", F.explode(hours).alias("hour")
+    months = bounds.select("meter_id", "first_hour", "last_hour", month.alias("_month"))
+    start = F.greatest(first, F.col("_month").cast("timestamp_ntz"))
+    end = F.least(last, F.add_months("_month", 1).cast("timestamp_ntz") - _hour())
+    return months.repartition(tasks, "meter_id", "_month").select(
+        "meter_id", "_month", start.alias("_start"), end.alias("_end")
     )
 
 
+def _hour() -> Column:
+    return F.make_dt_interval(hours=F.lit(1))
+
+
+def _hours(first: str, last: str) -> Column:
+    return F.sequence(first, last, _hour())
+
+
 def _hourly(readings: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
     keyed = readings.withColumn("hour", truncate_hour(F.col("ts")))
     return keyed.groupBy("meter_id", "hour").agg(*aggregates)
 
 
-def _on_spine(readings: DataFrame, aggregates: Sequence[Column], bounds: DataFrame | None):
-    spine = hourly_spine(meter_bounds(readings) if bounds is None else bounds)
-    return spine.join(_hourly(readings, aggregates), ["meter_id", "hour"], "left")
+def _on_spine(readings, aggregates: Sequence[Column], bounds: DataFrame | None):
+    """The aggregates of every hour between the bounds; null where an hour has no reading.
+
+    Hours with readings meet the months of their meter, and each unfolds into itself and the empty
+    hours up to the next one. So the spine, which may be many times longer, is neither shuffled,
+    sorted nor joined. A month's first hour opens it where no earlier reading does.
+    """
+    months = _months(meter_bounds(readings) if bounds is None else bounds)
+    hours = _hourly(readings, aggregates)
+    values = [c for c in hours.columns if c not in ("meter_id", "hour")]
+    keyed = hours.withColumn("_month", F.trunc("hour", "month"))
+    # A month without readings, and a meter that is null, keeps its hours: they are empty.
+    met = months.join(
+        keyed.withColumnRenamed("meter_id", "_meter"),
+        (months["meter_id"] == F.col("_meter"))
+        & (months["_month"] == keyed["_month"])
+        & F.col("hour").between(F.col("_start"), F.col("_end")),
+        "left",
+    ).select("meter_id", months["_month"], "_start", "_end", "hour", *values)
+    series = Window.partitionBy("meter_id", "_month", "_start").orderBy("hour")
+    opened = F.when(F.lag("hour").over(series).isNull(), F.col("_start")).otherwise(F.col("hour"))
+    until = F.coalesce(F.lead("hour").over(series) - _hour(), F.col("_end"))
+    unfolded = met.withColumns({"_first": opened, "_last": until}).select(
+        "meter_id", "hour", F.explode(_hours("_first", "_last")).alias("_at"), *values
+    )
+    read = F.col("_at") == F.col("hour")
+    return unfolded.select(
+        "meter_id", F.col("_at").alias("hour"), *[F.when(read, F.col(c)).alias(c) for c in values]
+    )
 
 
 def resample_sum(

@@ -161,8 +161,9 @@ round(avg({_PCT.format(f="point")}), 2) AS MAPE"""
 
 def _sliced(spark, sf_dir):
     hourly = standin.hourly_load(spark, sf_dir, USERS)
-    medians = metrics.train_median(hourly, "load", SPLITS.val_start)
-    return metrics.with_slices(forecasts(spark, sf_dir, USERS, hourly), medians)
+    # An hour unfolds into 24 forecasts, so its meter's median is joined before.
+    known = hourly.join(metrics.train_median(hourly, "load", SPLITS.val_start), "meter_id", "left")
+    return metrics.with_slices(forecasts(spark, sf_dir, USERS, known, ["train_median"]))
 
 
 def _slice(name: str, dimension: str) -> None:
@@ -335,11 +336,19 @@ WINDOW w AS (PARTITION BY meter_id ORDER BY hour)), i{h} AS ({rows})"""
 _SQL_IMPORTANCE = f"{standin.sql_hourly(USERS)}, {_sql_importance(1)}, {_sql_importance(24)}"
 
 
-def _importance(hourly, h):
-    columns = {f"load_lag_{k}": feat.lag_of("load", k) for k in _LAGS[h]} | {"y": feat.lead_of("load", h)}
-    rows = feat.windowed(hourly, columns, max(_LAGS[h]), h)
-    wide = rows.agg(*[F.abs(F.corr("y", f"load_lag_{k}")).alias(f"load_lag_{k}") for k in _LAGS[h]])
-    return wide.unpivot([], list(wide.columns), "feature", "importance")
+def _importances(hourly):
+    """(h, feature, importance) of both horizons from one pass over the hours."""
+    lags = {f"load_lag_{k}": feat.lag_of("load", k) for ks in _LAGS.values() for k in ks}
+    leads = {f"y_{h}": feat.lead_of("load", h) for h in _LAGS}
+    rows = feat.windowed(hourly, lags | leads, max(max(ks) for ks in _LAGS.values()), max(_LAGS))
+    moves = {(h, f"load_lag_{k}"): F.abs(F.corr(f"y_{h}", f"load_lag_{k}")) for h, ks in _LAGS.items() for k in ks}
+    wide = rows.agg(*[corr.alias(f"{h}_{name}") for (h, name), corr in moves.items()])
+    each = [F.struct(F.lit(h).alias("h"), F.lit(name).alias("feature"), F.col(f"{h}_{name}").alias("importance")) for h, name in moves]
+    return wide.select(F.inline(F.array(*each)))
+
+
+def _importance(importances, h):
+    return importances.filter(F.col("h") == h).select("feature", "importance")
 
 
 @query(
@@ -352,8 +361,8 @@ round((coalesce(importance_left, 0) + coalesce(importance_right, 0)) / (
   AS mean_importance FROM j""",
 )
 def join_outer_importance(spark, sf_dir):
-    hourly = standin.hourly_load(spark, sf_dir, USERS)
-    left, right = _importance(hourly, 1), _importance(hourly, 24)
+    both = _importances(standin.hourly_load(spark, sf_dir, USERS))
+    left, right = _importance(both, 1), _importance(both, 24)
     return rounded(reports.join_outer_importance(left, right))
 
 
@@ -364,8 +373,8 @@ SELECT feature, round(avg(importance), 6) AS mean_importance FROM u GROUP BY fea
 ORDER BY avg(importance) DESC, feature LIMIT 20""",
 )
 def top_k(spark, sf_dir):
-    hourly = standin.hourly_load(spark, sf_dir, USERS)
-    tables = [_importance(hourly, h) for h in _LAGS]
+    both = _importances(standin.hourly_load(spark, sf_dir, USERS))
+    tables = [_importance(both, h) for h in _LAGS]
     return rounded(reports.top_k(reports.mean_importance(tables), "mean_importance", "feature"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.config import Roles, Splits, profile_flag, short_flag
@@ -26,6 +26,9 @@ LOAD = Roles(target="load", exog=(), sum_cols=("load",), mean_cols=())
 SPLITS = Splits("2024-01-21 00:00:00", "2024-01-26 00:00:00")
 MAX_GAP = 2
 COLS = ROLES.all_cols
+#: Intervals that the gap fill cuts a meter into: a day where few meters share all readings, else a month.
+CHUNK_SECONDS = {"event_type": 86_400}
+MONTH_SECONDS = 31 * 86_400
 SHORT = [short_flag(c) for c in COLS]
 PROFILE = [profile_flag(c) for c in COLS]
 
@@ -57,7 +60,7 @@ def readings(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> Dat
 def filled(spark: SparkSession, sf_dir: str, meter: str = "event_type", roles: Roles = ROLES) -> DataFrame:
     columns = roles.all_cols
     rows = readings(spark, sf_dir, meter).select("meter_id", "ts", "row_id", *columns)
-    return gaps.interpolate_short_gaps(rows, columns, MAX_GAP)
+    return gaps.interpolate_short_gaps(rows, columns, MAX_GAP, seconds=CHUNK_SECONDS.get(meter, MONTH_SECONDS))
 
 
 def raw_hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type", roles: Roles = ROLES) -> DataFrame:
@@ -70,15 +73,30 @@ def hourly(spark: SparkSession, sf_dir: str, meter: str = "event_type", roles: R
 
     Spark prunes no column across the write, so a caller that uses the load alone says so by ``roles=LOAD``.
     """
+    return _imputed(spark, sf_dir, meter, roles)[0]
+
+
+def _imputed(spark: SparkSession, sf_dir: str, meter: str, roles: Roles) -> tuple[DataFrame, list[str]]:
+    """The hourly table, and which columns had nulls to fill: they are counted as the raw hours are written."""
     path = scratch_path(spark, "raw-hourly")
-    raw_hourly(spark, sf_dir, meter, roles).write.parquet(path)
-    return profile.profile_impute(spark.read.parquet(path), roles.all_cols, SPLITS.val_start)
+    nulls = Observation()
+    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in roles.all_cols]
+    raw_hourly(spark, sf_dir, meter, roles).observe(nulls, *counts).write.parquet(path)
+    lacking = [c for c in roles.all_cols if nulls.get[c]]
+    return profile.profile_impute(spark.read.parquet(path), roles.all_cols, SPLITS.val_start, lacking), lacking
 
 
 def hourly_load(spark: SparkSession, sf_dir: str, meter: str = "event_type") -> DataFrame:
-    """The load of the hourly table, written once for queries that read it more than once."""
+    """The load of the hourly table, for queries that read it more than once.
+
+    It is written again only if the profile filled some of it; else the stored raw hours are what it reads.
+    """
+    table, lacking = _imputed(spark, sf_dir, meter, LOAD)
+    load = table.select("meter_id", "hour", "load")
+    if not lacking:
+        return load
     path = scratch_path(spark, "hourly-load")
-    hourly(spark, sf_dir, meter, LOAD).select("meter_id", "hour", "load").write.parquet(path)
+    load.write.parquet(path)
     return spark.read.parquet(path)
 
 

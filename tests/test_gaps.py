@@ -175,3 +175,39 @@ def test_slices_fill_gaps_of_the_load_once(spark, tmp_path):
     assert QUERIES["slice_by_load_level"](spark, str(tmp_path)).count() > 0
     (one,) = found() - before
     assert spark.read.parquet(str(one)).columns == ["meter_id", "hour", "load", "load_is_short_imputed"]
+
+
+def test_spine_unfolds_after_the_join(spark):
+    """The hours of the spine are made last: they are neither joined nor sorted."""
+    df = readings(spark, [1.0, 2.0, N, 4.0], step=40_000, start="2024-01-30 20:00")
+    out = resample.resample_sum(df, ["x"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence(_first" in plan.split("Join")[0]
+    got = {str(r.hour)[5:13]: r.x for r in out.collect()}
+    assert len(got) == 34 and got["01-30 20"] == 1.0 and got["01-31 07"] == 2.0 and got["02-01 05"] == 4.0
+    assert set(got.values()) == {0.0, 1.0, 2.0, 4.0}
+
+
+def test_spine_keeps_null_meters_and_wider_bounds(spark):
+    rows = [(None, "2024-01-01 01:30:00", 1.0), (None, "2024-01-01 03:30:00", 1.0), ("a", "2024-03-01 00:10:00", 5.0), ("a", "2024-05-01 00:00:00", 9.0)]
+    df = spark.createDataFrame([(m, pd.Timestamp(t).to_pydatetime(), x) for m, t, x in rows], "meter_id string, ts timestamp_ntz, x double")
+    empty = [r.x for r in resample.resample_mean(df.filter("meter_id IS NULL"), ["x"]).collect()]
+    assert empty == [N, N, N]
+    bounds = spark.sql("select 'a' meter_id, timestamp_ntz'2024-01-31 22:00:00' first_hour, timestamp_ntz'2024-03-01 01:00:00' last_hour")
+    got = resample.resample_mean(df.filter("meter_id = 'a'"), ["x"], bounds).orderBy("hour").collect()
+    want = pd.date_range("2024-01-31 22:00", "2024-03-01 01:00", freq="h")
+    assert [r.hour for r in got] == list(want.to_pydatetime())
+    assert [r.x for r in got if r.x is not None] == [5.0] and got[-2].x == 5.0
+
+
+def test_rows_without_nulls_meet_no_profile(spark):
+    rows = [("a", (pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i)).to_pydatetime(), N if i == 190 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "meter_id string, hour timestamp_ntz, x double")
+    out = profile.profile_impute(df, ["x"], "2024-02-01 00:00:00")
+    assert out._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith("Union")
+    got = out.orderBy("hour").collect()
+    assert [r.x for r in got] == [22.0 if i == 190 else float(i) for i in range(200)]
+    assert [i for i, r in enumerate(got) if r.x_is_profile_imputed] == [190]
+    none = profile.profile_impute(df.filter("x IS NOT NULL"), ["x"], "2024-02-01 00:00:00", lacking=[])
+    assert "Join" not in none._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.x_is_profile_imputed for r in none.collect()} == {0}

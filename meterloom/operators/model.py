@@ -41,6 +41,9 @@ from meterloom.functions.scalars import repaired_lower, repaired_upper
 from meterloom.operators.features import horizon_long, with_calendar
 
 KEYS = ("meter_id", "hour")
+#: Training rows that a task of a fit has at least, where the cluster has tasks to spare.
+TASK_ROWS = 5_000
+
 
 @dataclass(frozen=True)
 class Params:
@@ -130,6 +133,19 @@ def best_iteration(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` in as many partitions as they fill, where those are fewer than the cluster has cores.
+
+    Each tree takes several jobs over all rows; where rows are few, starting tasks is what jobs cost. Rows lie
+    in the order of their keys, so that a recomputed partition equals the first one. More rows stay where they are.
+    """
+    tasks = max(1, -(-rows.count() // TASK_ROWS))
+    if tasks >= rows.sparkSession.sparkContext.defaultParallelism:
+        return rows
+    keys = [*KEYS, "h", "y"]
+    return rows.repartition(tasks, *keys).sortWithinPartitions(*keys)
+
+
 def fit_point(rows: DataFrame, roles: Roles, params: Params, horizons: int = HORIZON) -> PipelineModel:
     """Boosted trees over all horizons; rows with ``is_val`` only decide how many trees to keep.
 
@@ -139,8 +155,11 @@ def fit_point(rows: DataFrame, roles: Roles, params: Params, horizons: int = HOR
     kept consists of the first trees of that fit.
     """
     assembler = VectorAssembler(inputCols=model_inputs(roles), outputCol="features")
-    vectors = assembler.transform(rows).select("features", F.col("y").cast("double"), "is_val")
-    train, val = vectors.filter(~F.col("is_val")), vectors.filter("is_val")
+
+    def vectors(some: DataFrame) -> DataFrame:
+        return assembler.transform(some).select("features", F.col("y").cast("double"))
+
+    train, val = vectors(dealt(rows.filter(~F.col("is_val")))), vectors(rows.filter("is_val"))
 
     def boost(trees: int) -> GBTRegressionModel:
         return GBTRegressor(

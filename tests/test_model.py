@@ -167,3 +167,18 @@ def test_scoring_without_a_stored_model_has_a_defined_error(spark, tmp_path):
     (tmp_path / "half" / "point").mkdir(parents=True)
     with pytest.raises(FileNotFoundError, match="interval, state missing"):
         model.load(spark, str(tmp_path / "half"))
+
+
+def test_few_training_rows_meet_in_few_tasks(spark, monkeypatch):
+    """Each tree runs jobs over all rows, so partitions go by the rows and not by where they come from."""
+    rows = spark.range(0, 300, 1, 12).select(
+        F.lit("m").alias("meter_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id)").alias("hour"),
+        F.lit(1).alias("h"), F.rand(1).alias("y"),
+    )
+    few = model.dealt(rows)
+    assert few.rdd.getNumPartitions() == 1 and few.collect() == sorted(rows.collect())
+    monkeypatch.setattr(model, "TASK_ROWS", 100)
+    some = model.dealt(rows)
+    assert some.rdd.getNumPartitions() == 3 and sorted(some.collect()) == sorted(rows.collect())
+    monkeypatch.setattr(model, "TASK_ROWS", 10)
+    assert model.dealt(rows).rdd.getNumPartitions() == 12
